@@ -103,8 +103,9 @@ def build(fact: DataFrame, cube: Cube) -> DataFrame:
 
 
 def merge(parts: DataFrame, cube: Cube) -> DataFrame:
-    """Rows of one bucket from several parts of a cube made one."""
-    return parts.groupBy(*cube.dims, cube.time).agg(*(_rolled(m.func, F.col(m.name)).alias(m.name) for m in cube.measures))
+    """Rows of one bucket from several parts of a cube made one; types stay as they are."""
+    kinds = {f.name: f.dataType for f in parts.schema.fields}
+    return parts.groupBy(*cube.dims, cube.time).agg(*(_rolled(m.func, F.col(m.name)).cast(kinds[m.name]).alias(m.name) for m in cube.measures))
 
 
 def _partial(func: str, column: str | None) -> Column:

@@ -314,24 +314,42 @@ class Session:
             raise
 
     def _write_checked(self, t: Table, new: DataFrame) -> dict:
-        """Writes ``new`` clustered by the hash columns and sorted by key, then checks keys and nulls on what was written."""
-        order = key_order(t)
-        if t.hash_columns:
-            new = new.repartition(t.buckets, *t.hash_columns)
-        entry = self.store.write(new.sortWithinPartitions(*order), t.name)
+        """Writes ``new`` clustered by the hash columns and the row timestamp's day and sorted by key, then checks keys
+        and nulls on what was written.
+
+        Older rows are compared within the ranges of the new keys only, so that the reader skips the rest.
+        """
+        stamp, by = t.row_timestamp, list(t.hash_columns)
+        if stamp:
+            new = new.withColumn(PART, F.to_date(stamp))
+            by.append(PART)
+        if by:
+            new = new.repartition(max(t.buckets, int(self.spark.conf.get("spark.sql.shuffle.partitions"))), *by)
+        order = [F.col(PART), *key_order(t)] if stamp else key_order(t)
+        entry = self.store.write(new.sortWithinPartitions(*order), t.name, PART if stamp else None)
         stored = self.store.read(t, [entry])
         needed = [c.name for c in t.columns if not c.nullable]
-        if needed:
-            bad = stored.agg(*(F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(c) for c in needed)).first()
-            for c in needed:
-                if bad[c]:
-                    raise EngineError(f"column {c} of {t.name} can't be null")
+        nulls = [F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(f"nulls_{i}") for i, c in enumerate(needed)]
+        ends = [f(f"`{k}`").alias(f"{n}_{i}") for i, k in enumerate(t.key) for n, f in (("low", F.min), ("high", F.max))]
+        seen = stored.agg(F.count("*").alias("rows"), *nulls, *ends).first()
+        for i, c in enumerate(needed):
+            if seen[f"nulls_{i}"]:
+                raise EngineError(f"column {c} of {t.name} can't be null")
+        twice = stored.groupBy(*t.key).count().filter("count > 1").select(*t.key).limit(1)
         old = self._folders.get(t.name.lower(), [])
-        twice = stored.groupBy(*t.key).count().filter("count > 1").limit(1)
-        if old:
-            twice = twice.select(*t.key).union(stored.select(*t.key).join(self.store.read(t, old).select(*t.key), t.key, "left_semi").limit(1))
+        if old and seen["rows"]:
+            near = self.store.read(t, old).select(*t.key)
+            for i, k in enumerate(t.key):
+                near = near.filter(F.col(k).between(_bound(seen[f"low_{i}"], t.column(k).type), _bound(seen[f"high_{i}"], t.column(k).type)))
+            twice = twice.union(stored.select(*t.key).join(near, t.key, "left_semi").limit(1))
         if not twice.isEmpty():
             raise DuplicateKey(f"a row of {t.name} has the key of another")
         return entry
 
 
+#: Partition column of stored facts: the day of the row timestamp.
+PART = "_day"
+
+
+def _bound(value, kind: str) -> SparkColumn:
+    return F.lit(str(value) if kind.startswith(("timestamp", "decimal")) else value).cast(kind)

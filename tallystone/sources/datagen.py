@@ -104,6 +104,11 @@ def _environment(s: dict, r: Column) -> Column:
     return F.lit(int(value) if kind == "Integer" and value is not None else value)
 
 
+def _place(ends: list[int], pick: Column) -> Column:
+    """How many of ``ends`` are not above ``pick``."""
+    return F.size(F.filter(F.array(*map(F.lit, ends)), lambda e: e <= pick))
+
+
 def generate(spark: SparkSession, scenario: dict | str | Path, seed: int = 0, rows: int | None = None) -> DataFrame:
     """A DataFrame of the scenario's rows, one column per generator.
 
@@ -122,7 +127,7 @@ def generate(spark: SparkSession, scenario: dict | str | Path, seed: int = 0, ro
         counts = [int(g["counts"][k % len(g["counts"])]) for k in range(int(g["numUniqueGroups"]))]
         ends = [sum(counts[: k + 1]) for k in range(len(counts))]
         pick = F.pmod(_draw(seed, F.col("_row"), f"group{i}"), F.lit(ends[-1]))
-        df = df.withColumn(f"_group{i}", F.size(F.filter(F.array(*map(F.lit, ends)), lambda e, pick=pick: e <= pick)))
+        df = df.withColumn(f"_group{i}", _place(ends, pick))
         grouped |= dict.fromkeys(g["groupedColumns"], F.col(f"_group{i}"))
     out = []
     for name, s in columns.items():

@@ -69,9 +69,9 @@ class Store:
 
     def write(self, df: DataFrame, name: str, partition_by: str | None = None) -> dict:
         """A new folder with ``df``; its entry for the version file."""
-        path = f"{self.root}/data/{name}/{uuid.uuid4().hex}"
+        path = f"{self.root}/data/{name}/_part={uuid.uuid4().hex}"
         (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
-        return {"path": path, "columns": df.columns}
+        return {"path": path, "columns": [c for c in df.columns if c != partition_by]}
 
     def read(self, table: Table, folders: list[dict]) -> DataFrame:
         """The table's rows; a column added after a folder was written has its default there."""
@@ -84,13 +84,18 @@ class Store:
 
     def _one(self, table: Table, have: set[str], paths: list[str]) -> DataFrame:
         stored = [c for c in table.columns if c.name.lower() in have]
-        df = self.spark.read.schema(", ".join(f"`{c.name}` {c.type}" for c in stored)).parquet(*paths)
+        df = self._reader(", ".join(f"`{c.name}` {c.type}" for c in stored), paths).parquet(*paths)
         return df.select(*(F.col(f"`{c.name}`") if c.name.lower() in have else default(c).alias(c.name) for c in table.columns))
 
     def read_parts(self, schema: str, folders: list[dict]) -> DataFrame:
         if not folders:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*(f["path"] for f in folders))
+        paths = [f["path"] for f in folders]
+        names = [f.name for f in self.spark.createDataFrame([], schema).schema.fields]
+        return self._reader(schema, paths).parquet(*paths).select(*(F.col(f"`{n}`") for n in names))
+
+    def _reader(self, schema: str, paths: list[str]):
+        return self.spark.read.schema(schema).option("basePath", paths[0].rpartition("/")[0])
 
 
 def default(c: Column):
