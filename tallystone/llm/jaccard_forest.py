@@ -40,6 +40,7 @@ from pyspark.sql import functions as F
 from .common import U64, Words, blocks, grams, letters_table, mix, written
 
 SHINGLE, THRESHOLD, TREES, DEEPEST, RECALL, BLOCK, LIGHT = 5, 0.8, 20, 8, 0.9995, 1024, 4096
+PLACES = 1 << 20
 
 
 def depth_for(threshold: float, trees: int, deepest: int, recall: float) -> int:
@@ -103,17 +104,16 @@ def _base(size: int, trees: int, depth: int):
 
 
 def _explode(trees: int):
-    """(key, copies, prefixes) -> a row for each tree."""
-    schema = pa.schema([("bucket", pa.int64()), ("tree", pa.int32()), ("key", pa.binary()), ("copies", pa.int64()), ("prefixes", pa.binary())])
+    """(key, prefixes) -> a row for each tree."""
+    schema = pa.schema([("bucket", pa.int64()), ("tree", pa.int32()), ("key", pa.binary())])
 
     def run(batches):
         for batch in batches:
             for i in range(0, batch.num_rows, 2000):
                 part = batch.slice(i, 2000)
-                p = part.column(2).to_pylist()
-                bucket = np.frombuffer(b"".join(p), np.int64)
+                p = part.column(1).to_pylist()
                 at = pa.array(np.repeat(np.arange(len(p)), trees))
-                yield pa.RecordBatch.from_arrays([pa.array(bucket), pa.array(np.tile(np.arange(trees, dtype=np.int32), len(p))), part.column(0).take(at), part.column(1).take(at), part.column(2).take(at)], schema=schema)
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(b"".join(p), np.int64)), pa.array(np.tile(np.arange(trees, dtype=np.int32), len(p))), part.column(0).take(at)], schema=schema)
 
     return run
 
@@ -286,14 +286,20 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = written(source.mapInArrow(_base(size, trees, depth), "id long, key binary, prefixes binary"), "base")
     nodes = base.filter("key is not null").groupBy("key").agg(F.count("*").alias("copies"), F.min("id").alias("low"), F.max("prefixes").alias("prefixes"))
     nodes = written(nodes, "nodes")
-    rows = nodes.filter("prefixes is not null").select("key", "copies", "prefixes").mapInArrow(_explode(trees), "bucket long, tree int, key binary, copies long, prefixes binary")
+    full = nodes.filter("prefixes is not null").select("key", "copies", "prefixes")
+    rows = full.select("key", "prefixes").mapInArrow(_explode(trees), "bucket long, tree int, key binary")
     shared = written(rows.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1"), "shared")
-    rows = written(rows.join(shared, "bucket").select("bucket", "tree", "n", "key", "copies", "prefixes"), "meets")
+    rows = rows.join(shared, "bucket").join(full, "key")  # prefixes travel only for classes that meet another
+    rows = written(rows.select("bucket", "tree", "n", "key", "copies", "prefixes"), "meets")
     schema = pa.schema([("bucket", pa.int64()), ("tree", pa.int32()), ("n", pa.int64()), ("key", pa.binary()), ("copies", pa.int64()), ("prefixes", pa.binary())])
     few = rows.filter(F.col("n") <= light).repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_needed(schema), "bucket long, tree int, n long, key binary, copies long, prefixes binary")
     need = few.union(rows.filter(F.col("n") > light)).groupBy("key").agg(F.collect_list(F.struct("bucket", "tree", "n")).alias("at"), F.max("copies").alias("copies"), F.max("prefixes").alias("prefixes"))
-    need = need.join(nodes.select("key", "low"), "key")
-    sent = source.join(need, F.col("id").eqNullSafe(F.col("low"))).select("text", "key", "copies", "prefixes", "at").mapInArrow(_send(size, block), ", ".join(f"{n} {t}" for n, t, _ in SENT))
+    need = written(need.join(nodes.select("key", "low"), "key"), "need")
+    # most texts are in no candidate pair: a set of at most PLACES hash places, small enough to broadcast at any size of
+    # the corpus, keeps them from the shuffle
+    place = lambda c: F.pmod(F.xxhash64(c), F.lit(PLACES)).alias("place")
+    some = source.withColumn("place", place("id")).join(F.broadcast(need.select(place("low")).distinct()), "place", "left_semi")
+    sent = some.join(need.hint("merge"), F.col("id").eqNullSafe(F.col("low"))).select("text", "key", "copies", "prefixes", "at").mapInArrow(_send(size, block), ", ".join(f"{n} {t}" for n, t, _ in SENT))
     met = sent.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "key").mapInArrow(_verify(threshold), "key binary, links long, root binary")
     met = written(met, "links")
     links = met.groupBy("key").agg(F.sum("links").alias("links"))
