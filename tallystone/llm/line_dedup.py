@@ -88,7 +88,7 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     mark: Column = F.xxhash64(text, F.length(text))
     found = docs.select(text.alias("text"), id_.cast("long").alias("id"), mark.alias("row"), F.pmod(F.xxhash64(id_), F.lit(batches)).cast("int").alias("batch"))
     keys = written(found.mapInArrow(_keys(min_chars), "h binary, id long, row long, at array<int>, batch int"), "keys", "batch")
-    common = _merged(line_runs(keys, batches, fanout)).filter(F.col("n") >= min_docs).select("h", F.col("id").alias("top"))
+    common = written(_merged(line_runs(keys, batches, fanout)).filter(F.col("n") >= min_docs).select("h", F.col("id").alias("top")), "common")
     lose = keys.join(common, "h").filter(~F.col("id").eqNullSafe(F.col("top")))
     lose = lose.groupBy(F.col("id").alias("ld_id"), F.col("row").alias("ld_of")).agg(F.flatten(F.collect_list("at")).alias("ld_at"))
     d = docs.withColumn(row, mark)
