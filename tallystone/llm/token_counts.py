@@ -88,7 +88,7 @@ def trie_counts(words: list[bytes], table: Table) -> np.ndarray:
     best, count, roll = np.zeros((1, 1)), np.zeros((1, 1), np.int64), np.zeros((1, 0), U64)
     node = np.zeros(len(words), np.int64)
     lengths = np.arange(1, table.longest + 1, dtype=U64)
-    depth, live = 0, len(words)
+    depth, live = 0, int(np.searchsorted(-size, 0, "left"))
     while live:  # words longer than depth
         step, at = np.unique(node[:live] << 8 | data[first[:live] + depth], return_inverse=True)
         up, byte = step >> 8, (step & 255).astype(U64)
