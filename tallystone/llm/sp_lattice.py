@@ -1,10 +1,12 @@
 """SentencePiece encoding and decoding through a relational lattice.
 
-Documents are cut into pre-tokens (a run of word marks with the characters up
-to the next mark or line end, at most 48 of them; a line end stands alone) and
-packed in chunks of about ``chunk`` bytes: the distinct pre-tokens of the chunk
+Documents are cut into pre-tokens (a run of word marks with the letters and
+digits, or the other characters, that follow it, at most 48; a line end stands
+alone) and packed in chunks of about ``chunk`` bytes: the distinct pre-tokens of the chunk
 and, for each document, their numbers in order.  The chunks are stored in a
-table bucketed by chunk, and nothing is shuffled after that: the pre-tokens are
+table bucketed by chunk, and nothing is shuffled after that (the plan runs in a
+session of its own that keeps bucketed scans and sorted aggregation, both of
+which hold a chunk's rows together without large buffers): the pre-tokens are
 exploded to their substrings of bounded length, joined with the piece table (a
 fixed vocabulary, broadcast), grouped by pre-token, and folded by position with
 Spark's ``aggregate``: the best score to each end is the best over the edges
@@ -30,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -38,9 +40,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import free_names, shared_dir
 from .token_counts import MARK, MODEL, UNKNOWN, pieces
 
-CHUNK = 24_000_000
+CHUNK = 12_000_000
+#: Buckets of the chunk table for each shuffle partition: few chunks meet in a task.
+BUCKETS = 4
 LONGEST_WORD = 48
-WORD = re.compile(f"{MARK}{{0,16}}[^{MARK}\n]{{1,{LONGEST_WORD}}}|{MARK}{{1,16}}|\n")
+WORD = re.compile(rf"{MARK}{{0,16}}(?:[^\W_]{{1,{LONGEST_WORD}}}|_{{1,{LONGEST_WORD}}}|[^\w{MARK}\n]{{1,{LONGEST_WORD}}})|{MARK}{{1,16}}|\n")
 
 
 def pretokens(text: str) -> list[str]:
@@ -101,20 +105,22 @@ def _pack(rest: pa.Schema, text: str, chunk: int):
 def forward(word: Column, edges: Column) -> Column:
     """For each place in a word from 0: score of the best path to it, and the start and id of that path's last edge.
 
-    edges: array of (start, stop, id, score), sorted.
+    edges: array of (stop, start, id, score).  An edge of byte pieces is added for each character.  Edges are folded in
+    order of stop; the best to the present stop is kept beside the finished places.
     """
-    origin = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("start"), F.lit(0).alias("id")))
+    unknown = F.transform(F.sequence(F.lit(1), F.length(word)), lambda e: F.struct(e.alias("stop"), (e - 1).alias("start"), (-1 - F.ascii(F.substr(word, e, F.lit(1)))).alias("id"), F.lit(UNKNOWN).alias("score")))
 
-    def to(state: Column, stop: Column) -> Column:
-        unknown = F.struct((F.element_at(state, stop)["score"] + UNKNOWN).alias("score"), (stop - 1).alias("start"), (-1 - F.ascii(F.substr(word, stop, F.lit(1)))).alias("id"))
+    def place(s: Column) -> Column:
+        return F.struct(s["score"].alias("score"), s["start"].alias("start"), s["id"].alias("id"))
 
-        def better(best: Column, x: Column) -> Column:
-            score = F.element_at(state, x["start"] + 1)["score"] + x["score"]
-            return F.when(score > best["score"], F.struct(score.alias("score"), x["start"].alias("start"), x["id"].alias("id"))).otherwise(best)
+    def step(s: Column, x: Column) -> Column:
+        score = F.when(x["start"] == s["stop"], s["score"]).otherwise(F.element_at(s["best"], x["start"] + 1)["score"]) + x["score"]
+        best = F.when(x["stop"] == s["stop"], s["best"]).otherwise(F.concat(s["best"], F.array(place(s))))
+        here = F.struct(best.alias("best"), x["stop"].alias("stop"), score.alias("score"), x["start"].alias("start"), x["id"].alias("id"))
+        return F.when((x["stop"] == s["stop"]) & (score <= s["score"]), s).otherwise(here)
 
-        return F.concat(state, F.array(F.aggregate(F.filter(edges, lambda x: x["stop"] == stop), unknown, better)))
-
-    return F.aggregate(F.sequence(F.lit(1), F.length(word)), origin, to)
+    start = F.struct(F.array().cast("array<struct<score:double,start:int,id:int>>").alias("best"), F.lit(0).alias("stop"), F.lit(0.0).alias("score"), F.lit(0).alias("start"), F.lit(0).alias("id"))
+    return F.aggregate(F.array_sort(F.concat(edges, unknown)), start, step, lambda s: F.concat(s["best"], F.array(place(s))))
 
 
 def backward(lattice: Column) -> Column:
@@ -182,6 +188,19 @@ def _bytes_for_unknown(flat: np.ndarray, size: np.ndarray) -> tuple[np.ndarray,
     return out, np.bincount(owner, more, len(size)).astype(np.int64)
 
 
+def _own_session(spark: SparkSession) -> SparkSession:
+    """A session with the settings of ``spark``, but bucketed scans are kept, sides that are both dealt by chunk are joined
+    as they lie, and lists are collected from sorted rows."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    own.conf.set("spark.sql.execution.useObjectHashAggregateExec", "false")
+    return own
+
+
 def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, chunk: int = CHUNK, ids_col: str = "ids") -> DataFrame:
     """``docs`` without its text, with the ids of its pieces."""
     spark = docs.sparkSession
@@ -189,20 +208,21 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, chunk: i
     rest = T.StructType([f for f in docs.schema.fields if f.name != text_col])
     arrow_rest = to_arrow_schema(rest)
     schema = T.StructType([*rest.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
-    table = spark.createDataFrame(pieces(model), "id int, piece string, score double")
-    longest = max(len(p) for _, p, _ in pieces(model))
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    of = pieces(model)
+    longest = max(len(p) for _, p, _ in of)
+    n = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"sp_chunks_{uuid.uuid4().hex}"
     packed = docs.mapInArrow(_pack(arrow_rest, text_col, chunk), "chunk long, words array<string>, body binary, rows binary")
-    packed.write.bucketBy(n, "chunk").format("parquet").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
-    chunks = spark.table(name)
+    packed.write.bucketBy(n, "chunk").sortBy("chunk").format("parquet").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
+    own = _own_session(spark)
+    chunks, table = own.table(name), own.createDataFrame(of, "id int, piece string, score double")
     words = chunks.select("chunk", F.posexplode("words").alias("number", "word")).filter("word <> ''")
     starts = words.select("chunk", "number", "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
     subs = starts.select("chunk", "number", "word", "start", F.explode(F.sequence(F.col("start") + 1, F.least(F.length("word"), F.col("start") + longest))).alias("stop"))
     subs = subs.withColumn("piece", F.substr("word", F.col("start") + 1, F.col("stop") - F.col("start")))
-    edges = subs.join(F.broadcast(table), "piece").groupBy("number", "chunk").agg(F.collect_list(F.struct("start", "stop", "id", "score")).alias("edges"))
+    edges = subs.join(F.broadcast(table), "piece").groupBy("chunk", "number").agg(F.collect_list(F.struct("stop", "start", "id", "score")).alias("edges"))
     # a word of which no character is a piece has no edge
-    lattice = words.join(edges, ["chunk", "number"], "left").withColumn("edges", F.array_sort(F.coalesce("edges", F.array().cast("array<struct<start:int,stop:int,id:int,score:double>>"))))
+    lattice = words.join(edges, ["chunk", "number"], "left").withColumn("edges", F.coalesce("edges", F.array().cast("array<struct<stop:int,start:int,id:int,score:double>>")))
     paths = lattice.withColumn("lattice", forward(F.col("word"), F.col("edges"))).select("chunk", "number", backward(F.col("lattice")).alias("ids"))
     found = paths.groupBy("chunk").agg(F.collect_list(F.struct("number", "ids")).alias("ids"))
     return chunks.select("chunk", "body", "rows").join(found, "chunk", "left").mapInArrow(_encode(arrow_rest, to_arrow_schema(schema)), schema)
