@@ -44,7 +44,7 @@ from .common import U64, Words, blocks, spaces_table, written
 from .language_id import held_out
 from .token_counts import MODEL
 
-CHUNK, STRIDE, DIM, HIDDEN, CLASSES, SLOTS, VOCAB, BEGIN, END = 24_000_000, 16, 16, 32, 256, 2048, 32_000, 1, 2
+CHUNK, STRIDE, DIM, HIDDEN, CLASSES, SLOTS, VOCAB, BEGIN, END = 14_000_000, 16, 16, 32, 256, 2048, 32_000, 1, 2
 EDGE = U64(0)  # hash of the end, counted as a word
 F32 = np.float32
 
@@ -151,63 +151,67 @@ def train(windows: np.ndarray, of: np.ndarray, p: dict[str, np.ndarray], batch:
     return p
 
 
+MOST = 60.0  # logits that could be larger are cut there, so that exp and its sums stay finite
+
+
 class Scorer:
     """Scores documents of ids; keys, values and queries are tables by id."""
 
     def __init__(self, p: dict[str, np.ndarray], of: np.ndarray, within: np.ndarray):
-        self.p, self.of, self.within = p, of.astype(np.int32), within
+        self.p, self.of, self.within = p, of, within
         e = p["slot"][np.arange(len(of)) % SLOTS] + p["class"][of]
-        self.e, self.q, self.k, self.v = e, e @ p["q"] * F32(DIM**-0.5), e @ p["k"], e @ p["v"]
-        bias = gap_bias(p["near"], STRIDE, 2 * STRIDE)
-        first = bias.copy()
-        first[:, :STRIDE] = -1e9
-        self.bias = np.stack([bias, first])
-
-    def log10(self, ids: np.ndarray, offs: np.ndarray, batch: int = 1024) -> np.ndarray:
+        self.e, self.q, self.k = e, e @ p["q"] * F32(DIM**-0.5), e @ p["k"]
+        self.v = np.concatenate([e @ p["v"], np.ones((len(of), 1), F32)], axis=1)  # the last column sums the weights
+        self.bias = np.ascontiguousarray(gap_bias(p["near"], STRIDE, 2 * STRIDE).T)
+        self.ones = np.ones(CLASSES, F32)
+        self.out = np.concatenate([p["out"], p["bias"][None]])  # the last row meets a column of ones
+        self.steep = float(np.abs(self.out).sum(0).max())
+        self.sharp = float(np.abs(self.q).max() * np.abs(self.k).max() * DIM + np.abs(p["near"]).max())
+
+    def log10(self, ids: np.ndarray, offs: np.ndarray, batch: int = 256) -> np.ndarray:
         """log10 probability of each document's ids (offs: offsets); the first is predicted from BEGIN alone."""
         size = np.diff(offs)
         rows = -(-size // STRIDE)
         first_row = np.cumsum(rows) - rows
         n = int(rows.sum())
-        x, y = np.zeros((n, STRIDE), np.int32), np.full((n, STRIDE), -1, np.int32)
+        x, y = np.zeros((n + 1, STRIDE), np.int32), np.full((n + 1, STRIDE), -1, np.int32)  # row 0 is no document's
         doc = np.repeat(np.arange(len(size)), size)
-        within_doc = np.arange(len(ids)) - offs[doc]
-        cell = first_row[doc] * STRIDE + within_doc
+        cell = (first_row[doc] + 1) * STRIDE + np.arange(len(ids)) - offs[doc]
         y.ravel()[cell] = ids
         begin = np.empty(len(ids), np.int32)
         begin[1:] = ids[:-1]
         begin[offs[:-1][size > 0]] = BEGIN
         x.ravel()[cell] = begin
-        opening = np.zeros(n, np.int64)
-        opening[first_row[rows > 0]] = 1
+        opening = np.zeros(n + 1, bool)
+        opening[first_row[rows > 0] + 1] = True
         total = np.zeros(n)
-        for a in range(0, n, batch):
-            b = min(n, a + batch)
-            lo = max(0, a - 1)
-            kk, vv = self.k[x[lo:b]], self.v[x[lo:b]]
-            if a == 0:
-                kk, vv = np.concatenate([kk[:1], kk]), np.concatenate([vv[:1], vv])
-            now, target = x[a:b], y[a:b]
-            s = np.empty((b - a, STRIDE, 2 * STRIDE), F32)
-            q = self.q[now]
-            np.matmul(q, kk[:-1].transpose(0, 2, 1), out=s[:, :, :STRIDE])
-            np.matmul(q, kk[1:].transpose(0, 2, 1), out=s[:, :, STRIDE:])
-            s += self.bias[opening[a:b]]
-            s -= s.max(-1, keepdims=True)
-            np.exp(s, out=s)
-            h = (s[:, :, :STRIDE] @ vv[:-1] + s[:, :, STRIDE:] @ vv[1:]) / s.sum(-1, keepdims=True)
-            h += self.e[now]
-            h = h.reshape(-1, DIM)
-            h += np.maximum(h @ self.p["w1"], 0) @ self.p["w2"]
-            o = h @ self.p["out"]
-            o += self.p["bias"]
-            o -= o.max(-1, keepdims=True)
-            t = target.ravel()
-            safe = np.maximum(t, 0)
-            hit = o[np.arange(len(t)), self.of[safe]].astype(np.float64)
+        space = np.empty((min(batch, n) * STRIDE, CLASSES), F32)
+        for a in range(1, n + 1, batch):
+            b = min(n + 1, a + batch)
+            target = y[a:b].ravel()
+            # a window is two rows of ids that follow each other in memory: windows overlap without copies
+            kk, vv = (np.take(z, x[a - 1 : b], axis=0) for z in (self.k, self.v))
+            kk, vv = (np.lib.stride_tricks.as_strided(z, (b - a, 2 * STRIDE, z.shape[2]), z.strides) for z in (kk, vv))
+            w = kk @ np.ascontiguousarray(np.take(self.q, x[a:b], axis=0).transpose(0, 2, 1))  # (window, key, query)
+            w += self.bias
+            w[opening[a:b], :STRIDE] = -1e9
+            if self.sharp > MOST:
+                np.minimum(w, F32(MOST), out=w)
+            np.exp(w, out=w)
+            w = w.transpose(0, 2, 1) @ vv
+            h = np.ones((len(target), DIM + 1), F32)
+            h[:, :DIM] = (w[:, :, :DIM] / w[:, :, DIM:] + np.take(self.e, x[a:b], axis=0)).reshape(-1, DIM)
+            t = h[:, :DIM] @ self.p["w1"]
+            np.maximum(t, 0, out=t)
+            h[:, :DIM] += t @ self.p["w2"]
+            o = np.matmul(h, self.out, out=space[: len(h)])
+            if self.steep * float(np.abs(h).max()) > MOST:
+                np.minimum(o, F32(MOST), out=o)
+            safe = np.maximum(target, 0)
+            hit = o[np.arange(len(safe)), np.take(self.of, safe)].astype(np.float64)
             np.exp(o, out=o)
-            score = hit - np.log(o.sum(-1, dtype=np.float64)) + self.within[safe]
-            total[a:b] = np.where(t >= 0, score, 0).reshape(-1, STRIDE).sum(1)
+            score = hit - np.log((o @ self.ones).astype(np.float64)) + np.take(self.within, safe)
+            total[a - 1 : b - 1] = np.where(target >= 0, score, 0).reshape(-1, STRIDE).sum(1)
         out = np.zeros(len(size))
         full = rows > 0
         if full.any():
@@ -217,7 +221,7 @@ class Scorer:
 
 # ------------------------------------------------------------ over the corpus
 
-PACKED = pa.schema([("kind", pa.string()), ("chunk", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("body", pa.binary())])
+PACKED = pa.schema([("kind", pa.string()), ("chunk", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("at", pa.int32()), ("body", pa.binary())])
 
 
 def _arrays(*xs: np.ndarray) -> bytes:
@@ -237,12 +241,13 @@ def _from_arrays(body: bytes, *kinds) -> list[np.ndarray]:
 
 def spread(values: np.ndarray, offs: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Concatenation of the ragged rows ``which`` of ``values``, and each row's length."""
-    k = (offs[1:] - offs[:-1])[which]
-    return values[np.repeat(offs[:-1][which] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))], k
+    first = offs[which]
+    k = offs[which + 1] - first
+    return values[np.repeat(first - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))], k
 
 
 def _pack(model: str, chunk: int):
-    """(id, text, train) -> rows of PACKED: 'chunk' (documents), 'word' (hash, count in training), 'id' (likewise), 'window'."""
+    """(id, text, train) -> rows of PACKED: 'chunk' (documents), 'word' (hash, count in training, number in the chunk), 'id' (likewise), 'window'."""
 
     def run(batches):
         import sentencepiece
@@ -259,13 +264,16 @@ def _pack(model: str, chunk: int):
             train = np.concatenate(trains)
             doc = np.repeat(np.arange(len(per_doc)), per_doc)
             count = np.bincount(seq, train[doc], len(distinct)).astype(np.int64)
-            pieces = sp.encode([words[x].decode("utf-8", "replace") for x in distinct.tolist()], num_threads=1)
-            length = np.fromiter(map(len, pieces), np.int64, len(pieces))
-            sub = np.fromiter(chain.from_iterable(pieces), np.uint16, int(length.sum()))
-            body = _arrays(np.concatenate(ids), np.concatenate(nulls), per_doc, seq.astype(np.uint32), distinct, length.astype(np.uint32), sub)
+            lengths, subs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)]
+            for a in range(0, len(distinct), 20_000):
+                pieces = sp.encode([words.pop(x).decode("utf-8", "replace") for x in distinct[a : a + 20_000].tolist()], num_threads=1)
+                lengths.append(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+                subs.append(np.fromiter(chain.from_iterable(pieces), np.uint16, int(lengths[-1].sum())))
+            length, sub = np.concatenate(lengths), np.concatenate(subs)
+            body = _arrays(np.concatenate(ids), np.concatenate(nulls), per_doc, seq.astype(np.uint32), length.astype(np.uint32), sub)
             yield rows("chunk", [0], [0], [body])
             for a in range(0, len(distinct), 50_000):
-                yield rows("word", distinct[a : a + 50_000].view(np.int64), count[a : a + 50_000])
+                yield rows("word", distinct[a : a + 50_000].view(np.int64), count[a : a + 50_000], at=a)
             offs = np.concatenate([[0], np.cumsum(length)])
             many = np.bincount(sub, np.repeat(count, length), VOCAB).astype(np.int64)
             many[END] += int(train.sum())
@@ -283,12 +291,12 @@ def _pack(model: str, chunk: int):
             for a in range(0, len(out), 1000):
                 yield rows("window", [0] * len(out[a : a + 1000]), [0] * len(out[a : a + 1000]), out[a : a + 1000])
 
-        def rows(kind, h, n, body=None):
+        def rows(kind, h, n, body=None, at=0):
             k = len(h)
-            return pa.RecordBatch.from_arrays([pa.array([kind] * k), pa.array(np.full(k, part << 32 | made)), pa.array(np.asarray(h, np.int64)), pa.array(np.asarray(n, np.int64)), pa.array(body if body is not None else [None] * k, pa.binary())], schema=PACKED)
+            return pa.RecordBatch.from_arrays([pa.array([kind] * k), pa.array(np.full(k, part << 32 | made)), pa.array(np.asarray(h, np.int64)), pa.array(np.asarray(n, np.int64)), pa.array(np.arange(at, at + k, dtype=np.int32)), pa.array(body if body is not None else [None] * k, pa.binary())], schema=PACKED)
 
         for batch in batches:
-            for some, data, offs in blocks(batch, "text"):
+            for some, data, offs in blocks(batch, "text", 1_000_000):
                 w = Words(data, offs, table)
                 h = w.hashes()
                 h[h == EDGE] = U64(1)
@@ -349,7 +357,7 @@ SCORED = pa.schema([("id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa
 
 
 def _score(model, total: int, distinct: int, ends: int):
-    """(chunk, body, counts: array of (h, c) of words in training) -> SCORED."""
+    """(chunk, body, counts: array of (at, c): a word's number in the chunk, its count in training) -> SCORED."""
 
     def run(batches):
         counts, p = model.value
@@ -357,12 +365,11 @@ def _score(model, total: int, distinct: int, ends: int):
         norm = np.log10(total + 0.1 * (distinct + 1))
         for batch in batches:
             for r in range(batch.num_rows):
-                ids, nulls, per_doc, seq, words, length, sub = _from_arrays(batch.column("body")[r].as_py(), np.int64, np.bool_, np.int64, np.uint32, U64, np.uint32, np.uint16)
-                c = np.zeros(len(words))
+                ids, nulls, per_doc, seq, length, sub = _from_arrays(batch.column("body")[r].as_py(), np.int64, np.bool_, np.int64, np.uint32, np.uint32, np.uint16)
+                c = np.zeros(len(length))
                 if batch.column("counts")[r].is_valid:
                     got = batch.column("counts")[r].values
-                    h = np.asarray(got.field(0)).view(U64)
-                    c[np.searchsorted(words, h)] = np.asarray(got.field(1))
+                    c[np.asarray(got.field(0))] = np.asarray(got.field(1))
                 value, known = np.log10(c + 0.1), (c > 0).astype(np.int64)
                 edge = np.concatenate([[0], np.cumsum(per_doc)])
                 offs = np.concatenate([[0], np.cumsum(length.astype(np.int64))])
@@ -390,12 +397,12 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """A row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), (~held_out(id_col, folds)).alias("train"))
-    packed = written(source.mapInArrow(_pack(model, chunk), "kind string, chunk long, h long, n long, body binary"), "packed", "kind")
+    packed = written(source.mapInArrow(_pack(model, chunk), "kind string, chunk long, h long, n long, at int, body binary"), "packed")
     words = packed.filter("kind = 'word'")
     total = written(words.filter("n > 0").groupBy("h").agg(F.sum("n").alias("c")), "counts")
     n, v = total.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     ends = source.filter("train").count()
-    back = words.select("chunk", "h").join(total, "h").groupBy("chunk").agg(F.collect_list(F.struct("h", "c")).alias("counts"))
+    back = words.select("chunk", "h", "at").join(total, "h").groupBy("chunk").agg(F.collect_list(F.struct("at", "c")).alias("counts"))
     n, v = n + ends, v + (ends > 0)
     trained = spark.sparkContext.broadcast(fit(packed))
     chunks = packed.filter("kind = 'chunk'").select("chunk", "body").join(back, "chunk", "left").select("chunk", "body", "counts")
