@@ -40,7 +40,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import free_names, shared_dir
 from .token_counts import MARK, MODEL, UNKNOWN, pieces
 
-CHUNK = 12_000_000
+CHUNK = 6_000_000
 #: Buckets of the chunk table for each shuffle partition: few chunks meet in a task.
 BUCKETS = 4
 LONGEST_WORD = 48
@@ -201,8 +201,8 @@ def _own_session(spark: SparkSession) -> SparkSession:
     return own
 
 
-def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, chunk: int = CHUNK, ids_col: str = "ids") -> DataFrame:
-    """``docs`` without its text, with the ids of its pieces."""
+def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, chunk: int = CHUNK, ids_col: str = "ids", decoded_col: str | None = None) -> DataFrame:
+    """``docs`` without its text, with the ids of its pieces; with ``decoded_col``, the same tasks also decode them."""
     spark = docs.sparkSession
     (ids,) = free_names(docs, ids_col)
     rest = T.StructType([f for f in docs.schema.fields if f.name != text_col])
@@ -225,7 +225,22 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, chunk: i
     lattice = words.join(edges, ["chunk", "number"], "left").withColumn("edges", F.coalesce("edges", F.array().cast("array<struct<stop:int,start:int,id:int,score:double>>")))
     paths = lattice.withColumn("lattice", forward(F.col("word"), F.col("edges"))).select("chunk", "number", backward(F.col("lattice")).alias("ids"))
     found = paths.groupBy("chunk").agg(F.collect_list(F.struct("number", "ids")).alias("ids"))
-    return chunks.select("chunk", "body", "rows").join(found, "chunk", "left").mapInArrow(_encode(arrow_rest, to_arrow_schema(schema)), schema)
+    run = _encode(arrow_rest, to_arrow_schema(schema))
+    if decoded_col:
+        schema = T.StructType([*schema.fields, T.StructField(free_names_in(schema, decoded_col), T.StringType())])
+        run = _both(run, _decode(ids, to_arrow_schema(schema), _piece_bytes(spark, model)))
+    return chunks.select("chunk", "body", "rows").join(found, "chunk", "left").mapInArrow(run, schema)
+
+
+def _both(first, then):
+    return lambda batches: then(first(batches))
+
+
+def free_names_in(schema: T.StructType, name: str) -> str:
+    have = {f.name.lower() for f in schema.fields}
+    while name.lower() in have:
+        name = "_" + name
+    return name
 
 
 def _decode(ids: str, schema: pa.Schema, part):
@@ -251,22 +266,25 @@ def _decode(ids: str, schema: pa.Schema, part):
     return run
 
 
-def decode(encoded: DataFrame, ids_col: str = "ids", model: str = MODEL, text_col: str = "decoded") -> DataFrame:
-    """``encoded`` with the text that its ids stand for; null ids: empty text."""
+def _piece_bytes(spark: SparkSession, model: str):
+    """Broadcast of all pieces' bytes in a row, where each begins, and how many they are."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model)
     table = [bytes([int(sp.id_to_piece(i)[3:5], 16)]) if sp.is_byte(i) else b"" if sp.is_control(i) or sp.is_unknown(i) else sp.id_to_piece(i).replace(MARK, " ").encode() for i in range(sp.get_piece_size())]
     size = np.fromiter(map(len, table), np.int64, len(table))
-    part = encoded.sparkSession.sparkContext.broadcast((np.frombuffer(b"".join(table), np.uint8), np.cumsum(size) - size, size))
-    (name,) = free_names(encoded, text_col)
-    schema = T.StructType([*encoded.schema.fields, T.StructField(name, T.StringType())])
-    return encoded.mapInArrow(_decode(ids_col, to_arrow_schema(schema), part), schema)
+    return spark.sparkContext.broadcast((np.frombuffer(b"".join(table), np.uint8), np.cumsum(size) - size, size))
+
+
+def decode(encoded: DataFrame, ids_col: str = "ids", model: str = MODEL, text_col: str = "decoded") -> DataFrame:
+    """``encoded`` with the text that its ids stand for; null ids: empty text."""
+    schema = T.StructType([*encoded.schema.fields, T.StructField(free_names(encoded, text_col)[0], T.StringType())])
+    return encoded.mapInArrow(_decode(ids_col, to_arrow_schema(schema), _piece_bytes(encoded.sparkSession, model)), schema)
 
 
 def digests(docs: DataFrame) -> DataFrame:
     """doc_id, number and digest of its pieces, and digest of the text decoded from them."""
-    out = decode(encode(docs.select("doc_id", "text")))
+    out = encode(docs.select("doc_id", "text"), decoded_col="decoded")
     return out.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), F.lower(F.hex(F.xxhash64("ids"))).alias("pieces_hash"), F.sha2(F.col("decoded").cast("binary"), 256).alias("text_sha256"))
 
 

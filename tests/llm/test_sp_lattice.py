@@ -53,6 +53,13 @@ def test_long_text_empty_table_and_names(spark):
     assert (r["ids"], r["decoded"], r["chunk"]) == ("k", "ab", None)
 
 
+def test_decoding_in_the_same_tasks(spark):
+    rows = [(1, "The quick  brown\nfox é日"), (2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: (list(r["ids"]), r["decoded"]) for r in encode(df, decoded_col="decoded").collect()}
+    assert got == {i: (brute(t), t or "") for i, t in rows}
+
+
 @settings(max_examples=6, deadline=None)
 @given(st.lists(st.text(alphabet="abthe ▁\né日\x00", max_size=40), min_size=1, max_size=10))
 def test_any_text(spark, texts):
