@@ -13,10 +13,12 @@ scored once (the first window of a document has no first half).  Windows are
 scored in batches with a mask for the future and for what is not of the
 document.
 
-Training: every training document gives one window (at a place chosen by its
-digest), so training data grow with the corpus.  Trainers run on the executors,
-each over its share of the windows from the same start, and their parameters
-are averaged.  Counts of words and of ids cover all training documents.
+Training: every stride-aligned window of every training document is learned
+from as it is scored, by its second half, so each training id is learned once a
+pass.  Trainers run on the executors and read the chunks where they lie: each
+makes the windows of some documents at a time, starts anew after its share, and
+their parameters are averaged.  Counts of words and of ids cover all training
+documents.
 
 The base score needs the count of every word of every document.  Documents are
 packed in chunks; a chunk's distinct words go out once with their counts in the
@@ -30,7 +32,6 @@ untrained one; equal rows get equal scores.  64-bit hashes stand for words.
 
 from __future__ import annotations
 
-import hashlib
 from itertools import chain
 
 import numpy as np
@@ -45,6 +46,8 @@ from .language_id import held_out
 from .token_counts import MODEL
 
 CHUNK, STRIDE, DIM, HIDDEN, CLASSES, SLOTS, VOCAB, BEGIN, END = 14_000_000, 16, 16, 32, 256, 2048, 32_000, 1, 2
+#: Windows of a trainer and of one of its steps; tasks that add parameters up.
+SHARE, BATCH, SUMMERS = 100_000, 128, 8
 EDGE = U64(0)  # hash of the end, counted as a word
 F32 = np.float32
 
@@ -79,76 +82,119 @@ def flat(p: dict[str, np.ndarray]) -> np.ndarray:
     return np.concatenate([p[k].ravel() for k in SHAPES])
 
 
-def shaped(x: np.ndarray) -> dict[str, np.ndarray]:
+def views(x: np.ndarray) -> dict[str, np.ndarray]:
     out, at = {}, 0
     for k, s in SHAPES.items():
         n = int(np.prod(s))
-        out[k] = x[at : at + n].reshape(s).astype(F32)
+        out[k] = x[at : at + n].reshape(s)
         at += n
     return out
 
 
+def shaped(x: np.ndarray) -> dict[str, np.ndarray]:
+    return views(x.astype(F32))
+
+
 def gap_bias(near: np.ndarray, queries: int, keys: int) -> np.ndarray:
     """(queries, keys): the bias by distance, and -1e9 for the future; the last query stands at the last key."""
     back = np.arange(keys - queries, keys)[:, None] - np.arange(keys)[None, :]
     return np.where(back >= 0, near[np.clip(back, 0, len(near) - 1)], F32(-1e9)).astype(F32)
 
 
+class Learner:
+    """Adam on the parameters ``x``, one flat array (``p``: its parts by name)."""
+
+    def __init__(self, of: np.ndarray, p: dict[str, np.ndarray], rate: float = 0.01):
+        self.of, self.rate, self.step, self.x = of, rate, 0, flat(p).astype(F32)
+        self.g, self.m, self.s = (np.zeros_like(self.x) for _ in range(3))
+        self.p, self.d = views(self.x), views(self.g)
+        self.back = np.arange(STRIDE, 2 * STRIDE)[:, None] - np.arange(2 * STRIDE)[None, :]
+        self.space, self.ones = np.empty((0, CLASSES), F32), np.ones(CLASSES, F32)
+
+    def learn(self, w: np.ndarray) -> None:
+        """A step on (n, 2 * stride + 1) ids (-1: none): the second half is predicted, from all before it in the window."""
+        p, g, of = self.p, self.d, self.of
+        y = w[:, STRIDE + 1 :].ravel()
+        live = np.flatnonzero(y >= 0)
+        if not len(live):
+            return
+        seen, x = w[:, :-1] >= 0, np.maximum(w[:, :-1], 0)
+        slot, kind = x % SLOTS, of[x]
+        e = np.take(p["slot"], slot, axis=0)
+        e += np.take(p["class"], kind, axis=0)
+        late = np.ascontiguousarray(e[:, STRIDE:])
+        q, k, v = late @ p["q"], e @ p["k"], e @ p["v"]
+        a = q @ k.transpose(0, 2, 1) * F32(DIM**-0.5) + gap_bias(p["near"], STRIDE, 2 * STRIDE)
+        a += np.where(seen, F32(0), F32(-1e9))[:, None, :]
+        a -= a.max(-1, keepdims=True)
+        np.exp(a, out=a)
+        a /= a.sum(-1, keepdims=True)
+        h = (late + a @ v).reshape(-1, DIM)
+        z = h @ p["w1"]
+        t = np.maximum(z, 0)
+        h2 = np.ones((len(h), DIM + 1), F32)  # a column of ones meets the bias
+        h2[:, :DIM] = h + t @ p["w2"]
+        out = np.concatenate([p["out"], p["bias"][None]])
+        if len(self.space) < len(h):
+            self.space = np.empty((len(h), CLASSES), F32)
+        o = np.matmul(h2, out, out=self.space[: len(h)])
+        if float(np.abs(out).sum(0).max()) * float(np.abs(h2).max()) > MOST:
+            np.minimum(o, F32(MOST), out=o)
+        np.exp(o, out=o)
+        weight = np.zeros(len(y), F32)
+        weight[live] = F32(1 / len(live))
+        o *= (weight / (o @ self.ones))[:, None]
+        o[live, of[y[live]]] -= weight[live]
+        d = h2.T @ o
+        g["out"][:], g["bias"][:] = d[:DIM], d[DIM]
+        d2 = o @ p["out"].T
+        g["w2"][:] = t.T @ d2
+        dz = (d2 @ p["w2"].T) * (z > 0)
+        g["w1"][:] = h.T @ dz
+        dh = (d2 + dz @ p["w1"].T).reshape(late.shape)
+        da = dh @ v.transpose(0, 2, 1)
+        dv = a.transpose(0, 2, 1) @ dh
+        da = a * (da - (da * a).sum(-1, keepdims=True))
+        past = self.back >= 0
+        g["near"][:] = np.bincount(self.back[past], da.sum(0)[past], 2 * STRIDE)
+        dq, dk = da @ k * F32(DIM**-0.5), da.transpose(0, 2, 1) @ q * F32(DIM**-0.5)
+        de = dk @ p["k"].T + dv @ p["v"].T
+        de[:, STRIDE:] += dh + dq @ p["q"].T
+        g["q"][:] = late.reshape(-1, DIM).T @ dq.reshape(-1, DIM)
+        g["k"][:], g["v"][:] = (e.reshape(-1, DIM).T @ d.reshape(-1, DIM) for d in (dk, dv))
+        de = de.ravel().astype(np.float64)
+        for name, at in (("slot", slot), ("class", kind)):
+            g[name][:] = np.bincount((at[..., None] * DIM + np.arange(DIM)).ravel(), de, g[name].size).reshape(-1, DIM)
+        self.step += 1
+        self.m += F32(0.1) * (self.g - self.m)
+        self.s += F32(0.01) * (self.g**2 - self.s)
+        self.x -= F32(self.rate / (1 - 0.9**self.step)) * self.m / (np.sqrt(self.s / F32(1 - 0.99**self.step)) + F32(1e-8))
+
+
 def train(windows: np.ndarray, of: np.ndarray, p: dict[str, np.ndarray], batch: int = 64, rate: float = 0.01) -> dict[str, np.ndarray]:
-    """Adam over (n, 2 * stride + 1) windows of ids (-1: none), once or, if there are few, up to twenty times."""
-    p = {k: v.copy() for k, v in p.items()}
-    m, s = ({k: np.zeros_like(v) for k, v in p.items()} for _ in range(2))
-    step, size = 0, 2 * STRIDE
-    rounds = int(np.clip(40_000 // max(1, len(windows)), 1, 20))
-    r = np.random.default_rng(1)
-    back = np.arange(size)[:, None] - np.arange(size)[None, :]
-    for _ in range(rounds):
+    """Parameters learned from windows in memory, once or, if there are few, up to twenty times."""
+    learner, r = Learner(of, p, rate), np.random.default_rng(1)
+    for _ in range(int(np.clip(40_000 // max(1, len(windows)), 1, 20))):
         order = r.permutation(len(windows))
         for at in range(0, len(order), batch):
-            w = windows[order[at : at + batch]]
-            x, y = w[:, :-1], w[:, 1:]
-            live = (y >= 0) & (x >= 0)
-            if not live.any():
-                continue
-            x, y = np.maximum(x, 0), of[np.maximum(y, 0)]
-            g = {}
-            e = p["slot"][x % SLOTS] + p["class"][of[x]]
-            q, k, v = e @ p["q"], e @ p["k"], e @ p["v"]
-            a = q @ k.transpose(0, 2, 1) * F32(DIM**-0.5) + gap_bias(p["near"], size, size)
-            a = np.exp(a - a.max(-1, keepdims=True))
-            a /= a.sum(-1, keepdims=True)
-            h = e + a @ v
-            z = h @ p["w1"]
-            t = np.maximum(z, 0)
-            h2 = h + t @ p["w2"]
-            o = h2 @ p["out"] + p["bias"]
-            o = np.exp(o - o.max(-1, keepdims=True))
-            o /= o.sum(-1, keepdims=True)
-            np.put_along_axis(o, y[..., None], np.take_along_axis(o, y[..., None], -1) - 1, -1)
-            o *= live[..., None] / F32(live.sum())
-            g["bias"], g["out"] = o.sum((0, 1)), h2.reshape(-1, DIM).T @ o.reshape(-1, CLASSES)
-            d2 = o @ p["out"].T
-            g["w2"] = t.reshape(-1, HIDDEN).T @ d2.reshape(-1, DIM)
-            dz = (d2 @ p["w2"].T) * (z > 0)
-            g["w1"] = h.reshape(-1, DIM).T @ dz.reshape(-1, HIDDEN)
-            dh = d2 + dz @ p["w1"].T
-            da = dh @ v.transpose(0, 2, 1)
-            dv = a.transpose(0, 2, 1) @ dh
-            da = a * (da - (da * a).sum(-1, keepdims=True))
-            g["near"] = np.bincount(back[back >= 0], da.sum(0)[back >= 0], size).astype(F32)
-            dq, dk = da @ k * F32(DIM**-0.5), da.transpose(0, 2, 1) @ q * F32(DIM**-0.5)
-            de = dh + dq @ p["q"].T + dk @ p["k"].T + dv @ p["v"].T
-            e2 = e.reshape(-1, DIM).T
-            g["q"], g["k"], g["v"] = (e2 @ d.reshape(-1, DIM) for d in (dq, dk, dv))
-            g["slot"], g["class"] = np.zeros_like(p["slot"]), np.zeros_like(p["class"])
-            np.add.at(g["slot"], x % SLOTS, de)
-            np.add.at(g["class"], of[x], de)
-            step += 1
-            for n in p:
-                m[n] += F32(0.1) * (g[n] - m[n])
-                s[n] += F32(0.01) * (g[n] ** 2 - s[n])
-                p[n] -= F32(rate / (1 - 0.9**step)) * m[n] / (np.sqrt(s[n] / F32(1 - 0.99**step)) + F32(1e-8))
-    return p
+            learner.learn(windows[order[at : at + batch]])
+    return learner.p
+
+
+def windows_of(ids: np.ndarray, offs: np.ndarray) -> np.ndarray:
+    """(n, 2 * stride + 1): every stride-aligned window of documents of ids (offs: offsets; each has an id); -1: none.
+
+    The ids at stride * k + 1 and on, BEGIN first, are the second half of a document's window k; each is there once.
+    """
+    size = np.diff(offs)
+    rows = -(-size // STRIDE)
+    first = np.repeat(np.cumsum(rows) - rows, rows)
+    doc = np.repeat(np.arange(len(size)), rows)
+    at = ((np.arange(len(doc)) - first) * STRIDE - STRIDE - 1)[:, None] + np.arange(2 * STRIDE + 1)  # place in the document; -1 is BEGIN
+    inside = (at >= 0) & (at < size[doc][:, None])
+    out = np.where(inside, ids[np.where(inside, at + offs[:-1][doc][:, None], 0)], -1)
+    out[at == -1] = BEGIN
+    return out
 
 
 MOST = 60.0  # logits that could be larger are cut there, so that exp and its sums stay finite
@@ -247,14 +293,14 @@ def spread(values: np.ndarray, offs: np.ndarray, which: np.ndarray) -> tuple[np.
 
 
 def _pack(model: str, chunk: int):
-    """(id, text, train) -> rows of PACKED: 'chunk' (documents), 'word' (hash, count in training, number in the chunk), 'id' (likewise), 'window'."""
+    """(id, text, train) -> rows of PACKED: 'chunk' (documents), 'word' (hash, count in training, number in the chunk), 'id' (likewise)."""
 
     def run(batches):
         import sentencepiece
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
         table, part, made = spaces_table(), TaskContext.get().partitionId(), 0
-        hashes, sizes, ids, nulls, trains, spots, words = [], [], [], [], [], [], {}
+        hashes, sizes, ids, nulls, trains, words = [], [], [], [], [], {}
         held = 0
 
         def flush():
@@ -270,26 +316,14 @@ def _pack(model: str, chunk: int):
                 lengths.append(np.fromiter(map(len, pieces), np.int64, len(pieces)))
                 subs.append(np.fromiter(chain.from_iterable(pieces), np.uint16, int(lengths[-1].sum())))
             length, sub = np.concatenate(lengths), np.concatenate(subs)
-            body = _arrays(np.concatenate(ids), np.concatenate(nulls), per_doc, seq.astype(np.uint32), length.astype(np.uint32), sub)
+            body = _arrays(np.concatenate(ids), np.concatenate(nulls), per_doc, seq.astype(np.uint32), length.astype(np.uint32), sub, train)
             yield rows("chunk", [0], [0], [body])
             for a in range(0, len(distinct), 50_000):
                 yield rows("word", distinct[a : a + 50_000].view(np.int64), count[a : a + 50_000], at=a)
-            offs = np.concatenate([[0], np.cumsum(length)])
             many = np.bincount(sub, np.repeat(count, length), VOCAB).astype(np.int64)
             many[END] += int(train.sum())
             at = np.flatnonzero(many)
             yield rows("id", at, many[at])
-            first = np.cumsum(per_doc) - per_doc
-            out = []
-            for d, spot in zip(np.flatnonzero(train).tolist(), np.concatenate(spots)[train].tolist(), strict=True):
-                # words from a place on, as many as surely fill the window; the document's end if they reach it
-                a = first[d] + (spot % max(1, per_doc[d]))
-                b = min(first[d] + per_doc[d], a + 2 * STRIDE)
-                got = spread(sub, offs, seq[a:b])[0].astype(np.int16)
-                w = [*([BEGIN] if a == first[d] else []), *got.tolist(), *([END] if b == first[d] + per_doc[d] else [])][: 2 * STRIDE + 1]
-                out.append(np.array(w + [-1] * (2 * STRIDE + 1 - len(w)), np.int16).tobytes())
-            for a in range(0, len(out), 1000):
-                yield rows("window", [0] * len(out[a : a + 1000]), [0] * len(out[a : a + 1000]), out[a : a + 1000])
 
         def rows(kind, h, n, body=None, at=0):
             k = len(h)
@@ -310,47 +344,97 @@ def _pack(model: str, chunk: int):
                 ids.append(np.asarray(id_.fill_null(0)).astype(np.int64))
                 nulls.append(np.asarray(id_.is_null().to_numpy(zero_copy_only=False)))
                 trains.append(some.column(some.schema.get_field_index("train")).to_numpy(zero_copy_only=False))
-                spots.append(np.array([int.from_bytes(hashlib.blake2b(data[a:b].tobytes(), digest_size=4).digest(), "little") for a, b in zip(offs[:-1].tolist(), offs[1:].tolist(), strict=True)], np.int64))
                 held += len(data)
                 if held >= chunk:
                     yield from flush()
                     made += 1
-                    hashes, sizes, ids, nulls, trains, spots, words, held = [], [], [], [], [], [], {}, 0
+                    hashes, sizes, ids, nulls, trains, words, held = [], [], [], [], [], {}, 0
         if sizes:
             yield from flush()
 
     return run
 
 
-def _trainer(of_counts):
-    schema = pa.schema([("n", pa.int64()), ("p", pa.binary())])
+def _read(body: bytes):
+    """Arrays of a chunk: ids, nulls, words of each document, words by number, pieces of each number, pieces, train."""
+    return _from_arrays(body, np.int64, np.bool_, np.int64, np.uint32, np.uint32, np.uint16, np.bool_)
+
+
+def _runs(per_doc: np.ndarray, seq: np.ndarray, length: np.ndarray, sub: np.ndarray):
+    """(from, to, words by number, ids with the ends, their offsets) of runs of documents of some 300,000 words."""
+    edge = np.concatenate([[0], np.cumsum(per_doc)])
+    offs = np.concatenate([[0], np.cumsum(length.astype(np.int64))])
+    at = 0
+    while at < len(per_doc):
+        to = max(at + 1, int(np.searchsorted(edge, edge[at] + 300_000, "right")) - 1)
+        mine = seq[edge[at] : edge[to]]
+        got, k = spread(sub, offs, mine)
+        owner = np.repeat(np.repeat(np.arange(to - at), per_doc[at:to]), k)
+        stops = np.cumsum(np.bincount(owner, minlength=to - at) + 1)
+        full = np.full(int(stops[-1]), END, np.int32)
+        full[np.arange(len(got)) + owner] = got
+        yield at, to, mine, full, np.concatenate([[0], stops])
+        at = to
+
+
+SUMS = pa.schema([("task", pa.int32()), ("n", pa.int64()), ("p", pa.binary())])
+
+
+def _trainer(model, share: int, batch: int):
+    """(body) -> a row of SUMS: windows learned from, and the trainers' parameters times their windows, summed.
+
+    A trainer takes runs of documents until it has had ``share`` windows; the next begins from the start again.
+    """
 
     def run(batches):
-        seen = [np.frombuffer(b"".join(batch.column(0).to_pylist()), np.int16).reshape(-1, 2 * STRIDE + 1) for batch in batches]
-        if seen and sum(map(len, seen)):
-            w = np.concatenate(seen).astype(np.int64)
-            p = train(w, classes_of(of_counts.value, CLASSES)[0], start())
-            yield pa.RecordBatch.from_arrays([pa.array([len(w)]), pa.array([flat(p).tobytes()])], schema=schema)
+        counts, x = model.value
+        of, p, r = classes_of(counts, CLASSES)[0], shaped(x), np.random.default_rng(1)
+        total, done, learner, n = np.zeros(len(x)), 0, Learner(of, p), 0
+        for some in batches:
+            for body in some.column(0):
+                _, _, per_doc, seq, length, sub, train = _read(body.as_py())
+                for at, to, _, ids, offs in _runs(per_doc, seq, length, sub):
+                    size = np.diff(offs)
+                    mine = train[at:to]
+                    w = windows_of(ids[np.repeat(mine, size)], np.concatenate([[0], np.cumsum(size[mine])]))
+                    order = r.permutation(len(w))
+                    for a in range(0, len(w), batch):
+                        learner.learn(part := w[order[a : a + batch]])
+                        n += len(part)
+                        if n >= share:
+                            total, done, learner, n = total + n * learner.x.astype(np.float64), done + n, Learner(of, p), 0
+        total, done = total + n * learner.x.astype(np.float64), done + n
+        if done:
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([done]), pa.array([total.tobytes()], pa.binary())], schema=SUMS)
 
     return run
 
 
-def fit(packed: DataFrame, share: int = 25_000, most: int = 64) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """Counts of ids and the averaged parameters of a trainer for each ``share`` windows, ``most`` trainers at most."""
+def _sum(batches):
+    total, done = 0.0, 0
+    for some in batches:
+        for n, p in zip(some.column(1).to_pylist(), some.column(2).to_pylist(), strict=True):
+            total, done = total + np.frombuffer(p), done + n
+    if done:
+        yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([done]), pa.array([total.tobytes()], pa.binary())], schema=SUMS)
+
+
+def fit(packed: DataFrame, share: int = SHARE, batch: int = BATCH) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Counts of ids and the averaged parameters of a trainer for each ``share`` windows."""
     spark = packed.sparkSession
     counts = np.zeros(VOCAB, np.int64)
     for r in packed.filter("kind = 'id'").groupBy("h").agg(F.sum("n").alias("n")).collect():  # the vocabulary at most
         counts[r["h"]] = r["n"]
-    windows = packed.filter("kind = 'window'").select("body")
-    trainers = int(np.clip(-(-windows.count() // share), 1, most))
-    # one deal of the windows, sorted so that a lost trainer runs again over the same ones
-    dealt = windows.repartition(trainers, F.xxhash64("body")).sortWithinPartitions("body")
-    made = dealt.mapInArrow(_trainer(spark.sparkContext.broadcast(counts)), "n long, p binary").collect()
-    if not made:
-        return counts, start()
-    total = sum(r["n"] for r in made)
-    made = sorted(made, key=lambda r: bytes(r["p"]))
-    return counts, shaped(sum(np.frombuffer(r["p"], F32).astype(np.float64) * (r["n"] / total) for r in made))
+    # small chunks are brought together until they make a share; nothing is shuffled
+    chunks = packed.filter("kind = 'chunk'").select("body").coalesce(max(1, -(-int(counts.sum()) // (share * STRIDE))))
+    p = start()
+    model = spark.sparkContext.broadcast((counts, flat(p)))
+    sums = "task int, n long, p binary"
+    made = chunks.mapInArrow(_trainer(model, share, batch), sums).repartition(SUMMERS, "task").sortWithinPartitions("task").mapInArrow(_sum, sums).collect()
+    if made:
+        made = sorted(made, key=lambda r: bytes(r["p"]))
+        p = shaped(sum(np.frombuffer(r["p"]) for r in made) / sum(r["n"] for r in made))
+    return counts, p
 
 
 SCORED = pa.schema([("id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
@@ -365,30 +449,18 @@ def _score(model, total: int, distinct: int, ends: int):
         norm = np.log10(total + 0.1 * (distinct + 1))
         for batch in batches:
             for r in range(batch.num_rows):
-                ids, nulls, per_doc, seq, length, sub = _from_arrays(batch.column("body")[r].as_py(), np.int64, np.bool_, np.int64, np.uint32, np.uint32, np.uint16)
+                ids, nulls, per_doc, seq, length, sub, _ = _read(batch.column("body")[r].as_py())
                 c = np.zeros(len(length))
                 if batch.column("counts")[r].is_valid:
                     got = batch.column("counts")[r].values
                     c[np.asarray(got.field(0))] = np.asarray(got.field(1))
                 value, known = np.log10(c + 0.1), (c > 0).astype(np.int64)
-                edge = np.concatenate([[0], np.cumsum(per_doc)])
-                offs = np.concatenate([[0], np.cumsum(length.astype(np.int64))])
-                at = 0
-                while at < len(per_doc):  # documents of about a million words at a time
-                    to = max(at + 1, int(np.searchsorted(edge, edge[at] + 300_000, "right")) - 1)
-                    mine = seq[edge[at] : edge[to]]
+                for at, to, mine, full, offs in _runs(per_doc, seq, length, sub):
                     doc = np.repeat(np.arange(to - at), per_doc[at:to])
-                    got, k = spread(sub, offs, mine)
-                    owner = np.repeat(doc, k)
-                    size = np.bincount(owner, minlength=to - at) + 1
-                    stops = np.cumsum(size)
-                    full = np.full(int(stops[-1]), END, np.int32)
-                    full[np.arange(len(got)) + owner] = got
-                    score = scorer.log10(full, np.concatenate([[0], stops]))
+                    score = scorer.log10(full, offs)
                     n = per_doc[at:to] + 1
                     base = np.bincount(doc, value[mine], to - at) + np.log10(ends + 0.1) - n * norm
                     yield pa.RecordBatch.from_arrays([pa.array(ids[at:to], mask=nulls[at:to]), pa.array(n), pa.array(np.bincount(doc, known[mine], to - at).astype(np.int64) + (ends > 0)), pa.array(base), pa.array(score)], schema=SCORED)
-                    at = to
 
     return run
 

@@ -6,7 +6,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from tallystone.llm.attention_lm import BEGIN, CLASSES, DIM, SLOTS, STRIDE, VOCAB, Scorer, classes_of, score_texts, start, train
+from tallystone.llm.attention_lm import BEGIN, CHUNK, CLASSES, DIM, SLOTS, STRIDE, VOCAB, Scorer, _pack, _trainer, classes_of, flat, score_texts, start, train, windows_of
+from tallystone.llm.token_counts import MODEL
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -126,3 +127,27 @@ def test_held_out_beats_the_unigram_of_its_own_ids(spark):
     log = np.log10(counts / counts.sum())
     unigram = sum(log[ids].sum() for _, ids in asked)
     assert sum(out[i]["score"] for i, _ in asked) > 0.9 * unigram
+
+
+def test_windows_hold_every_id_once():
+    r = np.random.default_rng(2)
+    docs = [r.integers(3, VOCAB, n).tolist() for n in (1, 15, 16, 17, 50, 32, 1000)]
+    w = windows_of(np.concatenate(docs), np.concatenate([[0], np.cumsum([len(d) for d in docs])]))
+    assert len(w) == sum(-(-len(d) // STRIDE) for d in docs)
+    late = w[:, STRIDE + 1 :]
+    assert late[late >= 0].tolist() == [i for d in docs for i in d]
+    padded = [([-1] * STRIDE + [BEGIN] + d + [-1] * STRIDE)[k * STRIDE :][: 2 * STRIDE + 1] for d in docs for k in range(-(-len(d) // STRIDE))]
+    assert w.tolist() == padded
+
+
+def test_training_takes_every_window_of_every_training_document(spark):
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    rows = [(i, t, i != 70) for i, t in ROWS if i is not None] + [(71, "few long texts " * 20_000, True)]
+    want = sum(-(-(sum(map(len, sp.encode(tokens(t)))) + 1) // STRIDE) for _, t, train in rows if train)
+    packed = spark.createDataFrame(rows, "id long, text string, train boolean").coalesce(2).mapInArrow(_pack(MODEL, CHUNK), "kind string, chunk long, h long, n long, at int, body binary")
+    model = spark.sparkContext.broadcast((np.ones(VOCAB, np.int64), flat(start())))
+    for share in (50, 10**9):
+        got = packed.filter("kind = 'chunk'").select("body").mapInArrow(_trainer(model, share, 64), "task int, n long, p binary").collect()
+        assert sum(r["n"] for r in got) == want > 3000
