@@ -17,7 +17,9 @@ Training: every stride-aligned window of every training document is learned
 from as it is scored, by its second half, so each training id is learned once a
 pass.  Trainers run on the executors and read the chunks where they lie: each
 makes the windows of some documents at a time, starts anew after its share, and
-their parameters are averaged.  Counts of words and of ids cover all training
+their parameters are averaged.  At every size of the corpus there is one pass,
+in two parts (every second window of a document each): the second part's
+trainers begin from the average of the first's.  Counts of words and of ids cover all training
 documents.
 
 The base score needs the count of every word of every document.  Documents are
@@ -48,6 +50,8 @@ from .token_counts import MODEL
 CHUNK, STRIDE, DIM, HIDDEN, CLASSES, SLOTS, VOCAB, BEGIN, END = 14_000_000, 16, 16, 32, 256, 2048, 32_000, 1, 2
 #: Windows of a trainer and of one of its steps; tasks that add parameters up.
 SHARE, BATCH, SUMMERS = 100_000, 128, 8
+#: Parts of the one pass over all windows; parameters are averaged after each.
+PARTS = 2
 EDGE = U64(0)  # hash of the end, counted as a word
 F32 = np.float32
 
@@ -171,10 +175,10 @@ class Learner:
         self.x -= F32(self.rate / (1 - 0.9**self.step)) * self.m / (np.sqrt(self.s / F32(1 - 0.99**self.step)) + F32(1e-8))
 
 
-def train(windows: np.ndarray, of: np.ndarray, p: dict[str, np.ndarray], batch: int = 64, rate: float = 0.01) -> dict[str, np.ndarray]:
-    """Parameters learned from windows in memory, once or, if there are few, up to twenty times."""
+def train(windows: np.ndarray, of: np.ndarray, p: dict[str, np.ndarray], batch: int = 64, rate: float = 0.01, passes: int = 20) -> dict[str, np.ndarray]:
+    """Parameters that one learner gets from windows in memory, in so many passes however many windows there are."""
     learner, r = Learner(of, p, rate), np.random.default_rng(1)
-    for _ in range(int(np.clip(40_000 // max(1, len(windows)), 1, 20))):
+    for _ in range(passes):
         order = r.permutation(len(windows))
         for at in range(0, len(order), batch):
             learner.learn(windows[order[at : at + batch]])
@@ -380,9 +384,11 @@ def _runs(per_doc: np.ndarray, seq: np.ndarray, length: np.ndarray, sub: np.ndar
 SUMS = pa.schema([("task", pa.int32()), ("n", pa.int64()), ("p", pa.binary())])
 
 
-def _trainer(model, share: int, batch: int):
+def _trainer(model, share: int, batch: int, part: int = 0, parts: int = 1):
     """(body) -> a row of SUMS: windows learned from, and the trainers' parameters times their windows, summed.
 
+    Part ``part`` of ``parts`` of the windows, dealt by turns within each run of documents.
+
     A trainer takes runs of documents until it has had ``share`` windows; the next begins from the start again.
     """
 
@@ -397,10 +403,11 @@ def _trainer(model, share: int, batch: int):
                     size = np.diff(offs)
                     mine = train[at:to]
                     w = windows_of(ids[np.repeat(mine, size)], np.concatenate([[0], np.cumsum(size[mine])]))
+                    w = w[part::parts]
                     order = r.permutation(len(w))
                     for a in range(0, len(w), batch):
-                        learner.learn(part := w[order[a : a + batch]])
-                        n += len(part)
+                        learner.learn(some_of := w[order[a : a + batch]])
+                        n += len(some_of)
                         if n >= share:
                             total, done, learner, n = total + n * learner.x.astype(np.float64), done + n, Learner(of, p), 0
         total, done = total + n * learner.x.astype(np.float64), done + n
@@ -419,21 +426,21 @@ def _sum(batches):
         yield pa.RecordBatch.from_arrays([pa.array([0], pa.int32()), pa.array([done]), pa.array([total.tobytes()], pa.binary())], schema=SUMS)
 
 
-def fit(packed: DataFrame, share: int = SHARE, batch: int = BATCH) -> tuple[np.ndarray, dict[str, np.ndarray]]:
-    """Counts of ids and the averaged parameters of a trainer for each ``share`` windows."""
+def fit(packed: DataFrame, share: int = SHARE, batch: int = BATCH, parts: int = PARTS) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Counts of ids, and the parameters after one pass: trainers of ``share`` windows each, averaged after each of ``parts``."""
     spark = packed.sparkSession
     counts = np.zeros(VOCAB, np.int64)
     for r in packed.filter("kind = 'id'").groupBy("h").agg(F.sum("n").alias("n")).collect():  # the vocabulary at most
         counts[r["h"]] = r["n"]
     # small chunks are brought together until they make a share; nothing is shuffled
     chunks = packed.filter("kind = 'chunk'").select("body").coalesce(max(1, -(-int(counts.sum()) // (share * STRIDE))))
-    p = start()
-    model = spark.sparkContext.broadcast((counts, flat(p)))
-    sums = "task int, n long, p binary"
-    made = chunks.mapInArrow(_trainer(model, share, batch), sums).repartition(SUMMERS, "task").sortWithinPartitions("task").mapInArrow(_sum, sums).collect()
-    if made:
-        made = sorted(made, key=lambda r: bytes(r["p"]))
-        p = shaped(sum(np.frombuffer(r["p"]) for r in made) / sum(r["n"] for r in made))
+    p, sums = start(), "task int, n long, p binary"
+    for part in range(parts):
+        model = spark.sparkContext.broadcast((counts, flat(p)))
+        made = chunks.mapInArrow(_trainer(model, share, batch, part, parts), sums).repartition(SUMMERS, "task").sortWithinPartitions("task").mapInArrow(_sum, sums).collect()
+        if made:
+            made = sorted(made, key=lambda r: bytes(r["p"]))
+            p = shaped(sum(np.frombuffer(r["p"]) for r in made) / sum(r["n"] for r in made))
     return counts, p
 
 
@@ -465,7 +472,7 @@ def _score(model, total: int, distinct: int, ends: int):
     return run
 
 
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, model: str = MODEL, chunk: int = CHUNK) -> DataFrame:
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 10, model: str = MODEL, chunk: int = CHUNK, share: int = SHARE) -> DataFrame:
     """A row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), (~held_out(id_col, folds)).alias("train"))
@@ -476,7 +483,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ends = source.filter("train").count()
     back = words.select("chunk", "h", "at").join(total, "h").groupBy("chunk").agg(F.collect_list(F.struct("at", "c")).alias("counts"))
     n, v = n + ends, v + (ends > 0)
-    trained = spark.sparkContext.broadcast(fit(packed))
+    trained = spark.sparkContext.broadcast(fit(packed, share))
     chunks = packed.filter("kind = 'chunk'").select("chunk", "body").join(back, "chunk", "left").select("chunk", "body", "counts")
     out = chunks.mapInArrow(_score(trained, n, v, ends), "id long, n_tokens long, n_known long, base_score double, score double")
     return out.select(F.col("id").alias(id_col), held_out("id", folds).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")

@@ -4,9 +4,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
-from tallystone.llm.attention_lm import BEGIN, CHUNK, CLASSES, DIM, SLOTS, STRIDE, VOCAB, Scorer, _pack, _trainer, classes_of, flat, score_texts, start, train, windows_of
+from tallystone.llm import attention_lm
+from tallystone.llm.attention_lm import BEGIN, CHUNK, CLASSES, DIM, PARTS, SHARE, SLOTS, STRIDE, VOCAB, Learner, Scorer, _pack, _trainer, classes_of, flat, score_texts, start, train, windows_of
 from tallystone.llm.token_counts import MODEL
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -151,3 +153,52 @@ def test_training_takes_every_window_of_every_training_document(spark):
     for share in (50, 10**9):
         got = packed.filter("kind = 'chunk'").select("body").mapInArrow(_trainer(model, share, 64), "task int, n long, p binary").collect()
         assert sum(r["n"] for r in got) == want > 3000
+
+
+def learned(spark, monkeypatch, n_docs, share):
+    """Windows learned from in all, and steps of each learner that had any."""
+    rows = [(i, f"words of text {i} " * 40, True) for i in range(n_docs)]
+    packed = spark.createDataFrame(rows, "id long, text string, train boolean").coalesce(1).mapInArrow(_pack(MODEL, CHUNK), "kind string, chunk long, h long, n long, at int, body binary")
+    body = [r["body"] for r in packed.filter("kind = 'chunk'").collect()]
+    monkeypatch.setattr(attention_lm, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda _: 0})())}))
+    made = []
+
+    class Counted(Learner):
+        def __init__(self, *args):
+            super().__init__(*args)
+            self.had = 0
+            made.append(self)
+
+        def learn(self, w):
+            super().learn(w)
+            self.had += len(w)
+
+    monkeypatch.setattr(attention_lm, "Learner", Counted)
+    model = type("B", (), {"value": (np.ones(VOCAB, np.int64), flat(start()))})
+    for part in range(PARTS):
+        list(_trainer(model, share, 16, part, PARTS)([pa.RecordBatch.from_arrays([pa.array(body, pa.binary())], ["body"])]))
+    windows = sum(len(windows_of(ids, offs)) for b in body for _, _, _, ids, offs in attention_lm._runs(*attention_lm._read(b)[2:6]))
+    return windows, [x.had for x in made if x.had]
+
+
+def test_the_pass_is_one_at_every_size(spark, monkeypatch):
+    for n_docs in (3, 300):
+        windows, had = learned(spark, monkeypatch, n_docs, 500)
+        assert sum(had) == windows
+        assert all(n <= 500 + 16 for n in had)
+    assert len(had) > PARTS and sum(n >= 500 for n in had) >= len(had) - PARTS
+
+
+def test_held_out_with_trainers_that_have_their_full_share(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    got = score_texts(rows).filter("held_out").agg({"score": "sum"}).first()
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    counts, asked = np.full(VOCAB, 0.5), np.zeros(VOCAB)
+    for r in rows.collect():
+        held = zlib.crc32(str(r["doc_id"]).encode()) % 10 == 0
+        np.add.at(asked if held else counts, [i for w in sp.encode(tokens(r["text"])) for i in w] + [2], 1)
+    assert counts.sum() > 2 * SHARE * STRIDE
+    unigram = float(asked @ np.log10(counts / counts.sum()))
+    assert got["sum(score)"] > 0.9 * unigram
