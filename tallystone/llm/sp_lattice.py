@@ -1,9 +1,11 @@
 """SentencePiece encoding and decoding through a relational lattice.
 
-Documents are cut into pre-tokens (a run of word marks with the letters and
-digits, or the other characters, that follow it, at most 48; a line end stands
-alone) and packed in chunks of about ``chunk`` bytes: the distinct pre-tokens of the chunk
-and, for each document, their numbers in order.  The chunks are stored in a
+Documents are cut into pre-tokens wherever two characters meet that no piece
+holds side by side: no edge of the lattice could cross the cut, so the best path
+over the pre-tokens is the best over the whole text.  Nothing is cut for its
+length; the fold copies its places, so its time grows with the square of a
+pre-token's length.  Documents are packed in chunks of about ``chunk`` bytes: the
+distinct pre-tokens of the chunk and, for each document, their numbers in order.  The chunks are stored in a
 table bucketed by chunk, and nothing is shuffled after that (the plan runs in a
 session of its own that keeps bucketed scans and sorted aggregation, both of
 which hold a chunk's rows together without large buffers): the pre-tokens are
@@ -24,7 +26,6 @@ piece; repeated rows are encoded each; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import re
 import uuid
 from itertools import chain
 
@@ -43,25 +44,45 @@ from .token_counts import MARK, MODEL, UNKNOWN, pieces
 CHUNK = 6_000_000
 #: Buckets of the chunk table for each shuffle partition: few chunks meet in a task.
 BUCKETS = 4
-LONGEST_WORD = 48
-WORD = re.compile(rf"{MARK}{{0,16}}(?:[^\W_]{{1,{LONGEST_WORD}}}|_{{1,{LONGEST_WORD}}}|[^\w{MARK}\n]{{1,{LONGEST_WORD}}})|{MARK}{{1,16}}|\n")
+#: No pre-token is cut for its length: as long as a text can be.
+LONGEST_WORD = 2**31 - 1
 
 
-def pretokens(text: str) -> list[str]:
+class Joins:
+    """Which characters stand side by side in some piece."""
+
+    def __init__(self, of: list[tuple[int, str, float]]):
+        chars = sorted({c for _, p, _ in of for c in p})
+        number = {c: i + 1 for i, c in enumerate(chars)}
+        self.number = np.zeros(0x110000, np.int16)  # 0: in no piece
+        self.number[[ord(c) for c in chars]] = np.arange(1, len(chars) + 1)
+        self.beside = np.zeros((len(chars) + 1,) * 2, bool)
+        for _, p, _ in of:
+            for a, b in zip(p, p[1:], strict=False):
+                self.beside[number[a], number[b]] = True
+
+    def cut(self, text: str) -> list[str]:
+        n = self.number[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
+        at = [0, *(np.flatnonzero(~self.beside[n[:-1], n[1:]]) + 1).tolist(), len(text)]
+        return [text[a:b] for a, b in zip(at[:-1], at[1:], strict=True)] if text else []
+
+
+def pretokens(text: str, joins: Joins | None = None) -> list[str]:
     """Pre-tokens of a text; a literal word mark is the pre-token "" (it has no lattice)."""
     if not text:
         return []
+    cut = (joins or Joins(pieces())).cut
     if MARK not in text:
-        return WORD.findall(MARK + text.replace(" ", MARK))
+        return cut(MARK + text.replace(" ", MARK))
     out: list[str] = []
     for i, part in enumerate(text.split(MARK)):
         if i:
             out.append("")
-        out += WORD.findall((MARK if i == 0 else "") + part.replace(" ", MARK))
+        out += cut((MARK if i == 0 else "") + part.replace(" ", MARK))
     return out
 
 
-def _pack(rest: pa.Schema, text: str, chunk: int):
+def _pack(rest: pa.Schema, text: str, chunk: int, joins):
     schema = pa.schema([("chunk", pa.int64()), ("words", pa.list_(pa.string())), ("body", pa.binary()), ("rows", pa.binary())])
 
     def run(batches):
@@ -85,7 +106,7 @@ def _pack(rest: pa.Schema, text: str, chunk: int):
             first = 0
             for i in range(batch.num_rows):
                 t = texts[i].as_py() or ""
-                words = pretokens(t)
+                words = pretokens(t, joins.value)
                 seqs.append([number.setdefault(w, len(number)) for w in words])
                 ends.append((ends[-1] if ends else 0) + len(words))
                 size += len(t)
@@ -212,7 +233,7 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, chunk: i
     longest = max(len(p) for _, p, _ in of)
     n = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"sp_chunks_{uuid.uuid4().hex}"
-    packed = docs.mapInArrow(_pack(arrow_rest, text_col, chunk), "chunk long, words array<string>, body binary, rows binary")
+    packed = docs.mapInArrow(_pack(arrow_rest, text_col, chunk, spark.sparkContext.broadcast(Joins(of))), "chunk long, words array<string>, body binary, rows binary")
     packed.write.bucketBy(n, "chunk").sortBy("chunk").format("parquet").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
     own = _own_session(spark)
     chunks, table = own.table(name), own.createDataFrame(of, "id int, piece string, score double")

@@ -1,7 +1,7 @@
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from tallystone.llm.sp_lattice import LONGEST_WORD, MARK, decode, encode, pretokens
+from tallystone.llm.sp_lattice import LONGEST_WORD, MARK, Joins, decode, encode, pretokens
 from tallystone.llm.token_counts import UNKNOWN, pieces
 
 PIECES = {p: (i, s) for i, p, s in pieces()}
@@ -72,3 +72,15 @@ def test_pretokens_hold_the_text(text):
     words = pretokens(text)
     assert "".join("\0" if w == "" else w for w in words) == (MARK if text else "") + text.replace(MARK, "\0").replace(" ", MARK) or not text
     assert all(len(w) <= LONGEST_WORD + 16 for w in words)
+
+
+def test_no_piece_is_cut():
+    joins = Joins(pieces())
+    assert [p for p in PIECES if joins.cut(p) != [p]] == []
+
+
+def test_best_path_over_whole_words(spark):
+    texts = ["x_{1}^{2} and a\\_b ->_c d._e __(self) }_{", "self.__init__(a_b, *args) // ----- ==== {{}}();", "word" * 40, "incomprehensibilities" * 5 + "_{" * 30, " " * 40 + "return x_{i}", "日本語_{ñ}é._", "".join(p.replace(MARK, " ") for p in list(PIECES)[1000:1200])]
+    got = run(spark, list(enumerate(texts)))
+    for i, t in enumerate(texts):
+        assert got[i] == (brute_word(MARK + t.replace(" ", MARK)), t), t
