@@ -1,14 +1,16 @@
-"""N-gram Jaccard join through a forest of MinHash prefix tries.
+"""N-gram Jaccard join through bands of MinHash values.
 
 A document is the set of its five-word shingles (lower-cased words; fewer than
 five words are one shingle).  Documents with equal sets are copies: one class
-per set goes on, with its number of copies.  Each of ``trees`` tries orders
-the classes by a MinHash signature of their own; two classes are candidates if
-they share a prefix in some trie.  The prefix starts at ``deepest`` values and
-is shortened until a pair at the threshold is found with probability
-``recall`` or more.  Candidates are verified exactly on their sets.
-
-No pair becomes a row.  Classes that share a prefix meet in one group, large
+per set goes on, with its number of copies.  Each of ``trees`` bands hashes
+``depth`` MinHash values of its own to one bucket; two classes are candidates
+if a bucket of theirs is equal.  This is banding: no prefixes are sorted, and
+the depth does not follow the data.  It is the longest up to ``deepest`` at
+which a pair at the threshold is found with probability ``recall`` or more (5,
+so 20 bands of 5).  Candidates are verified exactly on their sets.
+
+The code calls a band a tree, and its bucket a prefix.  No pair becomes a row.
+Classes that share a prefix meet in one group, large
 groups in blocks of about ``block`` classes against each other; a group counts
 each class's links and emits one row a class: links and the smallest class it
 is connected to there.  A pair that meets in several tries counts in the first
