@@ -3,7 +3,8 @@
 ``to_wav`` stores a text's UTF-8 bytes, padded with 255 to a positive multiple
 of 576, as 8-bit mono samples in a WAV file held in a binary column.
 ``wav_features`` opens the stored file with the wave module, cuts it in frames,
-takes a windowed Fourier transform of each, keeps the strongest bins of each
+takes a windowed Fourier transform of each (the last is filled up with
+silence, so that every sample lies in a frame), keeps the strongest bins of each
 frame as peaks, and pairs each peak with those of the next frames.  A pair is
 kept as (frame << 32 | bin << 20 | later bin << 8 | frames between): an array
 coded by time.  Frames are transformed in slabs, so that memory stays bounded
@@ -51,6 +52,12 @@ def padded(text: bytes) -> bytes:
     return text + b"\xff" * (-len(text) % UNIT if text else UNIT)
 
 
+def filled(samples: bytes) -> bytes:
+    """Samples with silence up to the end of the frame that holds the last."""
+    rest = max(0, len(samples) - FRAME) % HOP
+    return samples + b"\x80" * (HOP - rest) if rest else samples
+
+
 def pairs(samples: bytes) -> np.ndarray:
     """Fingerprint pairs of 8-bit samples, as 64-bit codes in order of time."""
     x = np.frombuffer(samples, np.uint8)
@@ -105,7 +112,7 @@ def _read(media: str, schema: pa.Schema):
                         new.append((None,) * len(NEW))
                         continue
                     p = decode(m)
-                    new.append((len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(m), hashlib.sha256(m).hexdigest(), pairs(p)))
+                    new.append((len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-32:]), len(m), hashlib.sha256(m).hexdigest(), pairs(filled(p))))
                 cols = [pa.array(c, schema.field(batch.num_columns + j).type) for j, c in enumerate(zip(*new, strict=True))]
                 yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(part.columns, schema, strict=False)), *cols], schema=schema)
 

@@ -5,7 +5,7 @@ from hashlib import sha256
 
 import numpy as np
 
-from tallystone.llm.media import PEAKS, REACH, decode, encode, padded, pairs, query, to_wav, wav_features
+from tallystone.llm.media import PEAKS, REACH, decode, encode, filled, padded, pairs, query, to_wav, wav_features
 
 
 def test_payload_round_trip(spark):
@@ -51,3 +51,14 @@ def test_one_frame_has_no_pair():
 def test_query(spark):
     rows = query(spark, "/root/testdata/sf0.001").collect()
     assert len(rows) == 200 and all(r["payload_bytes"] % 576 == 0 and r["payload_bytes"] >= max(576, r["n_bytes"]) for r in rows)
+
+
+def test_every_sample_lies_in_a_frame(spark):
+    for k in range(1, 11):
+        x = bytes(range(256)) * 30
+        x = x[: 576 * k]
+        assert filled(x).startswith(x) and (len(filled(x)) - 256) % 160 == 0 and len(filled(x)) - len(x) < 160
+    text = "".join(chr(97 + i * i % 23) for i in range(1152))
+    rows = [(1, text), (2, text[:-90] + "zq" * 45)]  # the last 96 of 1,152 bytes were in no frame
+    a, b = (r["fingerprint"] for r in wav_features(to_wav(spark.createDataFrame(rows, "doc_id long, text string"))).orderBy("doc_id").collect())
+    assert a != b
