@@ -3,7 +3,7 @@
 1. language ID: documents whose language can't be told (no text, no letter) go;
 2. line dedup: common lines go from all documents but the one with the largest id;
 3. n-gram Jaccard join: of each class of near copies the document with the
-   smallest id stays (rows that repeat it go; rows with a null id stay);
+   smallest id stays (rows that repeat its id and its set of shingles go; rows with a null id stay);
 4. benchmark decontamination: contaminated documents go;
 5. SentencePiece encoding and decoding: number and digest of each document's
    pieces, and digest of the text decoded from them.
@@ -18,9 +18,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import written
+from tallystone.llm.common import free_names, written
 from tallystone.llm.decontaminate import decontaminate
-from tallystone.llm.jaccard_forest import jaccard_join
+from tallystone.llm.jaccard_forest import jaccard_join, keyed
 from tallystone.llm.language_id import held_out, identify
 from tallystone.llm.line_dedup import dedup_lines
 from tallystone.llm.sp_lattice import digests
@@ -39,9 +39,11 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    stay = jaccard_join(docs).filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias("_stays")).distinct()
-    known = docs.filter(F.col("doc_id").isNotNull())
-    kept = known.join(stay, F.col("doc_id").cast("long") == F.col("_stays"), "left_semi").dropDuplicates(["doc_id"])
+    key, stays, of = free_names(docs, "_key", "_stays", "_of")
+    stay = jaccard_join(docs, key_col=of).filter(F.col("doc_id") == F.col("class_id")).select(F.col("doc_id").alias(stays), of).distinct()
+    known = keyed(docs.filter(F.col("doc_id").isNotNull()), "text", key)
+    same = (F.col("doc_id").cast("long") == F.col(stays)) & F.col(key).eqNullSafe(F.col(of))
+    kept = known.join(stay, same, "left_semi").dropDuplicates(["doc_id", key])
     return kept.select(*docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
 
 

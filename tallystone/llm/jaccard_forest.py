@@ -38,6 +38,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import U64, Words, blocks, grams, letters_table, mix, written
 
@@ -281,8 +283,8 @@ def components(edges: DataFrame, most_rounds: int = 50) -> DataFrame:
     raise RuntimeError("components did not settle")
 
 
-def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: float = THRESHOLD, trees: int = TREES, deepest: int = DEEPEST, recall: float = RECALL, block: int = BLOCK, light: int = LIGHT) -> DataFrame:
-    """A row per document: its id, class_id, n_links and n_copies."""
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = SHINGLE, threshold: float = THRESHOLD, trees: int = TREES, deepest: int = DEEPEST, recall: float = RECALL, block: int = BLOCK, light: int = LIGHT, key_col: str | None = None) -> DataFrame:
+    """A row per document: its id, class_id, n_links and n_copies; with ``key_col``, also the key of its shingle set (see keyed)."""
     depth = depth_for(threshold, trees, deepest, recall)
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     base = written(source.mapInArrow(_base(size, trees, depth), "id long, key binary, prefixes binary"), "base")
@@ -310,7 +312,25 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     least = of.groupBy("root").agg(F.min("low").alias("class_id"))
     of = written(of.join(least, "root").join(links, "key", "left").select("key", "copies", "class_id", F.coalesce("links", F.lit(0)).alias("links")), "classes")
     out = base.select("id", "key").join(of, "key", "left")
-    return out.select(F.col("id").alias(id_col), F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"), F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"))
+    return out.select(F.col("id").alias(id_col), F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"), (F.coalesce("links", F.lit(0)) + F.coalesce("copies", F.lit(1)) - 1).alias("n_links"), F.coalesce("copies", F.lit(1)).cast("long").alias("n_copies"), *([base["key"].alias(key_col)] if key_col else []))
+
+
+def _keyed(text: str, size: int, schema: pa.Schema):
+    def run(batches):
+        table = letters_table()
+        for batch in batches:
+            for rows, data, offs in blocks(batch, text):
+                w = Words(data, offs, table)
+                keys = [key_of(f, data[a:b].tobytes() if not len(f) else b"") for f, a, b in zip(shingle_sets(w, w.hashes(), size), offs[:-1], offs[1:], strict=True)]
+                yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(rows.columns, schema, strict=False)), pa.array(keys, pa.binary())], schema=schema)
+
+    return run
+
+
+def keyed(docs: DataFrame, text_col: str, key_col: str, size: int = SHINGLE) -> DataFrame:
+    """``docs`` with the key of each text's shingle set; null for null and empty texts."""
+    schema = T.StructType([*docs.schema.fields, T.StructField(key_col, T.BinaryType())])
+    return docs.mapInArrow(_keyed(text_col, size, to_arrow_schema(schema)), schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -37,5 +37,12 @@ def test_stages_take_odd_rows(spark):
     assert sorted(str(r["doc_id"]) for r in kept) == ["1", "2", "3", "None", "None"]
 
 
+def test_rows_that_share_an_id_but_not_a_text_stay(spark):
+    one, two, other = "the first of two quite different texts", "another text that shares only its number", "a third text under a smaller number"
+    rows = [(7, one), (7, two), (7, one.upper()), (3, other), (7, other), (None, one)]
+    out = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, "doc_id long, text string"), "").collect()
+    assert sorted((str(r["doc_id"]), r["text"].lower()) for r in out) == sorted([("7", one), ("7", two), ("3", other), ("None", one)])
+
+
 def test_names():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language", "lines", "near_copies", "benchmark", "encoded"]
