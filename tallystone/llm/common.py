@@ -9,6 +9,7 @@ single row longer than the bound forms a block of its own.
 from __future__ import annotations
 
 import atexit
+import hashlib
 import shutil
 import sys
 import tempfile
@@ -27,16 +28,37 @@ U64 = np.uint64
 BLOCK_BYTES = 2_000_000
 
 
+_SCRATCH: dict[str, tuple[SparkSession, str, list[str]]] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The checkpoint folder the session names; a temporary one only if none is set."""
+    """This application's folder in the checkpoint folder that the session names; it is deleted when the program ends.
+
+    Without a checkpoint folder a local run gets a temporary one; on a cluster that is an error.
+    """
     sc = spark.sparkContext
-    found = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = tempfile.mkdtemp(prefix="tallystone-")
-        atexit.register(shutil.rmtree, found, True)
-        sc.setCheckpointDir(found)
-        found = sc.getCheckpointDir()
-    return found
+    if sc.applicationId not in _SCRATCH:
+        base = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            if not sc.master.startswith("local[") and sc.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            base = tempfile.mkdtemp(prefix="tallystone-")
+            atexit.register(shutil.rmtree, base, True)
+            sc.setCheckpointDir(base)
+        _SCRATCH[sc.applicationId] = (spark, f"{base.rstrip('/')}/tallystone-{uuid.uuid4().hex}", [])
+        atexit.register(clean, sc.applicationId)
+    return _SCRATCH[sc.applicationId][1]
+
+
+def clean(application: str) -> None:
+    """Deletes what an application has written to its folder, and its catalog tables; nothing if its session has ended."""
+    spark, path, tables = _SCRATCH.pop(application, (None, None, []))
+    if spark is None or spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
+        return
+    for t in tables:
+        spark.sql(f"DROP TABLE IF EXISTS `{t}`")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def written(df: DataFrame, what: str, *partition_by: str) -> DataFrame:
@@ -46,6 +68,15 @@ def written(df: DataFrame, what: str, *partition_by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, what: str, buckets: int, *by: str) -> str:
+    """Name of a catalog table with ``df``, bucketed and sorted by ``by``, in the shared folder."""
+    spark, name = df.sparkSession, f"{what}_{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{name}"
+    _SCRATCH[spark.sparkContext.applicationId][2].append(name)
+    df.write.bucketBy(buckets, *by).sortBy(*by).format("parquet").option("path", path).saveAsTable(name)
+    return name
+
+
 def free_names(df: DataFrame, *names: str) -> list[str]:
     """Column names like ``names`` that ``df`` does not have."""
     have = {c.lower() for c in df.columns}
@@ -93,22 +124,8 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(33))
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    have = _POWERS.get("up")
-    if have is None or len(have) < n:
-        n = max(n, 1 << 16)
-        for k, b in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
-            p = np.full(n, b, U64)
-            p[0] = 1
-            _POWERS[k] = np.multiply.accumulate(p)
-    return _POWERS["up"], _POWERS["down"]
-
-
-_BYTE_VALUE = mix(np.arange(1, 257, dtype=U64) * U64(0xD6E8FEB86659FD93))
+#: Words longer than this are hashed by a digest.
+LONG_WORD = 4096
 
 
 class Words:
@@ -132,11 +149,21 @@ class Words:
         self.per_row = np.searchsorted(self.start, offs)
 
     def hashes(self) -> np.ndarray:
-        up, down = _powers(len(self.low) + 1)
-        total = np.empty(len(self.low) + 1, U64)
-        total[0] = 0
-        np.cumsum(_BYTE_VALUE[self.low] * up[: len(self.low)], out=total[1:])
-        return mix((total[self.end] - total[self.start]) * down[self.start] + (self.end - self.start).astype(U64))
+        """64-bit hashes, which stand for the words: eight bytes at a time go through a mixing that has no linear structure."""
+        size = self.end - self.start
+        eight = np.ndarray(len(self.low) + 1, "<u8", np.concatenate([self.low, np.zeros(8, np.uint8)]).tobytes(), strides=(1,))  # the eight bytes from each place on
+        left = np.minimum(size, 8).astype(U64) * U64(8)
+        h = mix((eight[self.start] << (U64(64) - left) >> (U64(64) - left)) + size.astype(U64) * U64(0x9E3779B97F4A7C15))
+        more, at = np.flatnonzero((size > 8) & (size <= LONG_WORD)), 8
+        while len(more):
+            left = np.minimum(size[more] - at, 8).astype(U64) * U64(8)
+            x = eight[self.start[more] + at] << (U64(64) - left) >> (U64(64) - left)
+            h[more] = mix((h[more] ^ x) + U64(0xD6E8FEB86659FD93))
+            at += 8
+            more = more[size[more] > at]
+        for i in np.flatnonzero(size > LONG_WORD).tolist():
+            h[i] = int.from_bytes(hashlib.blake2b(self.word(i), digest_size=8).digest(), "little")
+        return h
 
     def word(self, i: int) -> bytes:
         return self.low[self.start[i] : self.end[i]].tobytes()
@@ -153,7 +180,7 @@ def letters_table() -> np.ndarray:
 
 
 def spaces_table(lower: bool = True) -> np.ndarray:
-    """All bytes but ASCII white space (and NUL, which becomes 0x1F's neighbour 0xFF, no UTF-8 byte)."""
+    """All bytes but ASCII white space (and NUL, which becomes 0xFF, a byte that no UTF-8 text holds)."""
     t = np.arange(256).astype(np.uint8)
     t[0] = 0xFF
     if lower:

@@ -4,16 +4,18 @@ Documents are cut into pre-tokens wherever two characters meet that no piece
 holds side by side: no edge of the lattice could cross the cut, so the best path
 over the pre-tokens is the best over the whole text.  Nothing is cut for its
 length; the fold copies its places, so its time grows with the square of a
-pre-token's length.  Documents are packed in chunks of about ``chunk`` bytes: the
-distinct pre-tokens of the chunk and, for each document, their numbers in order.  The chunks are stored in a
-table bucketed by chunk, and nothing is shuffled after that (the plan runs in a
-session of its own that keeps bucketed scans and sorted aggregation, both of
-which hold a chunk's rows together without large buffers): the pre-tokens are
-exploded to their substrings of bounded length, joined with the piece table (a
-fixed vocabulary, broadcast), grouped by pre-token, and folded by position with
-Spark's ``aggregate``: the best score to each end is the best over the edges
-that end there.  A character that no piece covers has an edge of byte pieces.
-The chunk then gets its pre-tokens' ids back and its documents are encoded.
+pre-token's length.
+
+Documents are packed in chunks of about ``chunk`` characters: the distinct
+pre-tokens of the chunk and, for each document, their numbers in order.  The
+pre-tokens of all chunks are dealt by their text, and each distinct one is
+segmented once for the whole corpus: it is exploded to its substrings of bounded
+length, which are joined with the piece table (a fixed vocabulary, broadcast),
+grouped by pre-token, and folded by position with Spark's ``aggregate``: the
+best score to each end is the best over the edges that end there.  A character
+that no piece covers has an edge of byte pieces.  The ids then go back to each
+chunk that holds the pre-token, compressed by chunk, and meet the chunks where
+they lie (a table bucketed by chunk); there the documents are encoded.
 
 The model file holds merge ranks, not probabilities; a piece of rank r scores
 -ln(r + 2) (see token_counts.pieces), byte pieces score -20 a character.  Ties
@@ -21,14 +23,13 @@ go to the edge that starts first.
 
 Encoding is lossless: a word mark that occurs in the text itself is encoded by
 its bytes.  Defined cases: null text is encoded as empty text, which has no
-piece; repeated rows are encoded each; an empty table gives an empty result.
+piece; a very long text is a chunk of its own; repeated rows are encoded each;
+an empty table gives an empty result; other columns, nulls in them included,
+are carried along, and a new column whose name is taken gets ``_`` in front.
 """
 
 from __future__ import annotations
 
-import uuid
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -38,14 +39,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import free_names, shared_dir
+from .common import bucketed, free_names
 from .token_counts import MARK, MODEL, UNKNOWN, pieces
 
-CHUNK = 6_000_000
+CHUNK = 16_000_000
 #: Buckets of the chunk table for each shuffle partition: few chunks meet in a task.
 BUCKETS = 4
-#: No pre-token is cut for its length: as long as a text can be.
-LONGEST_WORD = 2**31 - 1
 
 
 class Joins:
@@ -95,9 +94,12 @@ def _pack(rest: pa.Schema, text: str, chunk: int, joins):
             with pa.ipc.new_stream(sink, rest) as w:
                 for k in kept:
                     w.write_batch(k)
-            body = np.concatenate([np.array([len(ends), *ends], np.uint32), np.fromiter(chain.from_iterable(seqs), np.uint32)]).tobytes()
-            words = pa.array([list(number)], pa.list_(pa.string()))
-            return pa.RecordBatch.from_arrays([pa.array([part << 32 | made], pa.int64()), words, pa.array([squeeze.compress(body)], pa.binary()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], schema=schema)
+            words = sorted(number)
+            place = np.empty(len(words), np.uint32)
+            place[np.fromiter(map(number.__getitem__, words), np.int64, len(words))] = np.arange(len(words), dtype=np.uint32)
+            seq = place[np.concatenate([np.zeros(0, np.uint32), *seqs])]
+            body = np.array([len(ends), *ends], np.uint32).tobytes() + _planes(seq)
+            return pa.RecordBatch.from_arrays([pa.array([part << 32 | made], pa.int64()), pa.array([words], pa.list_(pa.string())), pa.array([squeeze.compress(body)], pa.binary()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], schema=schema)
 
         for batch in batches:
             at = batch.schema.get_field_index(text)
@@ -107,7 +109,7 @@ def _pack(rest: pa.Schema, text: str, chunk: int, joins):
             for i in range(batch.num_rows):
                 t = texts[i].as_py() or ""
                 words = pretokens(t, joins.value)
-                seqs.append([number.setdefault(w, len(number)) for w in words])
+                seqs.append(np.array([number.setdefault(w, len(number)) for w in words], np.uint32))
                 ends.append((ends[-1] if ends else 0) + len(words))
                 size += len(t)
                 if size >= chunk or i + 1 == batch.num_rows:
@@ -123,13 +125,21 @@ def _pack(rest: pa.Schema, text: str, chunk: int, joins):
     return run
 
 
-def forward(word: Column, edges: Column) -> Column:
+def _planes(x: np.ndarray) -> bytes:
+    """32-bit numbers as four runs of their bytes, which compress better."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_planes(raw: bytes, at: int) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, offset=at).reshape(4, -1).T).view("<u4").ravel()
+
+
+def forward(edges: Column) -> Column:
     """For each place in a word from 0: score of the best path to it, and the start and id of that path's last edge.
 
-    edges: array of (stop, start, id, score).  An edge of byte pieces is added for each character.  Edges are folded in
-    order of stop; the best to the present stop is kept beside the finished places.
+    edges: array of (stop, start, id, score).  Edges are folded in order of stop; the best to the present stop is kept
+    beside the finished places.
     """
-    unknown = F.transform(F.sequence(F.lit(1), F.length(word)), lambda e: F.struct(e.alias("stop"), (e - 1).alias("start"), (-1 - F.ascii(F.substr(word, e, F.lit(1)))).alias("id"), F.lit(UNKNOWN).alias("score")))
 
     def place(s: Column) -> Column:
         return F.struct(s["score"].alias("score"), s["start"].alias("start"), s["id"].alias("id"))
@@ -141,7 +151,7 @@ def forward(word: Column, edges: Column) -> Column:
         return F.when((x["stop"] == s["stop"]) & (score <= s["score"]), s).otherwise(here)
 
     start = F.struct(F.array().cast("array<struct<score:double,start:int,id:int>>").alias("best"), F.lit(0).alias("stop"), F.lit(0.0).alias("score"), F.lit(0).alias("start"), F.lit(0).alias("id"))
-    return F.aggregate(F.array_sort(F.concat(edges, unknown)), start, step, lambda s: F.concat(s["best"], F.array(place(s))))
+    return F.aggregate(F.sort_array(edges), start, step, lambda s: F.concat(s["best"], F.array(place(s))))
 
 
 def backward(lattice: Column) -> Column:
@@ -155,35 +165,93 @@ def backward(lattice: Column) -> Column:
     return F.aggregate(F.sequence(F.size(lattice) - 1, F.lit(1), F.lit(-1)), start, step, lambda s: s["ids"])
 
 
+def best_paths(words: DataFrame, table: DataFrame, longest: int) -> DataFrame:
+    """``words`` (distinct in the column word, not empty, dealt by word) with the ids of their best paths.
+
+    Substrings of up to ``longest`` characters are joined with ``table`` (id, piece, score: a fixed vocabulary); a single
+    character that is no piece keeps an edge of its own, which stands for its byte pieces.
+    """
+    others = [c for c in words.columns if c != "word"]
+    starts = words.select("*", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
+    subs = starts.select("*", F.explode(F.sequence(F.col("start") + 1, F.least(F.length("word"), F.col("start") + longest))).alias("stop"))
+    subs = subs.withColumn("piece", F.substr("word", F.col("start") + 1, F.col("stop") - F.col("start")))
+    edges = subs.join(F.broadcast(table), "piece", "left").filter(F.col("id").isNotNull() | (F.col("stop") == F.col("start") + 1))
+    edge = F.struct("stop", "start", F.coalesce("id", -1 - F.ascii("piece")).alias("id"), F.coalesce("score", F.lit(UNKNOWN)).alias("score"))
+    # the aggregate finds the words dealt by word already: nothing is shuffled
+    lattice = edges.groupBy("word", *others).agg(F.collect_list(edge).alias("edges")).withColumn("lattice", forward(F.col("edges")))
+    return lattice.select("word", *others, backward(F.col("lattice")).alias("ids"))
+
+
+def _ship(most: int = 1_000_000):
+    """(chunk, number, ids) -> (chunk, found): the words of a chunk among some ``most`` rows in one compressed value."""
+    schema = pa.schema([("chunk", pa.int64()), ("found", pa.binary())])
+
+    def run(batches):
+        squeeze = zstandard.ZstdCompressor(3)
+
+        def flush():
+            t = pa.Table.from_batches(held).combine_chunks()
+            chunk, number = t["chunk"].to_numpy(), t["number"].to_numpy()
+            lists = t["ids"].combine_chunks()
+            offs, flat = np.asarray(lists.offsets).astype(np.int64), np.asarray(lists.values)
+            order = np.lexsort((number, chunk))
+            cuts = np.flatnonzero(np.concatenate([[True], chunk[order][1:] != chunk[order][:-1], [True]]))
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                mine = order[a:b]
+                k = offs[mine + 1] - offs[mine]
+                ids = flat[np.repeat(offs[mine] - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))]
+                raw = np.array([b - a], np.uint32).tobytes() + _planes(np.concatenate([np.diff(number[mine], prepend=0), k, ids.astype(np.int64) & 0xFFFFFFFF]))
+                yield pa.RecordBatch.from_arrays([pa.array([int(chunk[mine[0]])]), pa.array([squeeze.compress(raw)], pa.binary())], schema=schema)
+
+        held, rows = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(batch)
+                rows += batch.num_rows
+            if rows >= most:
+                yield from flush()
+                held, rows = [], 0
+        if held:
+            yield from flush()
+
+    return run
+
+
 def _encode(rest: pa.Schema, schema: pa.Schema):
+    mark = np.array([3 + b for b in MARK.encode()], np.int32)
+
     def run(batches):
         open_ = zstandard.ZstdDecompressor()
         for batch in batches:
             for r in range(batch.num_rows):
-                number = flat = size = np.zeros(0, np.int32)
-                if batch.column("ids")[r].is_valid:
-                    paths = batch.column("ids")[r].values
-                    number, found = np.asarray(paths.field(0)), paths.field(1)
-                    flat, size = np.asarray(found.flatten()), np.diff(np.asarray(found.offsets))
-                body = np.frombuffer(open_.decompress(batch.column("body")[r].as_py()), np.uint32)
-                n = int(body[0])
-                ends, seq = body[1 : n + 1].astype(np.int64), body[n + 1 :]
-                flat, size = _bytes_for_unknown(flat, size)
+                body = open_.decompress(batch.column("body")[r].as_py())
+                n = int(np.frombuffer(body, np.uint32, 1)[0])
+                ends, seq = np.frombuffer(body, np.uint32, n, 4).astype(np.int64), _from_planes(body, 4 * (n + 1))
+                del body
                 # by number; a number without ids is the literal word mark
                 count = int(seq.max()) + 1 if len(seq) else 0
-                mark = np.array([3 + b for b in MARK.encode()], np.int32)
-                flat = np.concatenate([flat, mark])
-                start, length = np.full(count, len(flat) - 3, np.int64), np.full(count, 3, np.int64)
-                start[number] = np.cumsum(size) - size
-                length[number] = size
-                took = length[seq]
-                total = np.concatenate([[0], np.cumsum(took)])
+                start, length = np.zeros(count, np.int64), np.full(count, len(mark), np.int64)
+                flats, held = [mark], len(mark)
+                for blob in batch.column("found")[r].values if batch.column("found")[r].is_valid else []:
+                    raw = open_.decompress(blob.as_py())
+                    words = int(np.frombuffer(raw, np.uint32, 1)[0])
+                    x = _from_planes(raw, 4)
+                    flat, size = _bytes_for_unknown(x[2 * words :].astype(np.int32), x[words : 2 * words].astype(np.int64))
+                    number = np.cumsum(x[:words])
+                    start[number], length[number] = held + np.cumsum(size) - size, size
+                    flats.append(flat)
+                    held += len(flat)
+                flat = np.concatenate(flats).astype(np.int32)
+                total = np.zeros(len(seq) + 1, np.int64)
+                np.cumsum(length[seq], out=total[1:])
                 stops = total[ends]
+                del total
                 out = [np.zeros(0, np.int32)]
-                for a in range(0, len(seq), 1 << 20):
-                    s, k = start[seq[a : a + (1 << 20)]], took[a : a + (1 << 20)]
+                for a in range(0, len(seq), 1 << 19):
+                    s, k = start[seq[a : a + (1 << 19)]], length[seq[a : a + (1 << 19)]]
                     out.append(flat[np.repeat(s - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))])
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stops]), pa.int32()), pa.array(np.concatenate(out), pa.int32()))
+                del out, seq
                 rows = pa.ipc.open_stream(batch.column("rows")[r].as_py()).read_all().combine_chunks()
                 cols = [*(c.combine_chunks() if c.num_chunks != 1 else c.chunk(0) for c in rows.columns), lists]
                 whole = pa.RecordBatch.from_arrays([c.cast(f.type) for c, f in zip(cols, schema, strict=True)], schema=schema)
@@ -210,15 +278,12 @@ def _bytes_for_unknown(flat: np.ndarray, size: np.ndarray) -> tuple[np.ndarray,
 
 
 def _own_session(spark: SparkSession) -> SparkSession:
-    """A session with the settings of ``spark``, but bucketed scans are kept, sides that are both dealt by chunk are joined
-    as they lie, and lists are collected from sorted rows."""
+    """A session with the settings of ``spark`` that keeps bucketed scans."""
     own = spark.newSession()
     for key, value in spark.conf.getAll.items():
         if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             own.conf.set(key, value)
     own.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
-    own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
-    own.conf.set("spark.sql.execution.useObjectHashAggregateExec", "false")
     return own
 
 
@@ -230,27 +295,25 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, chunk: i
     arrow_rest = to_arrow_schema(rest)
     schema = T.StructType([*rest.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
     of = pieces(model)
-    longest = max(len(p) for _, p, _ in of)
-    n = BUCKETS * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"sp_chunks_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     packed = docs.mapInArrow(_pack(arrow_rest, text_col, chunk, spark.sparkContext.broadcast(Joins(of))), "chunk long, words array<string>, body binary, rows binary")
-    packed.write.bucketBy(n, "chunk").sortBy("chunk").format("parquet").option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
+    name = bucketed(packed, "sp_chunks", BUCKETS * n, "chunk")
     own = _own_session(spark)
     chunks, table = own.table(name), own.createDataFrame(of, "id int, piece string, score double")
-    words = chunks.select("chunk", F.posexplode("words").alias("number", "word")).filter("word <> ''")
-    starts = words.select("chunk", "number", "word", F.explode(F.sequence(F.lit(0), F.length("word") - 1)).alias("start"))
-    subs = starts.select("chunk", "number", "word", "start", F.explode(F.sequence(F.col("start") + 1, F.least(F.length("word"), F.col("start") + longest))).alias("stop"))
-    subs = subs.withColumn("piece", F.substr("word", F.col("start") + 1, F.col("stop") - F.col("start")))
-    edges = subs.join(F.broadcast(table), "piece").groupBy("chunk", "number").agg(F.collect_list(F.struct("stop", "start", "id", "score")).alias("edges"))
-    # a word of which no character is a piece has no edge
-    lattice = words.join(edges, ["chunk", "number"], "left").withColumn("edges", F.coalesce("edges", F.array().cast("array<struct<stop:int,start:int,id:int,score:double>>")))
-    paths = lattice.withColumn("lattice", forward(F.col("word"), F.col("edges"))).select("chunk", "number", backward(F.col("lattice")).alias("ids"))
-    found = paths.groupBy("chunk").agg(F.collect_list(F.struct("number", "ids")).alias("ids"))
+    # a row for each chunk that holds a word: no word has more rows than there are chunks
+    places = chunks.select(F.posexplode("words").alias("number", "word"), "chunk").filter("word <> ''").repartition(n, "word")
+    words = places.groupBy("word").agg(F.min("chunk").alias("chunk1"), F.min("number").alias("number1"))
+    paths = best_paths(words, table, max(len(p) for _, p, _ in of)).withColumnRenamed("word", "of")
+    # (the smallest chunk and number are never above a place's own; as they use all columns of the places, one exchange
+    # of the places serves both sides)
+    at = (paths["of"] == places["word"]) & (paths["chunk1"] <= places["chunk"]) & (paths["number1"] <= places["number"])
+    found = places.hint("merge").join(paths, at).select(places["chunk"], places["number"], "ids")
+    found = found.mapInArrow(_ship(), "chunk long, found binary").groupBy("chunk").agg(F.collect_list("found").alias("found"))
     run = _encode(arrow_rest, to_arrow_schema(schema))
     if decoded_col:
         schema = T.StructType([*schema.fields, T.StructField(free_names_in(schema, decoded_col), T.StringType())])
         run = _both(run, _decode(ids, to_arrow_schema(schema), _piece_bytes(spark, model)))
-    return chunks.select("chunk", "body", "rows").join(found, "chunk", "left").mapInArrow(run, schema)
+    return chunks.select("chunk", "body", "rows").join(found, "chunk", "left").select("body", "rows", "found").mapInArrow(run, schema)
 
 
 def _both(first, then):
