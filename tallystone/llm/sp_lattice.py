@@ -301,7 +301,7 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, chunk: i
     own = _own_session(spark)
     chunks, table = own.table(name), own.createDataFrame(of, "id int, piece string, score double")
     # a row for each chunk that holds a word: no word has more rows than there are chunks
-    places = chunks.select(F.posexplode("words").alias("number", "word"), "chunk").filter("word <> ''").repartition(n, "word")
+    places = chunks.select(F.posexplode("words").alias("number", "word"), "chunk").filter("word <> '' AND chunk IS NOT NULL").repartition(n, "word")
     words = places.groupBy("word").agg(F.min("chunk").alias("chunk1"), F.min("number").alias("number1"))
     paths = best_paths(words, table, max(len(p) for _, p, _ in of)).withColumnRenamed("word", "of")
     # (the smallest chunk and number are never above a place's own; as they use all columns of the places, one exchange
