@@ -24,7 +24,7 @@ TYPES = {
 INVERTIBLE = {"tinyint", "smallint", "int", "bigint", "timestamp_ntz"}
 #: Time units of cubes, finest first; a unit nests in each later one (weeks nest in none of them and are left out).
 UNITS = ("SECOND", "MINUTE", "HOUR", "DAY", "MONTH", "QUARTER", "YEAR")
-#: Row estimates by kind of table.
+#: Row estimates by kind of table, by which a query chooses between a fact and its cubes.
 ESTIMATES = {"FACT": 10**12, "CUBE": 10**9, "DIMENSION": 10**3, "SYSTEM": 10**3}
 
 
@@ -102,7 +102,7 @@ class Table:
 
 @dataclass
 class Measure:
-    """An aggregate that a cube stores: SUM, MIN, MAX of a column, or COUNT of a column or (None) of rows."""
+    """An aggregate that a cube stores: SUM, MIN, MAX, ANY_VALUE of a column, or COUNT of a column or (None) of rows."""
 
     func: str
     column: str | None = None
@@ -110,7 +110,7 @@ class Measure:
 
     def __post_init__(self):
         self.func = self.func.upper()
-        if self.func not in ("SUM", "COUNT", "MIN", "MAX"):
+        if self.func not in ("SUM", "COUNT", "MIN", "MAX", "ANY_VALUE"):
             raise EngineError(f"a cube can't store {self.func}")
         if self.column is None and self.func != "COUNT":
             raise EngineError(f"{self.func} needs a column")

@@ -8,18 +8,25 @@ microsecond``), so no other case is left.
 Both branches deliver the same columns (dims, the time bucket, and one partial
 per measure), so one final aggregation serves all three routes:
 
-    SUM -> SUM, COUNT -> SUM of counts (0 for nothing), MIN -> MIN, MAX -> MAX
+    SUM -> SUM, COUNT -> SUM of counts (0 for nothing), MIN -> MIN, MAX -> MAX,
+    ANY_VALUE -> ANY_VALUE, SUM0 -> SUM (0 for nothing), AVG -> SUM / COUNT
+
+Outputs have the types, and averages of decimals the rounding, that the same
+aggregate of the fact has, so the route does not show in the result.  MIN, MAX
+and ANY_VALUE of a cube's dim need no measure.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..catalog import Catalog, Cube, nests
+from ..catalog import ESTIMATES, Catalog, Cube, nests
 from ..errors import EngineError
 from ..functions.truncation import aligned_range
 
@@ -28,7 +35,7 @@ TICK = timedelta(microseconds=1)
 
 @dataclass
 class Agg:
-    """One output: SUM, COUNT, MIN, MAX, AVG or another Spark aggregate of a column (None: rows)."""
+    """One output: SUM, SUM0, COUNT, MIN, MAX, AVG, ANY_VALUE or another Spark aggregate of a column (None: rows)."""
 
     func: str
     column: str | None
@@ -108,28 +115,39 @@ def merge(parts: DataFrame, cube: Cube) -> DataFrame:
     return parts.groupBy(*cube.dims, cube.time).agg(*(_rolled(m.func, F.col(m.name)).cast(kinds[m.name]).alias(m.name) for m in cube.measures))
 
 
+ROLLED = {"SUM": F.sum, "MIN": F.min, "MAX": F.max, "ANY_VALUE": F.any_value}
+
+
 def _partial(func: str, column: str | None) -> Column:
     if func == "COUNT":
         return F.count(F.lit(1) if column is None else F.col(column))
-    return {"SUM": F.sum, "MIN": F.min, "MAX": F.max}[func](column)
+    return ROLLED[func](F.col(column))
 
 
 def _rolled(func: str, partial: Column) -> Column:
     if func == "COUNT":
         return F.coalesce(F.sum(partial), F.lit(0)).cast("long")
-    return {"SUM": F.sum, "MIN": F.min, "MAX": F.max}[func](partial)
+    return ROLLED[func](partial)
 
 
 def _needs(q: AggQuery) -> list[tuple[str, str | None]] | None:
     """Partials that the query's outputs are made of; None if some output can't be rolled up."""
     out: list[tuple[str, str | None]] = []
     for a in q.aggs:
-        if a.distinct or a.func not in ("SUM", "COUNT", "MIN", "MAX", "AVG"):
+        if a.distinct or a.func not in (*ROLLED, "COUNT", "AVG", "SUM0"):
             return None
-        out += [("SUM", a.column), ("COUNT", a.column)] if a.func == "AVG" else [(a.func, a.column)]
+        out += {"AVG": [("SUM", a.column), ("COUNT", a.column)], "SUM0": [("SUM", a.column)]}.get(a.func, [(a.func, a.column)])
     return list(dict.fromkeys(out))
 
 
+def _stored(cube: Cube, func: str, column: str | None) -> str | None:
+    """The cube's column that holds a partial: a measure, or a dim, of which each row has one value."""
+    found = cube.measure(func, column)
+    if found:
+        return found.name
+    return column if func in ("MIN", "MAX", "ANY_VALUE") and column.lower() in {d.lower() for d in cube.dims} else None
+
+
 def covers(cube: Cube, q: AggQuery) -> bool:
     """Whether the cube's rows can answer the query for whole buckets."""
     needs = _needs(q)
@@ -140,29 +158,51 @@ def covers(cube: Cube, q: AggQuery) -> bool:
         needs is not None
         and cube.fact.lower() == q.fact.lower()
         and used <= dims
-        and all(cube.measure(f, c) for f, c in needs)
+        and all(_stored(cube, f, c) for f, c in needs)
         and (not timed or (q.time or "").lower() == cube.time.lower())
         and (q.unit is None or nests(cube.unit, q.unit))
     )
 
 
-def route(catalog: Catalog, q: AggQuery, enabled: bool = True) -> Route:
-    """The cheapest way: of the cubes that cover the query, the coarsest with the fewest dims that has a whole bucket in range."""
-    from ..catalog import UNITS
+#: A fact and its cubes are taken to span so many seconds, and a unit's buckets to last so many.
+SPAN = 365 * 86_400
+SECONDS = {"SECOND": 1, "MINUTE": 60, "HOUR": 3600, "DAY": 86_400, "MONTH": 30 * 86_400, "QUARTER": 91 * 86_400, "YEAR": 365 * 86_400}
+
+
+def _share(lo: datetime | None, hi: datetime | None) -> float:
+    """Share of the rows in a time range; without both ends, all."""
+    return 1.0 if lo is None or hi is None else min(1.0, max(0.0, (hi - lo).total_seconds()) / SPAN)
+
+
+def cost(q: AggQuery, r: Route) -> float:
+    """Rows read, by the estimates for each kind of table: an hourly cube has the cube's estimate, a coarser one less.
 
+    What decides between cubes is mostly how much of the fact they leave at the edges.
+    """
+    lo, hi = q.half_open()
+    if r.cube is None:
+        return ESTIMATES["FACT"] * _share(lo, hi)
+    low, high = r.mid
+    edges = sum(_share(a, b) for a, b in ((lo, low), (high, hi)) if a != b)
+    return ESTIMATES["FACT"] * edges + ESTIMATES["CUBE"] * _share(low, high) * SECONDS["HOUR"] / SECONDS[r.cube.unit]
+
+
+def route(catalog: Catalog, q: AggQuery, enabled: bool = True) -> Route:
+    """The cheapest way by ``cost``; of ways that cost the same, the cube with the fewest dims."""
     lo, hi = q.half_open()
-    best: tuple | None = None
+    best = Route("fact")
+    rank: tuple = (cost(q, best), 0, "")
     for cube in catalog.cubes_of(q.fact) if enabled else []:
         if not covers(cube, q):
             continue
         mid = aligned_range(lo, hi, cube.unit)
         if mid[0] is not None and mid[1] is not None and mid[0] >= mid[1]:
             continue
-        kind = "cube" if mid == (lo, hi) else "union"
-        rank = (kind == "union", -UNITS.index(cube.unit), len(cube.dims), cube.name)
-        if best is None or rank < best[0]:
-            best = (rank, Route(kind, cube, mid))
-    return best[1] if best else Route("fact")
+        made = Route("cube" if mid == (lo, hi) else "union", cube, mid)
+        its = (cost(q, made), len(cube.dims), cube.name)
+        if best.cube is None and its[0] <= rank[0] or best.cube is not None and its < rank:
+            best, rank = made, its
+    return best
 
 
 def _within(column: str, lo: datetime | None, hi: datetime | None) -> Column | None:
@@ -195,7 +235,7 @@ def partials(q: AggQuery, r: Route, fact: DataFrame, cube: DataFrame | None) ->
     if r.kind == "fact":
         return from_fact(_within(q.time, lo, hi) if q.time else None)
     own = _filtered(cube, q, _within(r.cube.time, *r.mid))
-    own = own.select(*keys, *time_key(r.cube.time), *(F.col(r.cube.measure(f, c).name).alias(f"p{i}") for i, (f, c) in enumerate(needs)))
+    own = own.select(*keys, *time_key(r.cube.time), *(F.col(_stored(r.cube, f, c)).alias(f"p{i}") for i, (f, c) in enumerate(needs)))
     if r.kind == "cube":
         return own
     low, high = r.mid
@@ -223,17 +263,39 @@ def answer(q: AggQuery, r: Route, fact: DataFrame, cube: DataFrame | None) -> Da
     for j in q.joins:
         df = _joined(df, j)
     place = {n: F.col(f"p{i}") for i, n in enumerate(needs)}
+    kinds = {f.name: f.dataType for f in fact.groupBy().agg(*(_direct(a) for a in q.aggs)).schema.fields}
     outs = []
     for a in q.aggs:
         if a.func == "AVG":
-            # Spark's own average of a decimal or a double, from its two parts
-            out = F.sum(place["SUM", a.column]).cast("double") / F.nullif(F.sum(place["COUNT", a.column]), F.lit(0))
+            out = _average(F.sum(place["SUM", a.column]), F.sum(place["COUNT", a.column]), kinds[a.name])
+        elif a.func == "SUM0":
+            out = F.coalesce(F.sum(place["SUM", a.column]), F.lit(0))
         else:
             out = _rolled(a.func, place[a.func, a.column])
-        outs.append(out.alias(a.name))
+        outs.append(out.cast(kinds[a.name]).alias(a.name))
     return df.groupBy(*q.dims, *([q.unit_name] if q.unit else [])).agg(*outs)
 
 
+def _average(total: Column, n: Column, kind: T.DataType) -> Column:
+    """``total`` / ``n`` as Spark's average gives it; null for no rows.
+
+    Of decimals: long division in two exact steps, before and after the point, then rounding half up; a plain decimal
+    division would be rounded at another digit first.
+    """
+    n = F.nullif(n, F.lit(0))
+    if not isinstance(kind, T.DecimalType):
+        return total.cast("double") / n
+    n, size, scale = n.cast("decimal(20,0)"), F.abs(total), kind.scale
+    if scale > 10:  # too many digits for the exact steps
+        return (total / n).cast(kind)
+    rest = size % n
+    shifted = (rest.cast(T.DecimalType(26, 6)) * F.lit(Decimal(10**scale))).cast("decimal(38,0)")
+    over = shifted % n
+    digits = ((shifted - over) / n).cast("decimal(37,0)") + F.when(over * 2 >= n, 1).otherwise(0)
+    out = ((size - rest) / n).cast(T.DecimalType(38, scale)) + digits.cast(T.DecimalType(scale + 1, 0)) * F.lit(Decimal(1).scaleb(-scale))
+    return F.when(total < 0, -out).otherwise(out)
+
+
 def _joined(df: DataFrame, j: Dimension) -> DataFrame:
     d = j.df.select(F.col(j.dim_column).alias("_dim_key"), *(c for c in j.columns))
     return df.join(d, F.col(j.fact_column) == F.col("_dim_key"), j.how).drop("_dim_key")
@@ -243,6 +305,8 @@ def _direct(a: Agg) -> Column:
     c = F.lit(1) if a.column is None else F.col(a.column)
     if a.func == "COUNT":
         return (F.count_distinct(c) if a.distinct else F.count(c)).alias(a.name)
+    if a.func == "SUM0":
+        return F.coalesce(F.sum(c), F.lit(0)).alias(a.name)
     fn = getattr(F, a.func.lower(), None)
     if fn is None:
         raise EngineError(f"there is no aggregate {a.func}")

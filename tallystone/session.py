@@ -142,7 +142,7 @@ class Session:
         return self.query(statement.strip().rstrip(";"), args)
 
     def query(self, text: str, args: list | None = None) -> DataFrame:
-        found = None if args else read_aggregate(text, self.catalog)
+        found = None if args else read_aggregate(text, self.catalog, self.table)
         if found is not None:
             q, finish = found
             if self.route(q).kind != "fact":
@@ -158,7 +158,7 @@ class Session:
 
     def explain(self, text: str) -> str:
         """The route if a cube may answer, and Spark's plan."""
-        found = read_aggregate(text, self.catalog)
+        found = read_aggregate(text, self.catalog, self.table)
         route = self.route(found[0]) if found else cubes.Route("fact")
         head = f"Route: {route.kind}" + (f" ({route.cube.physical_name}, {route.mid[0]} .. {route.mid[1]})" if route.cube else "")
         plan = self.query(text)._jdf.queryExecution().explainString(self.spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
