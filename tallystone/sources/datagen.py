@@ -32,8 +32,13 @@ def generator(name: str) -> Callable[[Generator], Generator]:
     return add
 
 
+def _number(text: Column) -> Column:
+    """A 60-bit number from the first 15 digits of the text's MD5, which any SQL engine can work out again."""
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
+
+
 def _draw(seed: int, row: Column, what: str) -> Column:
-    return F.xxhash64(F.lit(seed), F.lit(what), row).bitwiseAND(F.lit((1 << 60) - 1))
+    return _number(F.concat(F.lit(f"{seed}:{what}:"), row.cast("string")))
 
 
 def _sid(prefix: str, of: Column) -> Column:
@@ -41,7 +46,7 @@ def _sid(prefix: str, of: Column) -> Column:
 
 
 def _phone(of: Column) -> Column:
-    return F.concat(F.lit("+1"), F.lpad(F.pmod(F.xxhash64(of), F.lit(10**10)).cast("string"), 10, "0"))
+    return F.concat(F.lit("+1"), F.lpad(F.pmod(_number(of.cast("string")), F.lit(10**10)).cast("string"), 10, "0"))
 
 
 @generator("ConstantValueGenerator")

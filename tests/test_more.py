@@ -50,10 +50,11 @@ def test_empty_middle_goes_to_the_fact(both):
 
 def test_generator(spark):
     a, b = generate(spark, SCENARIO, 1), generate(spark, SCENARIO, 1).repartition(3)
-    assert a.count() == 1024 and a.exceptAll(b).count() == 0
-    assert generate(spark, SCENARIO, 2).select("amount").exceptAll(a.select("amount")).count() > 500
-    r = a.agg(F.min("at_ms"), F.max("at_ms"), F.count_distinct("account_id"), F.max("amount"), F.count_distinct("transaction_id"), F.max(F.length("phone"))).first()
-    assert r[0] >= 1591046377000 and r[1] < 1592179200000 and r[2] == 2 and r[3] < 10 and r[4] == 1024 and r[5] == 12
+    assert a.count() == 3000 and a.exceptAll(b).count() == 0
+    assert generate(spark, SCENARIO, 2).select("parcel").intersect(a.select("parcel")).count() == 0
+    r = a.agg(F.min("weight_g"), F.max("weight_g"), F.max("fee"), F.count_distinct("parcel"), F.count_distinct("depot", "courier"), F.min("carrier"), F.min("scanned_ms"), F.max("scanned_ms")).first()
+    assert r[0] >= 40 and r[1] < 31500 and r[2] < 85 and r[3] == 3000 and 5 < r[4] <= 9 and r[5] == "own"
+    assert 1704067200000 <= r[6] < r[7] < 1706745600000
     with pytest.raises(EngineError):
         generate(spark, {"numRows": 1, "columnNameToValueGenerator": {"x": {"type": "Nope"}}})
 
