@@ -5,7 +5,8 @@ document is its words' ids and one end.  The model gives each id the product of
 the probability of its class, from one causal self-attention layer over the ids
 before it, and of the id within its class, from the training counts of ids.
 The most frequent ids are classes of their own; the others share classes by
-frequency.
+frequency.  A class's probability is that of its band times that of the class in
+the band, each from a softmax of its own: two short ones in place of a long one.
 
 Windows hold ``2 * stride`` ids and overlap by half: the second half of each is
 scored, with everything before it in the window as context, so each id is
@@ -29,7 +30,10 @@ documents stays in the chunk.  No key has more than one row a chunk.
 
 Defined cases: null and empty texts are one end; a row with a null id counts
 as id ""; without training documents all counts are 0 and the model is the
-untrained one; equal rows get equal scores.  64-bit hashes stand for words.
+untrained one; equal rows get equal scores, but for rounding; very long texts
+are scored whole, some 300,000 words at a time; an empty table gives no row;
+other columns are not carried along, so no name can clash.  64-bit hashes stand
+for words.
 """
 
 from __future__ import annotations
@@ -47,28 +51,39 @@ from .common import U64, Words, blocks, spaces_table, written
 from .language_id import held_out
 from .token_counts import MODEL
 
-CHUNK, STRIDE, DIM, HIDDEN, CLASSES, SLOTS, VOCAB, BEGIN, END = 14_000_000, 16, 16, 32, 256, 2048, 32_000, 1, 2
+CHUNK, STRIDE, DIM, HIDDEN, SLOTS, VOCAB, BEGIN, END = 14_000_000, 16, 16, 32, 2048, 32_000, 1, 2
+#: A class is one of ``EACH`` in one of ``BANDS``.
+BANDS, EACH = 32, 32
+CLASSES = BANDS * EACH
 #: Windows of a trainer and of one of its steps; tasks that add parameters up.
-SHARE, BATCH, SUMMERS = 100_000, 128, 8
+SHARE, BATCH, SUMMERS = 100_000, 512, 8
 #: Parts of the one pass over all windows; parameters are averaged after each.
 PARTS = 2
 EDGE = U64(0)  # hash of the end, counted as a word
 F32 = np.float32
+MOST = 60.0  # logits that could be larger have their row's maximum taken off before exp
 
 
 # ------------------------------------------------------------------ the model
 
 
-def classes_of(counts: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray]:
-    """Class of each id, and its log probability within the class: three quarters of the classes are the most frequent ids."""
+def shared(counts: np.ndarray, n: int) -> np.ndarray:
+    """One of ``n`` places for each id: the most frequent have three quarters of the places to themselves, and the others
+    share the rest by frequency, each place with about the same sum of square roots of counts."""
     order = np.argsort(-counts, kind="stable")
-    alone = min(classes * 3 // 4, len(counts) - 1)
+    alone = min(n * 3 // 4, len(counts) - 1)
     of = np.empty(len(counts), np.int64)
     of[order[:alone]] = np.arange(alone)
     rest = order[alone:]
     mass = np.sqrt(counts[rest] + 0.5)
     up = np.cumsum(mass)
-    of[rest] = alone + np.minimum(classes - alone - 1, (up - mass) * (classes - alone) // up[-1]).astype(np.int64)
+    of[rest] = alone + np.minimum(n - alone - 1, (up - mass) * (n - alone) // up[-1]).astype(np.int64)
+    return of
+
+
+def classes_of(counts: np.ndarray, classes: int = CLASSES) -> tuple[np.ndarray, np.ndarray]:
+    """Class of each id, and its log probability within the class."""
+    of = shared(counts, classes)
     within = counts + 0.5
     return of, np.log(within / np.bincount(of, within, classes)[of])
 
@@ -76,7 +91,10 @@ def classes_of(counts: np.ndarray, classes: int) -> tuple[np.ndarray, np.ndarray
 def start(seed: int = 9) -> dict[str, np.ndarray]:
     r = np.random.default_rng(seed)
     g = lambda *s: (r.standard_normal(s) * 0.1).astype(F32)
-    return {"slot": g(SLOTS, DIM), "class": g(CLASSES, DIM), "q": g(DIM, DIM), "k": g(DIM, DIM), "v": g(DIM, DIM), "near": np.zeros(2 * STRIDE, F32), "w1": g(DIM, HIDDEN), "w2": g(HIDDEN, DIM), "out": g(DIM, CLASSES), "bias": np.zeros(CLASSES, F32)}
+    return {
+        "slot": g(SLOTS, DIM), "qkv": g(DIM, 3 * DIM), "near": np.zeros(2 * STRIDE, F32), "w1": g(DIM, HIDDEN), "w2": g(HIDDEN, DIM),
+        "out": g(DIM + 1, BANDS), "band": g(BANDS, HIDDEN), "w3": g(DIM, HIDDEN), "each": g(HIDDEN + 1, EACH),
+    }
 
 
 SHAPES = {k: v.shape for k, v in start().items()}
@@ -99,85 +117,119 @@ def shaped(x: np.ndarray) -> dict[str, np.ndarray]:
     return views(x.astype(F32))
 
 
-def gap_bias(near: np.ndarray, queries: int, keys: int) -> np.ndarray:
-    """(queries, keys): the bias by distance, and -1e9 for the future; the last query stands at the last key."""
-    back = np.arange(keys - queries, keys)[:, None] - np.arange(keys)[None, :]
+def gap_bias(near: np.ndarray) -> np.ndarray:
+    """(queries, keys): the bias by distance, and -1e9 for the future; queries are the second half of the keys."""
+    back = np.arange(STRIDE, 2 * STRIDE)[:, None] - np.arange(2 * STRIDE)[None, :]
     return np.where(back >= 0, near[np.clip(back, 0, len(near) - 1)], F32(-1e9)).astype(F32)
 
 
+def with_one(x: np.ndarray) -> np.ndarray:
+    """``x`` and a column of ones, which meets a bias."""
+    out = np.empty((len(x), x.shape[1] + 1), F32)
+    out[:, :-1] = x
+    out[:, -1] = 1
+    return out
+
+
+def exp_rows(o: np.ndarray) -> np.ndarray:
+    """exp of each row, in place; of rows that could overflow, over the exp of their maximum, which is returned (0: none)."""
+    if float(np.abs(o).max(initial=0)) <= MOST:
+        np.exp(o, out=o)
+        return F32(0)
+    top = o.max(1)
+    o -= top[:, None]
+    np.exp(o, out=o)
+    return top
+
+
 class Learner:
-    """Adam on the parameters ``x``, one flat array (``p``: its parts by name)."""
+    """Adam on the parameters ``x``, one flat array (``p``: its parts by name); ids by ``slot_of`` and ``of``."""
 
-    def __init__(self, of: np.ndarray, p: dict[str, np.ndarray], rate: float = 0.01):
-        self.of, self.rate, self.step, self.x = of, rate, 0, flat(p).astype(F32)
+    def __init__(self, slot_of: np.ndarray, of: np.ndarray, p: dict[str, np.ndarray], rate: float = 0.01):
+        self.slot_of, self.band_of, self.each_of = slot_of, of // EACH, of % EACH
+        self.rate, self.step, self.x = rate, 0, flat(p).astype(F32)
         self.g, self.m, self.s = (np.zeros_like(self.x) for _ in range(3))
         self.p, self.d = views(self.x), views(self.g)
         self.back = np.arange(STRIDE, 2 * STRIDE)[:, None] - np.arange(2 * STRIDE)[None, :]
-        self.space, self.ones = np.empty((0, CLASSES), F32), np.ones(CLASSES, F32)
+
+    def _head(self, h: np.ndarray, out: str, y: np.ndarray) -> np.ndarray:
+        """Gradient of ``h`` (with its column of ones) of the mean loss of predicting ``y``; that of the weights is stored."""
+        o = h @ self.p[out]
+        exp_rows(o)
+        o *= (F32(1 / len(y)) / (o @ np.ones(o.shape[1], F32)))[:, None]
+        o[np.arange(len(y)), y] -= F32(1 / len(y))
+        self.d[out][:] = h.T @ o
+        return o @ self.p[out][:-1].T
 
     def learn(self, w: np.ndarray) -> None:
         """A step on (n, 2 * stride + 1) ids (-1: none): the second half is predicted, from all before it in the window."""
-        p, g, of = self.p, self.d, self.of
+        p, g = self.p, self.d
         y = w[:, STRIDE + 1 :].ravel()
         live = np.flatnonzero(y >= 0)
         if not len(live):
             return
-        seen, x = w[:, :-1] >= 0, np.maximum(w[:, :-1], 0)
-        slot, kind = x % SLOTS, of[x]
+        y = y[live]
+        seen, slot = w[:, :-1] >= 0, self.slot_of[w[:, :-1]]  # (-1 takes some id's place and is masked)
         e = np.take(p["slot"], slot, axis=0)
-        e += np.take(p["class"], kind, axis=0)
-        late = np.ascontiguousarray(e[:, STRIDE:])
-        q, k, v = late @ p["q"], e @ p["k"], e @ p["v"]
-        a = q @ k.transpose(0, 2, 1) * F32(DIM**-0.5) + gap_bias(p["near"], STRIDE, 2 * STRIDE)
-        a += np.where(seen, F32(0), F32(-1e9))[:, None, :]
-        a -= a.max(-1, keepdims=True)
+        qkv = e @ p["qkv"]
+        q, k, v = qkv[:, STRIDE:, :DIM], qkv[:, :, DIM : 2 * DIM], qkv[:, :, 2 * DIM :]
+        a = q @ (k * F32(DIM**-0.5)).transpose(0, 2, 1)
+        a += gap_bias(p["near"])
+        if not seen.all():
+            a += np.where(seen, F32(0), F32(-1e9))[:, None, :]
+        flat_a = a.reshape(-1, 2 * STRIDE)
+        flat_a -= flat_a.max(1)[:, None]
         np.exp(a, out=a)
-        a /= a.sum(-1, keepdims=True)
-        h = (late + a @ v).reshape(-1, DIM)
+        flat_a /= (flat_a @ np.ones(2 * STRIDE, F32))[:, None]
+        h = (e[:, STRIDE:] + a @ v).reshape(-1, DIM)[live]
         z = h @ p["w1"]
         t = np.maximum(z, 0)
-        h2 = np.ones((len(h), DIM + 1), F32)  # a column of ones meets the bias
-        h2[:, :DIM] = h + t @ p["w2"]
-        out = np.concatenate([p["out"], p["bias"][None]])
-        if len(self.space) < len(h):
-            self.space = np.empty((len(h), CLASSES), F32)
-        o = np.matmul(h2, out, out=self.space[: len(h)])
-        if float(np.abs(out).sum(0).max()) * float(np.abs(h2).max()) > MOST:
-            np.minimum(o, F32(MOST), out=o)
-        np.exp(o, out=o)
-        weight = np.zeros(len(y), F32)
-        weight[live] = F32(1 / len(live))
-        o *= (weight / (o @ self.ones))[:, None]
-        o[live, of[y[live]]] -= weight[live]
-        d = h2.T @ o
-        g["out"][:], g["bias"][:] = d[:DIM], d[DIM]
-        d2 = o @ p["out"].T
+        h2 = h + t @ p["w2"]
+        band = self.band_of[y]
+        d2 = self._head(with_one(h2), "out", band)
+        z3 = h2 @ p["w3"] + np.take(p["band"], band, axis=0)
+        t3 = np.maximum(z3, 0)
+        d3 = self._head(with_one(t3), "each", self.each_of[y])
+        d3 *= z3 > 0
+        g["w3"][:] = h2.T @ d3
+        mark = np.zeros((len(y), BANDS), F32)
+        mark[np.arange(len(y)), band] = 1
+        g["band"][:] = mark.T @ d3
+        d2 += d3 @ p["w3"].T
         g["w2"][:] = t.T @ d2
-        dz = (d2 @ p["w2"].T) * (z > 0)
+        dz = d2 @ p["w2"].T
+        dz *= z > 0
         g["w1"][:] = h.T @ dz
-        dh = (d2 + dz @ p["w1"].T).reshape(late.shape)
+        d2 += dz @ p["w1"].T
+        dh = np.zeros((len(w) * STRIDE, DIM), F32)
+        dh[live] = d2
+        dh = dh.reshape(-1, STRIDE, DIM)
+        dqkv = np.zeros_like(qkv)
         da = dh @ v.transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ dh
-        da = a * (da - (da * a).sum(-1, keepdims=True))
+        dqkv[:, :, 2 * DIM :] = a.transpose(0, 2, 1) @ dh
+        flat_da = da.reshape(-1, 2 * STRIDE)
+        flat_da -= (np.einsum("ij,ij->i", flat_da, flat_a))[:, None]
+        da *= a
         past = self.back >= 0
         g["near"][:] = np.bincount(self.back[past], da.sum(0)[past], 2 * STRIDE)
-        dq, dk = da @ k * F32(DIM**-0.5), da.transpose(0, 2, 1) @ q * F32(DIM**-0.5)
-        de = dk @ p["k"].T + dv @ p["v"].T
-        de[:, STRIDE:] += dh + dq @ p["q"].T
-        g["q"][:] = late.reshape(-1, DIM).T @ dq.reshape(-1, DIM)
-        g["k"][:], g["v"][:] = (e.reshape(-1, DIM).T @ d.reshape(-1, DIM) for d in (dk, dv))
-        de = de.ravel().astype(np.float64)
-        for name, at in (("slot", slot), ("class", kind)):
-            g[name][:] = np.bincount((at[..., None] * DIM + np.arange(DIM)).ravel(), de, g[name].size).reshape(-1, DIM)
+        da *= F32(DIM**-0.5)
+        dqkv[:, STRIDE:, :DIM] = da @ k
+        dqkv[:, :, DIM : 2 * DIM] = da.transpose(0, 2, 1) @ q
+        g["qkv"][:] = e.reshape(-1, DIM).T @ dqkv.reshape(-1, 3 * DIM)
+        de = dqkv @ p["qkv"].T
+        de[:, STRIDE:] += dh
+        slot, de = slot.ravel(), np.ascontiguousarray(de.reshape(-1, DIM).T, np.float64)
+        for i in range(DIM):
+            g["slot"][:, i] = np.bincount(slot, de[i], SLOTS)
         self.step += 1
         self.m += F32(0.1) * (self.g - self.m)
         self.s += F32(0.01) * (self.g**2 - self.s)
         self.x -= F32(self.rate / (1 - 0.9**self.step)) * self.m / (np.sqrt(self.s / F32(1 - 0.99**self.step)) + F32(1e-8))
 
 
-def train(windows: np.ndarray, of: np.ndarray, p: dict[str, np.ndarray], batch: int = 64, rate: float = 0.01, passes: int = 20) -> dict[str, np.ndarray]:
+def train(windows: np.ndarray, counts: np.ndarray, p: dict[str, np.ndarray], batch: int = 64, rate: float = 0.01, passes: int = 20) -> dict[str, np.ndarray]:
     """Parameters that one learner gets from windows in memory, in so many passes however many windows there are."""
-    learner, r = Learner(of, p, rate), np.random.default_rng(1)
+    learner, r = Learner(shared(counts, SLOTS), classes_of(counts)[0], p, rate), np.random.default_rng(1)
     for _ in range(passes):
         order = r.permutation(len(windows))
         for at in range(0, len(order), batch):
@@ -201,24 +253,28 @@ def windows_of(ids: np.ndarray, offs: np.ndarray) -> np.ndarray:
     return out
 
 
-MOST = 60.0  # logits that could be larger are cut there, so that exp and its sums stay finite
-
-
 class Scorer:
     """Scores documents of ids; keys, values and queries are tables by id."""
 
-    def __init__(self, p: dict[str, np.ndarray], of: np.ndarray, within: np.ndarray):
-        self.p, self.of, self.within = p, of, within
-        e = p["slot"][np.arange(len(of)) % SLOTS] + p["class"][of]
-        self.e, self.q, self.k = e, e @ p["q"] * F32(DIM**-0.5), e @ p["k"]
-        self.v = np.concatenate([e @ p["v"], np.ones((len(of), 1), F32)], axis=1)  # the last column sums the weights
-        self.bias = np.ascontiguousarray(gap_bias(p["near"], STRIDE, 2 * STRIDE).T)
-        self.ones = np.ones(CLASSES, F32)
-        self.out = np.concatenate([p["out"], p["bias"][None]])  # the last row meets a column of ones
-        self.steep = float(np.abs(self.out).sum(0).max())
+    def __init__(self, p: dict[str, np.ndarray], counts: np.ndarray):
+        self.p, (of, self.within) = p, classes_of(counts)
+        self.band_of, self.each_of = of // EACH, of % EACH
+        e = p["slot"][shared(counts, SLOTS)]
+        q, k, v = np.split(e @ p["qkv"], 3, axis=1)
+        self.e, self.q, self.k = e, q * F32(DIM**-0.5), np.ascontiguousarray(k)
+        self.v = np.concatenate([v, np.ones((len(of), 1), F32)], axis=1)  # the last column sums the weights
+        self.bias = np.ascontiguousarray(gap_bias(p["near"]).T)
+        #: Above this no weight of attention can lie; above MOST the largest of each is taken off first.
         self.sharp = float(np.abs(self.q).max() * np.abs(self.k).max() * DIM + np.abs(p["near"]).max())
 
-    def log10(self, ids: np.ndarray, offs: np.ndarray, batch: int = 256) -> np.ndarray:
+    @staticmethod
+    def _head(h: np.ndarray, out: np.ndarray, y: np.ndarray) -> np.ndarray:
+        o = h @ out
+        hit = o[np.arange(len(y)), y].astype(np.float64)
+        top = exp_rows(o)
+        return hit - top - np.log((o @ np.ones(o.shape[1], F32)).astype(np.float64))
+
+    def log10(self, ids: np.ndarray, offs: np.ndarray, batch: int = 128) -> np.ndarray:
         """log10 probability of each document's ids (offs: offsets); the first is predicted from BEGIN alone."""
         size = np.diff(offs)
         rows = -(-size // STRIDE)
@@ -235,10 +291,12 @@ class Scorer:
         opening = np.zeros(n + 1, bool)
         opening[first_row[rows > 0] + 1] = True
         total = np.zeros(n)
-        space = np.empty((min(batch, n) * STRIDE, CLASSES), F32)
+        p = self.p
         for a in range(1, n + 1, batch):
             b = min(n + 1, a + batch)
             target = y[a:b].ravel()
+            live = np.flatnonzero(target >= 0)
+            target = target[live]
             # a window is two rows of ids that follow each other in memory: windows overlap without copies
             kk, vv = (np.take(z, x[a - 1 : b], axis=0) for z in (self.k, self.v))
             kk, vv = (np.lib.stride_tricks.as_strided(z, (b - a, 2 * STRIDE, z.shape[2]), z.strides) for z in (kk, vv))
@@ -246,22 +304,19 @@ class Scorer:
             w += self.bias
             w[opening[a:b], :STRIDE] = -1e9
             if self.sharp > MOST:
-                np.minimum(w, F32(MOST), out=w)
+                w -= w.max(1, keepdims=True)
             np.exp(w, out=w)
             w = w.transpose(0, 2, 1) @ vv
-            h = np.ones((len(target), DIM + 1), F32)
-            h[:, :DIM] = (w[:, :, :DIM] / w[:, :, DIM:] + np.take(self.e, x[a:b], axis=0)).reshape(-1, DIM)
-            t = h[:, :DIM] @ self.p["w1"]
+            h = (w[:, :, :DIM] / w[:, :, DIM:] + np.take(self.e, x[a:b], axis=0)).reshape(-1, DIM)[live]
+            t = h @ p["w1"]
+            np.maximum(t, 0, out=t)
+            h += t @ p["w2"]
+            band = np.take(self.band_of, target)
+            score = np.zeros((b - a) * STRIDE)
+            t = h @ p["w3"] + np.take(p["band"], band, axis=0)
             np.maximum(t, 0, out=t)
-            h[:, :DIM] += t @ self.p["w2"]
-            o = np.matmul(h, self.out, out=space[: len(h)])
-            if self.steep * float(np.abs(h).max()) > MOST:
-                np.minimum(o, F32(MOST), out=o)
-            safe = np.maximum(target, 0)
-            hit = o[np.arange(len(safe)), np.take(self.of, safe)].astype(np.float64)
-            np.exp(o, out=o)
-            score = hit - np.log((o @ self.ones).astype(np.float64)) + np.take(self.within, safe)
-            total[a - 1 : b - 1] = np.where(target >= 0, score, 0).reshape(-1, STRIDE).sum(1)
+            score[live] = self._head(with_one(h), p["out"], band) + self._head(with_one(t), p["each"], np.take(self.each_of, target)) + np.take(self.within, target)
+            total[a - 1 : b - 1] = score.reshape(-1, STRIDE).sum(1)
         out = np.zeros(len(size))
         full = rows > 0
         if full.any():
@@ -316,7 +371,7 @@ def _pack(model: str, chunk: int):
             count = np.bincount(seq, train[doc], len(distinct)).astype(np.int64)
             lengths, subs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)]
             for a in range(0, len(distinct), 20_000):
-                pieces = sp.encode([words.pop(x).decode("utf-8", "replace") for x in distinct[a : a + 20_000].tolist()], num_threads=1)
+                pieces = sp.encode([words.pop(x).replace(b"\xff", b"\0").decode() for x in distinct[a : a + 20_000].tolist()], num_threads=1)
                 lengths.append(np.fromiter(map(len, pieces), np.int64, len(pieces)))
                 subs.append(np.fromiter(chain.from_iterable(pieces), np.uint16, int(lengths[-1].sum())))
             length, sub = np.concatenate(lengths), np.concatenate(subs)
@@ -394,8 +449,8 @@ def _trainer(model, share: int, batch: int, part: int = 0, parts: int = 1):
 
     def run(batches):
         counts, x = model.value
-        of, p, r = classes_of(counts, CLASSES)[0], shaped(x), np.random.default_rng(1)
-        total, done, learner, n = np.zeros(len(x)), 0, Learner(of, p), 0
+        slots, of, p, r = shared(counts, SLOTS), classes_of(counts)[0], shaped(x), np.random.default_rng(1)
+        total, done, learner, n = np.zeros(len(x)), 0, Learner(slots, of, p), 0
         for some in batches:
             for body in some.column(0):
                 _, _, per_doc, seq, length, sub, train = _read(body.as_py())
@@ -409,7 +464,7 @@ def _trainer(model, share: int, batch: int, part: int = 0, parts: int = 1):
                         learner.learn(some_of := w[order[a : a + batch]])
                         n += len(some_of)
                         if n >= share:
-                            total, done, learner, n = total + n * learner.x.astype(np.float64), done + n, Learner(of, p), 0
+                            total, done, learner, n = total + n * learner.x.astype(np.float64), done + n, Learner(slots, of, p), 0
         total, done = total + n * learner.x.astype(np.float64), done + n
         if done:
             yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([done]), pa.array([total.tobytes()], pa.binary())], schema=SUMS)
@@ -452,7 +507,7 @@ def _score(model, total: int, distinct: int, ends: int):
 
     def run(batches):
         counts, p = model.value
-        scorer = Scorer(p, *classes_of(counts, CLASSES))
+        scorer = Scorer(p, counts)
         norm = np.log10(total + 0.1 * (distinct + 1))
         for batch in batches:
             for r in range(batch.num_rows):

@@ -2,28 +2,36 @@
 
 Each document's lines are keyed (trimmed of ASCII white space, A-Z lowered)
 and hashed to 128 bits.  Documents are dealt into batches by a hash of their
-id.  A batch is reduced to one entry a key (documents, largest id), sorted by
-hash, and merge-joined with the runs that exist: what no run holds is new (the
-anti-join), and the batch is added as a run of level 0.  When ``fanout`` runs
-share a level they are compacted into one of the next level.  At the end the
-few runs left are merged; keys found in ``min_docs`` documents or more lose
-their lines everywhere but in the document with the largest id.
-
-Defined cases: null or empty text is one empty line; a null id is a document
-whose id sorts below all others; rows are documents, so a repeated row counts
-each time and rows that share the largest id all keep the line; an empty table
-gives an empty result.  128-bit hashes stand for keys.
+id.  A batch is reduced to one entry a hash (documents, largest id), sorted by
+hash, and merge-joined with the runs that exist, which lie bucketed and sorted
+by hash.  The join decides where an entry goes: what no run holds (the
+anti-join) becomes a new run of level 0; what a run holds becomes a change to
+that run, kept beside it.  So each hash lives in one run, and its count is that
+run's entry and changes added up; runs are never compared with each other
+again.  When ``fanout`` runs share a level they are compacted with their changes
+into one of the next level.  Hashes found in ``min_docs`` documents or more
+lose their lines everywhere but in the document with the largest id.
+
+There is a batch for each ``batch_docs`` documents, three at least.
+
+Defined cases: null or empty text is one empty line; rows with one id are one
+document; a row with a null id is a document of its own, whose id sorts below
+all others; rows that share the largest id all keep the line; very long texts
+are split whole; an empty table gives an empty result; other columns are
+carried along, and a new column whose name is taken gets ``_`` in front.
+128-bit hashes stand for keys.
 """
 
 from __future__ import annotations
 
 import hashlib
+from dataclasses import dataclass, field
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import free_names, written
+from .common import bucketed, free_names, written
 
 BLANK = " \t\n\x0b\x0c\r"
 
@@ -49,46 +57,68 @@ def _keys(min_chars: int):
     return run
 
 
-def _merged(runs: list[DataFrame]) -> DataFrame:
-    out = runs[0]
-    for r in runs[1:]:
-        out = out.unionByName(r)
-    return out.groupBy("h").agg(F.sum("n").alias("n"), F.max("id").alias("id"), F.max("fresh").alias("fresh"))
+@dataclass
+class Run:
+    """Entries (h, n, id) of hashes that no other run holds, and changes to them."""
 
+    level: int
+    entries: DataFrame
+    changes: list[DataFrame] = field(default_factory=list)
 
-def line_runs(keys: DataFrame, batches: int = 3, fanout: int = 2) -> list[DataFrame]:
-    """Adds the batches of ``keys`` one by one; the runs left, each (h, n, id, fresh) sorted by h."""
-    levels: list[list[DataFrame]] = [[]]
+    def merged(self) -> DataFrame:
+        return _summed([self.entries, *self.changes]) if self.changes else self.entries
+
+
+def _summed(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy("h").agg(F.sum("n").alias("n"), F.max("id").alias("id"))
+
+
+def _stored(entries: DataFrame, what: str) -> DataFrame:
+    """``entries`` bucketed and sorted by hash, one file a bucket."""
+    n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return entries.sparkSession.table(bucketed(entries.repartition(n, "h"), what, n, "h"))
+
+
+def line_runs(keys: DataFrame, batches: int, fanout: int = 2) -> list[Run]:
+    """Adds the batches of ``keys`` (h, id, batch) one by one; the runs left."""
+    runs: list[Run] = []
     for b in range(batches):
-        mine = keys.filter(F.col("batch") == b).groupBy("h").agg(F.count("*").alias("n"), F.max("id").alias("id"))
-        held = [r for level in levels for r in level]
-        if held:
-            old = held[0].select("h")
-            for r in held[1:]:
-                old = old.union(r.select("h"))
-            known = old.distinct().withColumn("known", F.lit(True))
-            mine = mine.join(known, "h", "left").select("h", "n", "id", F.col("known").isNull().alias("fresh"))
-        else:
-            mine = mine.withColumn("fresh", F.lit(True))
-        levels[0].append(written(mine.sortWithinPartitions("h"), f"run0-{b}"))
-        at = 0
-        while len(levels[at]) >= fanout:
-            if at + 1 == len(levels):
-                levels.append([])
-            levels[at + 1].append(written(_merged(levels[at]).sortWithinPartitions("h"), f"run{at + 1}"))
-            levels[at] = []
-            at += 1
-    return [r for level in levels for r in level]
-
-
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5, batches: int = 3, fanout: int = 2) -> DataFrame:
+        mine = keys.filter(F.col("batch") == b)
+        # a document counts once; the first step spreads a common line over the documents that hold it
+        mine = mine.groupBy("h", "id").agg(F.count("*").alias("n")).withColumn("n", F.when(F.col("id").isNull(), F.col("n")).otherwise(F.lit(1).cast("long")))
+        mine = mine.groupBy("h").agg(F.sum("n").alias("n"), F.max("id").alias("id")).withColumn("home", F.lit(None).cast("int"))
+        for i, r in enumerate(runs):
+            held = r.entries.select("h", F.lit(i).alias("run"))
+            mine = mine.join(held.hint("merge"), "h", "left").select("h", "n", "id", F.coalesce("home", "run").alias("home"))
+        if runs:
+            mine = written(mine, "batch", "home")
+            for i, r in enumerate(runs):
+                r.changes.append(mine.filter(F.col("home") == i).drop("home"))
+        runs.append(Run(0, _stored(mine.filter(F.col("home").isNull()).drop("home"), "run0")))
+        level = 0
+        while len(same := [r for r in runs if r.level == level]) >= fanout:
+            level += 1
+            parts = [p for r in same for p in (r.entries, *r.changes)]
+            runs = [r for r in runs if r.level != level - 1] + [Run(level, _stored(_summed(parts), f"run{level}"))]
+    return runs
+
+
+def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5, batches: int | None = None, fanout: int = 2, batch_docs: int = 1_000_000_000) -> DataFrame:
     """``docs`` with new columns n_lines, n_dropped and kept (the text without the dropped lines)."""
     row, drop, lines, n_lines, n_dropped, kept = free_names(docs, "ld_row", "ld_drop", "ld_lines", "n_lines", "n_dropped", "kept")
+    batches = batches or max(3, -(-docs.count() // batch_docs))
     id_, text = F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))
     mark: Column = F.xxhash64(text, F.length(text))
     found = docs.select(text.alias("text"), id_.cast("long").alias("id"), mark.alias("row"), F.pmod(F.xxhash64(id_), F.lit(batches)).cast("int").alias("batch"))
     keys = written(found.mapInArrow(_keys(min_chars), "h binary, id long, row long, at array<int>, batch int"), "keys", "batch")
-    common = written(_merged(line_runs(keys, batches, fanout)).filter(F.col("n") >= min_docs).select("h", F.col("id").alias("top")), "common")
+    frequent = [r.merged().filter(F.col("n") >= min_docs).select("h", F.col("id").alias("top")) for r in line_runs(keys.select("h", "id", "batch"), batches, fanout)]
+    common = frequent[0]
+    for f in frequent[1:]:
+        common = common.union(f)
+    common = written(common, "common")
     lose = keys.join(common, "h").filter(~F.col("id").eqNullSafe(F.col("top")))
     lose = lose.groupBy(F.col("id").alias("ld_id"), F.col("row").alias("ld_of")).agg(F.flatten(F.collect_list("at")).alias("ld_at"))
     d = docs.withColumn(row, mark)

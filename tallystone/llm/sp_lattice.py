@@ -8,7 +8,7 @@ pre-token's length.
 
 Documents are packed in chunks of about ``chunk`` characters: the distinct
 pre-tokens of the chunk and, for each document, their numbers in order.  The
-pre-tokens of all chunks are dealt by their text, and each distinct one is
+pre-tokens of all chunks are dealt by a hash of their text, and each distinct one is
 segmented once for the whole corpus: it is exploded to its substrings of bounded
 length, which are joined with the piece table (a fixed vocabulary, broadcast),
 grouped by pre-token, and folded by position with Spark's ``aggregate``: the
@@ -30,6 +30,8 @@ are carried along, and a new column whose name is taken gets ``_`` in front.
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -42,9 +44,11 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from .common import bucketed, free_names
 from .token_counts import MARK, MODEL, UNKNOWN, pieces
 
-CHUNK = 16_000_000
+CHUNK = 8_000_000
 #: Buckets of the chunk table for each shuffle partition: few chunks meet in a task.
 BUCKETS = 4
+#: Buckets of pre-tokens for each shuffle partition, so that partitions are even.
+WORD_BUCKETS = 8
 
 
 class Joins:
@@ -81,8 +85,13 @@ def pretokens(text: str, joins: Joins | None = None) -> list[str]:
     return out
 
 
-def _pack(rest: pa.Schema, text: str, chunk: int, joins):
-    schema = pa.schema([("chunk", pa.int64()), ("words", pa.list_(pa.string())), ("body", pa.binary()), ("rows", pa.binary())])
+PARTS = pa.list_(pa.struct([("bucket", pa.int32()), ("base", pa.int32()), ("words", pa.string())]))
+
+
+def _pack(rest: pa.Schema, text: str, chunk: int, buckets: int, joins):
+    """Rows (chunk, parts, body, rows): the distinct pre-tokens by bucket of their text, joined by blanks, which no
+    pre-token holds; the documents' pre-tokens by number (``base`` is the number of a part's first); their other columns."""
+    schema = pa.schema([("chunk", pa.int64()), ("parts", PARTS), ("body", pa.binary()), ("rows", pa.binary())])
 
     def run(batches):
         squeeze, part, made = zstandard.ZstdCompressor(3), TaskContext.get().partitionId(), 0
@@ -90,16 +99,20 @@ def _pack(rest: pa.Schema, text: str, chunk: int, joins):
         seqs, ends, size, kept = [], [], 0, []
 
         def flush():
-            sink = pa.BufferOutputStream()
+            sink, count = pa.BufferOutputStream(), len(number)
             with pa.ipc.new_stream(sink, rest) as w:
                 for k in kept:
                     w.write_batch(k)
-            words = sorted(number)
-            place = np.empty(len(words), np.uint32)
-            place[np.fromiter(map(number.__getitem__, words), np.int64, len(words))] = np.arange(len(words), dtype=np.uint32)
+            number.pop("", None)  # the literal word mark has no lattice
+            of = sorted((zlib.crc32(w.encode()) % buckets, w) for w in number)
+            place = np.zeros(count, np.uint32)
+            place[np.fromiter((number[w] for _, w in of), np.int64, len(of))] = np.arange(1, len(of) + 1, dtype=np.uint32)
+            bucket = np.array([b for b, _ in of], np.int64)
+            cuts = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]])).tolist() if of else []
+            parts = [{"bucket": int(bucket[a]), "base": a + 1, "words": " ".join(w for _, w in of[a:b])} for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             seq = place[np.concatenate([np.zeros(0, np.uint32), *seqs])]
             body = np.array([len(ends), *ends], np.uint32).tobytes() + _planes(seq)
-            return pa.RecordBatch.from_arrays([pa.array([part << 32 | made], pa.int64()), pa.array([words], pa.list_(pa.string())), pa.array([squeeze.compress(body)], pa.binary()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], schema=schema)
+            return pa.RecordBatch.from_arrays([pa.array([part << 32 | made], pa.int64()), pa.array([parts], PARTS), pa.array([squeeze.compress(body)], pa.binary()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], schema=schema)
 
         for batch in batches:
             at = batch.schema.get_field_index(text)
@@ -166,7 +179,7 @@ def backward(lattice: Column) -> Column:
 
 
 def best_paths(words: DataFrame, table: DataFrame, longest: int) -> DataFrame:
-    """``words`` (distinct in the column word, not empty, dealt by word) with the ids of their best paths.
+    """``words`` (distinct in the column word, not empty, dealt by it or a bucket of it) with the ids of their best paths.
 
     Substrings of up to ``longest`` characters are joined with ``table`` (id, piece, score: a fixed vocabulary); a single
     character that is no piece keeps an edge of its own, which stands for its byte pieces.
@@ -177,7 +190,7 @@ def best_paths(words: DataFrame, table: DataFrame, longest: int) -> DataFrame:
     subs = subs.withColumn("piece", F.substr("word", F.col("start") + 1, F.col("stop") - F.col("start")))
     edges = subs.join(F.broadcast(table), "piece", "left").filter(F.col("id").isNotNull() | (F.col("stop") == F.col("start") + 1))
     edge = F.struct("stop", "start", F.coalesce("id", -1 - F.ascii("piece")).alias("id"), F.coalesce("score", F.lit(UNKNOWN)).alias("score"))
-    # the aggregate finds the words dealt by word already: nothing is shuffled
+    # the aggregate finds a word's rows in one partition already: nothing is shuffled
     lattice = edges.groupBy("word", *others).agg(F.collect_list(edge).alias("edges")).withColumn("lattice", forward(F.col("edges")))
     return lattice.select("word", *others, backward(F.col("lattice")).alias("ids"))
 
@@ -228,9 +241,8 @@ def _encode(rest: pa.Schema, schema: pa.Schema):
                 n = int(np.frombuffer(body, np.uint32, 1)[0])
                 ends, seq = np.frombuffer(body, np.uint32, n, 4).astype(np.int64), _from_planes(body, 4 * (n + 1))
                 del body
-                # by number; a number without ids is the literal word mark
-                count = int(seq.max()) + 1 if len(seq) else 0
-                start, length = np.zeros(count, np.int64), np.full(count, len(mark), np.int64)
+                count = int(seq.max()) + 1 if len(seq) else 1
+                start, length = np.zeros(count, np.int64), np.full(count, len(mark), np.int64)  # number 0 is the literal word mark
                 flats, held = [mark], len(mark)
                 for blob in batch.column("found")[r].values if batch.column("found")[r].is_valid else []:
                     raw = open_.decompress(blob.as_py())
@@ -278,12 +290,14 @@ def _bytes_for_unknown(flat: np.ndarray, size: np.ndarray) -> tuple[np.ndarray,
 
 
 def _own_session(spark: SparkSession) -> SparkSession:
-    """A session with the settings of ``spark`` that keeps bucketed scans."""
+    """A session with the settings of ``spark`` that keeps bucketed scans, and joins sides that are both dealt by one of the
+    join's columns as they lie."""
     own = spark.newSession()
     for key, value in spark.conf.getAll.items():
         if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
             own.conf.set(key, value)
     own.conf.set("spark.sql.sources.bucketing.autoBucketedScan.enabled", "false")
+    own.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
     return own
 
 
@@ -296,17 +310,19 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, chunk: i
     schema = T.StructType([*rest.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
     of = pieces(model)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = docs.mapInArrow(_pack(arrow_rest, text_col, chunk, spark.sparkContext.broadcast(Joins(of))), "chunk long, words array<string>, body binary, rows binary")
+    packed = docs.mapInArrow(_pack(arrow_rest, text_col, chunk, WORD_BUCKETS * n, spark.sparkContext.broadcast(Joins(of))), "chunk long, parts array<struct<bucket:int,base:int,words:string>>, body binary, rows binary")
     name = bucketed(packed, "sp_chunks", BUCKETS * n, "chunk")
     own = _own_session(spark)
     chunks, table = own.table(name), own.createDataFrame(of, "id int, piece string, score double")
+    parts = chunks.select("chunk", F.explode("parts").alias("part")).filter("chunk IS NOT NULL AND part.bucket IS NOT NULL AND part.base IS NOT NULL")
+    parts = parts.select("chunk", "part.bucket", "part.base", "part.words").repartition(n, "bucket")
     # a row for each chunk that holds a word: no word has more rows than there are chunks
-    places = chunks.select(F.posexplode("words").alias("number", "word"), "chunk").filter("word <> '' AND chunk IS NOT NULL").repartition(n, "word")
-    words = places.groupBy("word").agg(F.min("chunk").alias("chunk1"), F.min("number").alias("number1"))
-    paths = best_paths(words, table, max(len(p) for _, p, _ in of)).withColumnRenamed("word", "of")
-    # (the smallest chunk and number are never above a place's own; as they use all columns of the places, one exchange
-    # of the places serves both sides)
-    at = (paths["of"] == places["word"]) & (paths["chunk1"] <= places["chunk"]) & (paths["number1"] <= places["number"])
+    places = parts.select("chunk", "bucket", "base", F.posexplode(F.split("words", " ")).alias("at", "word")).select("chunk", "bucket", (F.col("base") + F.col("at")).alias("number"), "word")
+    words = places.groupBy("bucket", "word").agg(F.min("chunk").alias("chunk1"), F.min("number").alias("number1"))
+    paths = best_paths(words, table, max(len(p) for _, p, _ in of)).withColumnsRenamed({"word": "of", "bucket": "bucket1"})
+    # (the smallest chunk and number are never above a place's own; as they use all columns of the parts, one exchange
+    # of the parts serves both sides)
+    at = (paths["bucket1"] == places["bucket"]) & (paths["of"] == places["word"]) & (paths["chunk1"] <= places["chunk"]) & (paths["number1"] <= places["number"])
     found = places.hint("merge").join(paths, at).select(places["chunk"], places["number"], "ids")
     found = found.mapInArrow(_ship(), "chunk long, found binary").groupBy("chunk").agg(F.collect_list("found").alias("found"))
     run = _encode(arrow_rest, to_arrow_schema(schema))

@@ -3,7 +3,7 @@ import re
 
 import pytest
 
-from tallystone.llm.jaccard_forest import components, depth_for, jaccard_join
+from tallystone.llm.jaccard_forest import components, depth_for, depths_for, jaccard_join, levels_of, lowest_similarity
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -95,6 +95,61 @@ def test_null_ids_repeats_long_text_empty_table(spark):
     assert run(spark, []) == []
 
 
+@pytest.mark.parametrize("n", range(1, 30))
+def test_lowest_similarity(n):
+    each = [i / (n + m - i) for m in range(1, 80) for i in range(1, min(n, m) + 1) if not n == m == i]
+    near = [s for s in each if s >= 0.8 - 1e-12]
+    assert lowest_similarity(n, 0.8) == (pytest.approx(min(near)) if near else None)
+
+
+def test_classes_have_different_depths():
+    depths = depths_for(0.8, 20, 8, 0.9995)
+    assert [int(depths[n]) for n in (1, 2, 3, 4, 5, 6, 7, 8, 100, 512)] == [0, 0, 0, 5, 5, 6, 7, 5, 5, 5]
+    for n in range(1, 40):  # any two sizes that can be near meet at the deeper of their depths
+        for m in range(1, 40):
+            if n * 0.8 <= m <= n / 0.8 and depths[n] and depths[m]:
+                assert max(depths[n], depths[m]) in levels_of(n, depths, 0.8)
+    assert levels_of(3, depths, 0.8) == [] and levels_of(7, depths, 0.8) == [7] and levels_of(8, depths, 0.8) == [5, 7]
+
+
+def test_short_texts_meet_at_their_depths(spark):
+    r = random.Random(5)
+    rows = []
+    for size in range(5, 20):
+        for _ in range(6):
+            w = [f"v{r.randrange(10**6)}" for _ in range(size)]
+            rows += [" ".join(w), " ".join([*w, "z"]), " ".join(w[1:]), " ".join([*w, "z", "z"])]
+    rows = list(enumerate(rows))
+    got, want = run(spark, rows), brute(rows)
+    assert sum(g[2] for g in got) >= 0.995 * sum(x[2] for x in want) > 200
+
+
+def test_null_ids_meet_their_own_rows_only(spark):
+    rows = []
+    for g in range(60):
+        w = [f"g{g}w{i}" for i in range(40)]
+        rows += [(None, " ".join(w)), (None, " ".join([*w, "x"]))]
+    assert run(spark, rows) == brute(rows)
+    assert run(spark, [(7, t) for _, t in rows]) == brute([(7, t) for _, t in rows])
+
+
+def twins():
+    """Two words of 1,024 letters that agree in every sum of their letters with an odd base's powers modulo 2^64."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    return a, a.translate(str.maketrans("ab", "ba"))
+
+
+def test_words_that_a_polynomial_hash_confuses(spark):
+    a, b = twins()
+    rows = [(1, f"one two three {a} five six"), (2, f"one two three {b} five six")]
+    assert run(spark, rows) == brute(rows) == [(1, 1, 0, 1), (2, 2, 0, 1)]
+
+
+def test_extra_columns_and_names(spark):
+    df = spark.createDataFrame([(1, "a b c d e f", 9, "x"), (2, "A b c d e, f", 8, "y")], "key long, n string, class_id int, bucket string")
+    assert sorted(map(tuple, jaccard_join(df, "key", "n").collect())) == [(1, 1, 1, 2), (2, 1, 1, 2)]
+
+
 def test_depth():
     assert depth_for(0.8, 20, 8, 0.9995) == 5
     assert depth_for(0.8, 1, 8, 0.99) == 1

@@ -11,14 +11,14 @@ def brute(rows, min_docs=5, min_chars=40):
     for n, (i, t) in enumerate(rows):
         for k in {key(x) for x in (t or "").split("\n")}:
             if len(k) >= min_chars:
-                holders.setdefault(k, []).append((n, i))
+                holders.setdefault(k, set()).add(("row", n) if i is None else ("id", i))
     out = []
     for i, t in rows:
         lines = (t or "").split("\n")
         kept = []
         for x in lines:
             h = holders.get(key(x), [])
-            top = max((j for _, j in h if j is not None), default=None)
+            top = max((j for kind, j in h if kind == "id"), default=None)
             if len(h) < min_docs or i == top:
                 kept.append(x)
         out.append((i, len(lines), len(lines) - len(kept), "\n".join(kept)))
@@ -54,16 +54,33 @@ def test_empty_and_clashing_names(spark):
     assert out.first()["_kept"] == "x"
 
 
-def test_runs_compact(spark):
-    keys = spark.createDataFrame([(bytes([k]), b, b) for b in range(5) for k in range(b, b + 4)], "h binary, id long, batch int")
-    runs = line_runs(keys, batches=5, fanout=2)
-    assert len(runs) == 2  # 5 = 4 + 1
-    total = {}
-    for r in runs:
-        for x in r.collect():
-            n, fresh = total.get(bytes(x["h"]), (0, False))
-            total[bytes(x["h"])] = (n + x["n"], fresh or x["fresh"])
-    assert total[bytes([4])] == (4, True) and total[bytes([0])] == (1, True)
+def test_rows_with_one_id_are_one_document(spark):
+    rows = [(i, LONG + "9") for i in (1, 1, 1, 1, 2, 3, 4)] + [(i, LONG + "8") for i in (1, 1, 1, 2, 3, 4, 5)]
+    got = srt(run(spark, rows))
+    assert got == srt(brute(rows)) and sum(r[2] for r in got) == 6
+
+
+def runs_of(spark, monkeypatch=None):
+    keys = spark.createDataFrame([(bytes([k]), 10 * b + k, b) for b in range(5) for k in range(b, b + 4)], "h binary, id long, batch int")
+    return line_runs(keys, batches=5, fanout=2)
+
+
+def test_runs_compact_and_hold_each_hash_once(spark):
+    runs = runs_of(spark)
+    assert sorted(r.level for r in runs) == [0, 2]  # 5 = 4 + 1
+    held = [bytes(x["h"]) for r in runs for x in r.merged().collect()]
+    assert len(held) == len(set(held)) == 8
+    count = {bytes(x["h"]): (x["n"], x["id"]) for r in runs for x in r.merged().collect()}
+    assert count == {bytes([k]): (len(b), max(10 * x + k for x in b)) for k in range(8) for b in [[b for b in range(5) if b <= k < b + 4]]}
+    assert [x["h"] for r in runs if r.level == 0 for x in r.entries.collect()] == [bytes([7])]  # all but this were known
+
+
+def test_the_anti_join_decides(spark, monkeypatch):
+    """With a join that finds nothing, counts fall apart over the runs."""
+    frame = type(spark.range(1))
+    whole = frame.join
+    monkeypatch.setattr(frame, "join", lambda a, b, on=None, how=None: whole(a, b.limit(0), on, how) if how == "left" else whole(a, b, on, how))
+    assert all(x["n"] < 4 for r in runs_of(spark) for x in r.merged().collect() if bytes(x["h"]) == bytes([4]))
 
 
 def test_very_long_text(spark):

@@ -44,3 +44,12 @@ def test_documents(spark):
     assert out[1] == out[5]
     assert count_tokens(df.limit(0)).collect() == []
     assert np.isfinite(UNKNOWN)
+
+
+def test_words_that_a_polynomial_hash_confuses(spark):
+    from .test_jaccard_forest import twins
+
+    score = {p.encode(): s for _, p, s in pieces()}
+    rows = list(enumerate([*twins(), "x"]))
+    out = {r["doc_id"]: r["n_tokens"] for r in count_tokens(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()}
+    assert out == {i: brute((MARK + t).encode(), score) for i, t in rows}
