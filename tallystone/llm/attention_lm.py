@@ -47,16 +47,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, Words, blocks, spaces_table, written
+from .common import U64, Words, blocks, keep_heap, spaces_table, tidy, written
 from .language_id import held_out
 from .token_counts import MODEL
 
-CHUNK, STRIDE, DIM, HIDDEN, SLOTS, VOCAB, BEGIN, END = 14_000_000, 16, 16, 32, 2048, 32_000, 1, 2
+CHUNK, STRIDE, DIM, HIDDEN, SLOTS, VOCAB, BEGIN, END = 14_000_000, 16, 16, 16, 2048, 32_000, 1, 2
 #: A class is one of ``EACH`` in one of ``BANDS``.
-BANDS, EACH = 32, 32
+BANDS, EACH = 16, 16
 CLASSES = BANDS * EACH
 #: Windows of a trainer and of one of its steps; tasks that add parameters up.
-SHARE, BATCH, SUMMERS = 100_000, 512, 8
+SHARE, BATCH, SUMMERS = 100_000, 256, 8
 #: Parts of the one pass over all windows; parameters are averaged after each.
 PARTS = 2
 EDGE = U64(0)  # hash of the end, counted as a word
@@ -133,7 +133,7 @@ def with_one(x: np.ndarray) -> np.ndarray:
 
 def exp_rows(o: np.ndarray) -> np.ndarray:
     """exp of each row, in place; of rows that could overflow, over the exp of their maximum, which is returned (0: none)."""
-    if float(np.abs(o).max(initial=0)) <= MOST:
+    if float(o.max(initial=0)) <= MOST and float(o.min(initial=0)) >= -MOST:
         np.exp(o, out=o)
         return F32(0)
     top = o.max(1)
@@ -145,7 +145,7 @@ def exp_rows(o: np.ndarray) -> np.ndarray:
 class Learner:
     """Adam on the parameters ``x``, one flat array (``p``: its parts by name); ids by ``slot_of`` and ``of``."""
 
-    def __init__(self, slot_of: np.ndarray, of: np.ndarray, p: dict[str, np.ndarray], rate: float = 0.01):
+    def __init__(self, slot_of: np.ndarray, of: np.ndarray, p: dict[str, np.ndarray], rate: float = 0.02):
         self.slot_of, self.band_of, self.each_of = slot_of, of // EACH, of % EACH
         self.rate, self.step, self.x = rate, 0, flat(p).astype(F32)
         self.g, self.m, self.s = (np.zeros_like(self.x) for _ in range(3))
@@ -157,7 +157,7 @@ class Learner:
         o = h @ self.p[out]
         exp_rows(o)
         o *= (F32(1 / len(y)) / (o @ np.ones(o.shape[1], F32)))[:, None]
-        o[np.arange(len(y)), y] -= F32(1 / len(y))
+        o.ravel()[np.arange(0, o.size, o.shape[1]) + y] -= F32(1 / len(y))
         self.d[out][:] = h.T @ o
         return o @ self.p[out][:-1].T
 
@@ -169,7 +169,7 @@ class Learner:
         if not len(live):
             return
         y = y[live]
-        seen, slot = w[:, :-1] >= 0, self.slot_of[w[:, :-1]]  # (-1 takes some id's place and is masked)
+        seen, slot = w[:, :-1] >= 0, np.take(self.slot_of, w[:, :-1], mode="wrap")  # (-1 takes some id's place and is masked)
         e = np.take(p["slot"], slot, axis=0)
         qkv = e @ p["qkv"]
         q, k, v = qkv[:, STRIDE:, :DIM], qkv[:, :, DIM : 2 * DIM], qkv[:, :, 2 * DIM :]
@@ -192,9 +192,7 @@ class Learner:
         d3 = self._head(with_one(t3), "each", self.each_of[y])
         d3 *= z3 > 0
         g["w3"][:] = h2.T @ d3
-        mark = np.zeros((len(y), BANDS), F32)
-        mark[np.arange(len(y)), band] = 1
-        g["band"][:] = mark.T @ d3
+        g["band"][:] = (band == np.arange(BANDS)[:, None]).astype(F32) @ d3
         d2 += d3 @ p["w3"].T
         g["w2"][:] = t.T @ d2
         dz = d2 @ p["w2"].T
@@ -270,7 +268,7 @@ class Scorer:
     @staticmethod
     def _head(h: np.ndarray, out: np.ndarray, y: np.ndarray) -> np.ndarray:
         o = h @ out
-        hit = o[np.arange(len(y)), y].astype(np.float64)
+        hit = np.take(o.ravel(), np.arange(0, o.size, o.shape[1]) + y).astype(np.float64)
         top = exp_rows(o)
         return hit - top - np.log((o @ np.ones(o.shape[1], F32)).astype(np.float64))
 
@@ -359,19 +357,17 @@ def _pack(model: str, chunk: int):
 
         sp = sentencepiece.SentencePieceProcessor(model_file=model)
         table, part, made = spaces_table(), TaskContext.get().partitionId(), 0
-        hashes, sizes, ids, nulls, trains, words = [], [], [], [], [], {}
+        seqs, sizes, ids, nulls, trains, number, words = [], [], [], [], [], {}, []
         held = 0
 
         def flush():
-            key = part << 32 | made
-            h, per_doc = np.concatenate(hashes), np.concatenate(sizes)
-            distinct, seq = np.unique(h, return_inverse=True)
+            seq, per_doc = np.concatenate(seqs), np.concatenate(sizes)
             train = np.concatenate(trains)
-            doc = np.repeat(np.arange(len(per_doc)), per_doc)
-            count = np.bincount(seq, train[doc], len(distinct)).astype(np.int64)
+            distinct = np.fromiter(number, U64, len(number))
+            count = np.bincount(seq, np.repeat(train, per_doc), len(distinct)).astype(np.int64)
             lengths, subs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)]
-            for a in range(0, len(distinct), 20_000):
-                pieces = sp.encode([words.pop(x).replace(b"\xff", b"\0").decode() for x in distinct[a : a + 20_000].tolist()], num_threads=1)
+            for a in range(0, len(words), 20_000):
+                pieces = sp.encode([x.replace(b"\xff", b"\0").decode() for x in words[a : a + 20_000]], num_threads=1)
                 lengths.append(np.fromiter(map(len, pieces), np.int64, len(pieces)))
                 subs.append(np.fromiter(chain.from_iterable(pieces), np.uint16, int(lengths[-1].sum())))
             length, sub = np.concatenate(lengths), np.concatenate(subs)
@@ -393,11 +389,15 @@ def _pack(model: str, chunk: int):
                 w = Words(data, offs, table)
                 h = w.hashes()
                 h[h == EDGE] = U64(1)
-                u, where = np.unique(h, return_index=True)
-                for x, i in zip(u.tolist(), where.tolist(), strict=True):
-                    if x not in words:
-                        words[x] = w.word(i)
-                hashes.append(h)
+                u, where, which = np.unique(h, return_index=True, return_inverse=True)
+                mine, raw = np.empty(len(u), np.uint32), w.low.tobytes()
+                for k, (x, a, b) in enumerate(zip(u.tolist(), w.start[where].tolist(), w.end[where].tolist(), strict=True)):
+                    n = number.get(x)
+                    if n is None:
+                        n = number[x] = len(words)
+                        words.append(raw[a:b])
+                    mine[k] = n
+                seqs.append(mine[which])
                 sizes.append(np.diff(w.per_row))
                 id_ = some.column(some.schema.get_field_index("id"))
                 ids.append(np.asarray(id_.fill_null(0)).astype(np.int64))
@@ -407,7 +407,7 @@ def _pack(model: str, chunk: int):
                 if held >= chunk:
                     yield from flush()
                     made += 1
-                    hashes, sizes, ids, nulls, trains, words, held = [], [], [], [], [], {}, 0
+                    seqs, sizes, ids, nulls, trains, number, words, held = [], [], [], [], [], {}, [], 0
         if sizes:
             yield from flush()
 
@@ -448,6 +448,7 @@ def _trainer(model, share: int, batch: int, part: int = 0, parts: int = 1):
     """
 
     def run(batches):
+        keep_heap()
         counts, x = model.value
         slots, of, p, r = shared(counts, SLOTS), classes_of(counts)[0], shaped(x), np.random.default_rng(1)
         total, done, learner, n = np.zeros(len(x)), 0, Learner(slots, of, p), 0
@@ -492,7 +493,7 @@ def fit(packed: DataFrame, share: int = SHARE, batch: int = BATCH, parts: int =
     p, sums = start(), "task int, n long, p binary"
     for part in range(parts):
         model = spark.sparkContext.broadcast((counts, flat(p)))
-        made = chunks.mapInArrow(_trainer(model, share, batch, part, parts), sums).repartition(SUMMERS, "task").sortWithinPartitions("task").mapInArrow(_sum, sums).collect()
+        made = chunks.mapInArrow(tidy(_trainer(model, share, batch, part, parts)), sums).repartition(SUMMERS, "task").sortWithinPartitions("task").mapInArrow(_sum, sums).collect()
         if made:
             made = sorted(made, key=lambda r: bytes(r["p"]))
             p = shaped(sum(np.frombuffer(r["p"]) for r in made) / sum(r["n"] for r in made))
@@ -506,6 +507,7 @@ def _score(model, total: int, distinct: int, ends: int):
     """(chunk, body, counts: array of (at, c): a word's number in the chunk, its count in training) -> SCORED."""
 
     def run(batches):
+        keep_heap()
         counts, p = model.value
         scorer = Scorer(p, counts)
         norm = np.log10(total + 0.1 * (distinct + 1))
@@ -531,7 +533,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """A row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), (~held_out(id_col, folds)).alias("train"))
-    packed = written(source.mapInArrow(_pack(model, chunk), "kind string, chunk long, h long, n long, at int, body binary"), "packed")
+    packed = written(source.mapInArrow(tidy(_pack(model, chunk)), "kind string, chunk long, h long, n long, at int, body binary"), "packed")
     words = packed.filter("kind = 'word'")
     total = written(words.filter("n > 0").groupBy("h").agg(F.sum("n").alias("c")), "counts")
     n, v = total.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -540,7 +542,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n, v = n + ends, v + (ends > 0)
     trained = spark.sparkContext.broadcast(fit(packed, share))
     chunks = packed.filter("kind = 'chunk'").select("chunk", "body").join(back, "chunk", "left").select("chunk", "body", "counts")
-    out = chunks.mapInArrow(_score(trained, n, v, ends), "id long, n_tokens long, n_known long, base_score double, score double")
+    out = chunks.mapInArrow(tidy(_score(trained, n, v, ends)), "id long, n_tokens long, n_known long, base_score double, score double")
     return out.select(F.col("id").alias(id_col), held_out("id", folds).alias("held_out"), "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score")
 
 

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import bucketed, free_names
+from .common import bucketed, free_names, tidy
 from .token_counts import MARK, MODEL, UNKNOWN, pieces
 
 CHUNK = 8_000_000
@@ -310,7 +310,7 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, chunk: i
     schema = T.StructType([*rest.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
     of = pieces(model)
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    packed = docs.mapInArrow(_pack(arrow_rest, text_col, chunk, WORD_BUCKETS * n, spark.sparkContext.broadcast(Joins(of))), "chunk long, parts array<struct<bucket:int,base:int,words:string>>, body binary, rows binary")
+    packed = docs.mapInArrow(tidy(_pack(arrow_rest, text_col, chunk, WORD_BUCKETS * n, spark.sparkContext.broadcast(Joins(of)))), "chunk long, parts array<struct<bucket:int,base:int,words:string>>, body binary, rows binary")
     name = bucketed(packed, "sp_chunks", BUCKETS * n, "chunk")
     own = _own_session(spark)
     chunks, table = own.table(name), own.createDataFrame(of, "id int, piece string, score double")
@@ -324,12 +324,12 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, chunk: i
     # of the parts serves both sides)
     at = (paths["bucket1"] == places["bucket"]) & (paths["of"] == places["word"]) & (paths["chunk1"] <= places["chunk"]) & (paths["number1"] <= places["number"])
     found = places.hint("merge").join(paths, at).select(places["chunk"], places["number"], "ids")
-    found = found.mapInArrow(_ship(), "chunk long, found binary").groupBy("chunk").agg(F.collect_list("found").alias("found"))
+    found = found.mapInArrow(tidy(_ship()), "chunk long, found binary").groupBy("chunk").agg(F.collect_list("found").alias("found"))
     run = _encode(arrow_rest, to_arrow_schema(schema))
     if decoded_col:
         schema = T.StructType([*schema.fields, T.StructField(free_names_in(schema, decoded_col), T.StringType())])
         run = _both(run, _decode(ids, to_arrow_schema(schema), _piece_bytes(spark, model)))
-    return chunks.select("chunk", "body", "rows").join(found, "chunk", "left").select("body", "rows", "found").mapInArrow(run, schema)
+    return chunks.select("chunk", "body", "rows").join(found, "chunk", "left").select("body", "rows", "found").mapInArrow(tidy(run), schema)
 
 
 def _both(first, then):
