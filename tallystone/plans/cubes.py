@@ -292,7 +292,7 @@ def _average(total: Column, n: Column, kind: T.DataType) -> Column:
     shifted = (rest.cast(T.DecimalType(26, 6)) * F.lit(Decimal(10**scale))).cast("decimal(38,0)")
     over = shifted % n
     digits = ((shifted - over) / n).cast("decimal(37,0)") + F.when(over * 2 >= n, 1).otherwise(0)
-    out = ((size - rest) / n).cast(T.DecimalType(38, scale)) + digits.cast(T.DecimalType(scale + 1, 0)) * F.lit(Decimal(1).scaleb(-scale))
+    out = ((size - rest) / n).cast(T.DecimalType(36, scale)) + digits.cast(T.DecimalType(scale + 1, 0)) * F.lit(Decimal(1).scaleb(-scale))
     return F.when(total < 0, -out).otherwise(out)
 
 

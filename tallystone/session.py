@@ -16,7 +16,7 @@ from .errors import DuplicateKey, EngineError, UnsupportedOperation
 from .operators.scan import Paging, key_order
 from .operators.scan import scan as scan_table
 from .plans import cubes, ddl
-from .plans.dialect import Dialect
+from .plans.dialect import Dialect, bound
 from .plans.select import read_aggregate
 from .sources.store import Store
 
@@ -141,8 +141,14 @@ class Session:
             return self._insert(parsed, args)
         return self.query(statement.strip().rstrip(";"), args)
 
+    def route_of(self, text: str, args: list | None = None) -> cubes.Route:
+        """How a query is answered; what only Spark can read goes to the fact."""
+        found = read_aggregate(bound(text, args), self.catalog, self.table)
+        return self.route(found[0]) if found else cubes.Route("fact")
+
     def query(self, text: str, args: list | None = None) -> DataFrame:
-        found = None if args else read_aggregate(text, self.catalog, self.table)
+        text = bound(text, args)
+        found = read_aggregate(text, self.catalog, self.table)
         if found is not None:
             q, finish = found
             if self.route(q).kind != "fact":
@@ -154,12 +160,11 @@ class Session:
         for name in {*self.catalog.tables, *self.catalog.cubes}:
             if re.search(rf"\b{re.escape(name)}\b", rewritten, re.IGNORECASE):
                 self.table(name).createOrReplaceTempView(f"`{name}`")
-        return self.spark.sql(rewritten, args=args) if args else self.spark.sql(rewritten)
+        return self.spark.sql(rewritten)
 
     def explain(self, text: str) -> str:
         """The route if a cube may answer, and Spark's plan."""
-        found = read_aggregate(text, self.catalog, self.table)
-        route = self.route(found[0]) if found else cubes.Route("fact")
+        route = self.route_of(text)
         head = f"Route: {route.kind}" + (f" ({route.cube.physical_name}, {route.mid[0]} .. {route.mid[1]})" if route.cube else "")
         plan = self.query(text)._jdf.queryExecution().explainString(self.spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
         return f"{head}\n{plan}"
