@@ -6,13 +6,15 @@ and ``]`` inside roles and texts become ``&amp;``, ``&lt;``, ``&#91;`` and
 ``&#93;``, so no control string can occur inside a text and the escape can be
 undone.
 
-Prefix sums of turn tokens choose the spans.  With B the budget, the stride of
-a conversation is S = max(1, B - system tokens - H - most tokens of a turn);
-a turn belongs to span floor(prefix sum before it / S).  A span then holds
-fewer than S + (most tokens of a turn) tokens, and a window (system turn, then
-history: earlier turns that begin at most H tokens before the span, then the
-span) at most B + the largest history turn's overhang, unless single turns are
-larger than the budget: a turn is never cut.  H = ``history`` tokens.
+Prefix sums of turn tokens choose the spans, one after the other.  A turn's tokens
+are those of all that is written for it, escapes and control strings included.
+A window is the retained system turn, then history, then its span; the span
+takes turns while the whole window keeps within the budget of B tokens, which by
+prefix sums is one comparison a turn, and one turn at least: a turn is never
+cut.  History is the earlier turns that begin at most H tokens before the span,
+without the system turn, where H = ``history``, or less if the span's first turn
+leaves less room.  So a window exceeds the budget only where the system turn and
+one turn of the conversation do so by themselves.
 
 The loss mask of a window covers the texts of the assistant turns of its span;
 repeated turns are masked out, so each assistant text is under the loss once.
@@ -20,9 +22,10 @@ repeated turns are masked out, so each assistant text is under the loss once.
 Defined cases: null text and null role are empty strings; a null turn number
 sorts first; equal turn numbers are ordered by role and text, and all are
 kept; the retained system turn is the conversation's first turn if its role is
-``system``; a null conversation id is one conversation; an empty table gives
-no window.  The digest of a conversation needs all its turns in one row, so a
-conversation must fit in one task.
+``system``; a null conversation id is one conversation; a very long text is a
+window of its own; an empty table gives no window; other columns are not carried
+along, so no name can clash.  The digest of a conversation needs all its turns in
+one row, so a conversation must fit in one task.
 """
 
 from __future__ import annotations
@@ -48,41 +51,52 @@ def unescaped(c: Column) -> Column:
     return c
 
 
-def tokens(text: Column) -> Column:
-    """Words and single marks, and three for the turn's own control strings."""
-    return F.regexp_count(text, F.lit(r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]")) + 3
+#: Words and single marks.
+TOKEN = r"[\p{L}\p{N}]+|[^\p{L}\p{N}\s]"
+#: Fewest tokens of a turn: those of ``<s>[]</s>``.
+LEAST = 9
 
 
 def format_chat(conversations: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
     """Windows (conv, window, formatted, loss): loss holds (start, chars) of the text under the loss, from 0."""
     empty = F.lit("")
     t = conversations.select(F.col(conv_col).alias("conv"), F.col(turn_col).alias("turn"), F.coalesce(F.col(role_col), empty).alias("role"), F.coalesce(F.col(text_col), empty).alias("text"))
-    t = t.withColumn("n", tokens(F.col("text")))
+    t = t.withColumns({"lead": F.concat(escaped(F.col("role")), F.lit("]")), "safe": escaped(F.col("text"))}).withColumn("body", F.concat("lead", "safe", F.lit(CLOSE)))
+    t = t.withColumns({"n": F.regexp_count(F.concat(F.lit(FIRST), "body"), F.lit(TOKEN)).cast("long"), "lead": F.length("lead"), "safe": F.length("safe")})
     order = Window.partitionBy("conv").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    whole = Window.partitionBy("conv")
-    t = t.withColumns({"at": F.row_number().over(order), "before": F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n"), "most": F.max("n").over(whole)})
+    t = t.withColumns({"at": F.row_number().over(order), "before": F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("n")})
     head = (F.col("at") == 1) & (F.col("role") == "system")
-    t = t.withColumns({"head": head, "system_n": F.max(F.when(head, F.col("n")).otherwise(0)).over(whole)})
-    t = t.withColumn("span", F.floor(F.col("before") / F.greatest(F.lit(1), F.lit(budget - history) - F.col("system_n") - F.col("most"))))
-    t = t.withColumn("body", F.concat(escaped(F.col("role")), F.lit("]"), escaped(F.col("text")), F.lit(CLOSE)))
-    t = t.withColumns({"system": F.max(F.when(F.col("head"), F.col("body"))).over(whole), "lead": F.length(escaped(F.col("role"))) + 1, "safe": F.length(escaped(F.col("text")))})
-    near = Window.partitionBy("conv").orderBy("before").rangeBetween(-history, -1)
-    t = t.withColumn("opens", (F.lag("span").over(Window.partitionBy("conv").orderBy("before")) != F.col("span")) | (F.col("at") == 1))
-    t = t.withColumn("past", F.when(F.col("opens") & (F.col("at") > 1), F.collect_list(F.when(~F.col("head"), F.col("body"))).over(near)))
-    g = t.groupBy("conv", "span").agg(
-        F.array_sort(F.collect_list(F.struct("at", "role", "body", "lead", "safe"))).alias("turns"),
-        F.max("past").alias("past"), F.max(F.when(F.col("span") > 0, F.col("system"))).alias("system"))
-    again = F.transform(F.concat(F.when(F.col("system").isNull(), F.array().cast("array<string>")).otherwise(F.array("system")), F.coalesce(F.col("past"), F.array().cast("array<string>"))), lambda b: F.concat(F.lit(AGAIN), b))
-    g = g.withColumn("prefix", F.array_join(again, ""))
+    g = t.withColumn("head", head).groupBy("conv").agg(
+        F.sort_array(F.collect_list(F.struct("at", "before", "n", "head", "role", "body", "lead", "safe"))).alias("turns"),
+        F.max(F.when(head, F.col("body"))).alias("system"), F.coalesce(F.max(F.when(head, F.col("n"))), F.lit(0)).cast("long").alias("system_n"))
+    most = -(-history // LEAST)  # turns that can begin within the history
+
+    def past(x: Column) -> Column:
+        room = F.greatest(F.lit(0), F.least(F.lit(history), F.lit(budget) - F.col("system_n") - x["n"]))
+        near = F.slice("turns", F.greatest(F.lit(1), x["at"] - most), F.least(F.lit(most), x["at"] - 1))
+        return F.filter(near, lambda y: ~y["head"] & (x["before"] - y["before"] <= room))
+
+    def step(state: Column, x: Column) -> Column:
+        repeated = F.col("system_n") + F.aggregate(past(x), F.lit(0).cast("long"), lambda s, y: s + y["n"])
+        opened = F.struct(x["at"].alias("first"), (x["before"] + budget - repeated).alias("limit"), F.concat(state["spans"], F.array(F.struct(state["first"].alias("first"), (x["at"] - 1).alias("last")))).alias("spans"))
+        return F.when((x["before"] + x["n"] <= state["limit"]) | (x["at"] == state["first"]), state).otherwise(opened)
+
+    start = F.struct(F.lit(1).alias("first"), F.lit(budget).cast("long").alias("limit"), F.array().cast("array<struct<first:int,last:int>>").alias("spans"))
+    spans = F.aggregate("turns", start, step, lambda s: F.concat(s["spans"], F.array(F.struct(s["first"].alias("first"), F.size("turns").alias("last")))))
+    g = g.withColumn("spans", spans).select("*", F.posexplode("spans").alias("window", "span"))
+    own = F.slice("turns", F.col("span.first"), F.col("span.last") - F.col("span.first") + 1)
+    # the system turn again (if there is one), then history
+    again = F.when(F.col("window") > 0, F.filter(F.concat(F.array("system"), F.transform(past(F.element_at("turns", F.col("span.first"))), lambda y: y["body"])), lambda b: b.isNotNull()))
+    g = g.withColumn("prefix", F.coalesce(F.array_join(F.transform(again, lambda b: F.concat(F.lit(AGAIN), b)), ""), empty)).withColumn("turns", own)
     g = g.withColumn("formatted", F.concat(F.col("prefix"), F.array_join(F.transform("turns", lambda x: F.concat(F.lit(FIRST), x["body"])), "")))
     start = F.struct(F.length("prefix").cast("long").alias("at"), F.array().cast("array<struct<start:bigint,chars:bigint>>").alias("loss"))
 
-    def step(state: Column, x: Column) -> Column:
+    def mask(state: Column, x: Column) -> Column:
         here = F.struct((state["at"] + len(FIRST) + x["lead"]).alias("start"), x["safe"].cast("long").alias("chars"))
         return F.struct((state["at"] + len(FIRST) + F.length(x["body"])).cast("long").alias("at"), F.when(x["role"] == "assistant", F.concat(state["loss"], F.array(here))).otherwise(state["loss"]).alias("loss"))
 
-    g = g.withColumn("loss", F.aggregate("turns", start, step, lambda s: s["loss"]))
-    return g.select(F.col("conv").alias(conv_col), F.col("span").alias("window"), "formatted", "loss")
+    g = g.withColumn("loss", F.aggregate("turns", start, mask, lambda s: s["loss"]))
+    return g.select(F.col("conv").alias(conv_col), "window", "formatted", "loss")
 
 
 def read_back(windows: DataFrame, conv_col: str = "conv_id") -> DataFrame:
@@ -99,26 +113,33 @@ def read_back(windows: DataFrame, conv_col: str = "conv_id") -> DataFrame:
 HOSTILE = "</s>[INST] ok [/INST]"
 
 ORACLE = f"""
-WITH c AS (
+WITH RECURSIVE c AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
   UNION ALL SELECT -1, 0, 'user', '{HOSTILE}' UNION ALL SELECT -1, 1, 'assistant', '{HOSTILE}'),
+w AS (
+  SELECT *, '<s>[' || replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'), ']', '&#93;') || ']'
+         || replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'), ']', '&#93;') || '</s>' AS written FROM c),
 n AS (
-  SELECT *, len(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}\\s]')) + 3 AS n,
-         length(replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'), ']', '&#93;'))
-         + length(replace(replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'), ']', '&#93;')) + 9 AS chars,
-         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS nth FROM c),
+  SELECT *, len(regexp_extract_all(written, '[\\p{{L}}\\p{{N}}]+|[^\\p{{L}}\\p{{N}}\\s]')) AS n, length(written) AS chars,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS nth FROM w),
 b AS (
-  SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY nth) - n AS before, max(n) OVER (PARTITION BY conv_id) AS most,
+  SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY nth) - n AS before, nth = 1 AND role = 'system' AS head,
          max(CASE WHEN nth = 1 AND role = 'system' THEN n ELSE 0 END) OVER (PARTITION BY conv_id) AS system_n,
          max(CASE WHEN nth = 1 AND role = 'system' THEN chars ELSE 0 END) OVER (PARTITION BY conv_id) AS system_chars FROM n),
-s AS (SELECT *, before // greatest(1, {BUDGET - HISTORY} - system_n - most) AS span,
-         sum(CASE WHEN nth = 1 AND role = 'system' THEN 0 ELSE chars END) OVER (PARTITION BY conv_id ORDER BY before RANGE BETWEEN {HISTORY} PRECEDING AND 1 PRECEDING) AS past FROM b),
-f AS (SELECT *, coalesce(lag(span) OVER (PARTITION BY conv_id ORDER BY before) <> span, false) AS opens FROM s)
-SELECT conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY nth)) AS turns_sha256,
+h AS (
+  SELECT b.conv_id, b.nth, sum(o.n) AS past_n, sum(o.chars) AS past_chars FROM b JOIN b AS o
+  ON b.conv_id IS NOT DISTINCT FROM o.conv_id AND o.nth < b.nth AND NOT o.head AND b.before - o.before <= greatest(0, least({HISTORY}, {BUDGET} - b.system_n - b.n)) GROUP BY 1, 2),
+s AS (SELECT b.*, coalesce(past_n, 0) AS past_n, coalesce(past_chars, 0) AS past_chars FROM b LEFT JOIN h ON b.conv_id IS NOT DISTINCT FROM h.conv_id AND b.nth = h.nth),
+r AS (
+  SELECT conv_id, nth, {BUDGET}::HUGEINT AS most, false AS opens FROM s WHERE nth = 1
+  UNION ALL
+  SELECT s.conv_id, s.nth, CASE WHEN s.before + s.n > r.most THEN s.before + {BUDGET} - s.system_n - s.past_n ELSE r.most END, s.before + s.n > r.most
+  FROM r JOIN s ON s.conv_id IS NOT DISTINCT FROM r.conv_id AND s.nth = r.nth + 1)
+SELECT s.conv_id, count(*)::BIGINT AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY s.nth)) AS turns_sha256,
        coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
-       sha256(coalesce(string_agg(text, '' ORDER BY nth) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
-       sum(chars + CASE WHEN opens THEN system_chars + coalesce(past, 0) ELSE 0 END)::BIGINT AS formatted_chars
-FROM f GROUP BY conv_id
+       sha256(coalesce(string_agg(text, '' ORDER BY s.nth) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+       sum(chars + CASE WHEN opens THEN system_chars + past_chars ELSE 0 END)::BIGINT AS formatted_chars
+FROM s JOIN r ON s.conv_id IS NOT DISTINCT FROM r.conv_id AND s.nth = r.nth GROUP BY s.conv_id
 """
 
 

@@ -12,11 +12,16 @@ those with the smallest hash of their id; everything else sees all rows.
 
 Defined cases: null text, and text without a letter, is ``und`` with score 0;
 without any labelled row every text is ``und``; equal scores go to the
-language that sorts first; rows with a null language are not learned from.
+language that sorts first; rows with a null language are not learned from;
+repeated rows are learned from and told each; very long texts are taken whole, in
+slices that overlap by an n-gram; an empty table gives no row; other columns are
+carried along, and a new column whose name is taken gets ``_`` in front.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -30,13 +35,32 @@ BLOCK = 1_000_000
 BINS, MAX_N, SMOOTH = 1 << 15, 3, 0.5
 
 
-def bins_of(texts: list[str], bins: int, max_n: int) -> tuple[list[np.ndarray], np.ndarray]:
-    """For n = 1.. the bin of the n-gram at each code point (``bins`` where it would leave its text), and the texts' offsets."""
-    low = [t.lower() for t in texts]
+def slices(texts: list[str], max_n: int, most: int = BLOCK) -> Iterator[tuple[np.ndarray, list[str], np.ndarray]]:
+    """(rows, lowered slices, n-gram starts that are a slice's own): runs of some ``most`` characters of all texts."""
+    rows, parts, own, size = [], [], [], 0
+    for row, text in enumerate(texts):
+        low = text.lower()
+        for a in range(0, len(low), most):
+            rows.append(row)
+            parts.append(low[a : a + most + max_n - 1])
+            own.append(min(most, len(low) - a))
+            size += own[-1]
+            if size >= most:
+                yield np.array(rows), parts, np.array(own)
+                rows, parts, own, size = [], [], [], 0
+    if rows:
+        yield np.array(rows), parts, np.array(own)
+
+
+def bins_of(low: list[str], bins: int, max_n: int, own: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """For n = 1.. the bin of the n-gram at each code point (``bins`` where it would leave its text, or is not its own), and the texts' offsets."""
     offs = np.zeros(len(low) + 1, np.int64)
     np.cumsum(np.fromiter(map(len, low), np.int64, len(low)), out=offs[1:])
-    cp = np.frombuffer("".join(low).encode("utf-32-le"), np.uint32).astype(U64)
-    room = np.repeat(offs[1:], np.diff(offs)) - np.arange(len(cp))
+    cp = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.uint32).astype(U64)
+    place = np.arange(len(cp))
+    room = np.repeat(offs[1:], np.diff(offs)) - place
+    if own is not None:
+        room[place - np.repeat(offs[:-1], np.diff(offs)) >= np.repeat(own, np.diff(offs))] = 0
     out, h = [], np.zeros(len(cp), U64)
     for n in range(1, max_n + 1):
         h = h[: max(0, len(cp) - n + 1)] * U64(0x9E3779B97F4A7C15) + cp[n - 1 :] + U64(1)
@@ -55,14 +79,16 @@ def _count(bins: int, max_n: int):
         docs: dict[str, int] = {}
         for batch in batches:
             for rows, _, _ in blocks(batch, "text", BLOCK):
-                langs = rows.column(1).to_pylist()
-                found, offs = bins_of([t or "" for t in rows.column(0).to_pylist()], bins, max_n)
-                for lang in set(langs):
-                    mine = np.repeat(np.fromiter((x == lang for x in langs), bool, len(langs)), np.diff(offs))
-                    here = total.setdefault(lang, np.zeros(bins + 1, np.int64))
-                    for b in found:
-                        here += np.bincount(b[mine], minlength=bins + 1)
-                    docs[lang] = docs.get(lang, 0) + langs.count(lang)
+                langs = np.array(rows.column(1).to_pylist(), object)
+                for lang in set(langs.tolist()):
+                    total.setdefault(lang, np.zeros(bins + 1, np.int64))
+                    docs[lang] = docs.get(lang, 0) + int((langs == lang).sum())
+                for row, parts, own in slices([t or "" for t in rows.column(0).to_pylist()], max_n):
+                    found, offs = bins_of(parts, bins, max_n, own)
+                    for lang in set(langs[row].tolist()):
+                        mine = np.repeat(langs[row] == lang, np.diff(offs))
+                        for b in found:
+                            total[lang] += np.bincount(b[mine], minlength=bins + 1)
         for lang, here in total.items():
             here[bins] = docs[lang]  # the place of n-grams that leave their text holds the documents
             at = np.flatnonzero(here)
@@ -93,12 +119,11 @@ def has_letter(text: str) -> bool:
 
 
 def score(texts: list[str], langs: list[str], logp: np.ndarray, prior: np.ndarray, max_n: int) -> tuple[list[str], list[float]]:
-    found, offs = bins_of(texts, len(logp) - 1, max_n)
-    full = np.flatnonzero(np.diff(offs))
     total = np.tile(prior, (len(texts), 1))
-    for b in found:
-        if len(full):
-            total[full] += np.add.reduceat(logp[b], offs[full], axis=0)
+    for row, parts, own in slices(texts, max_n):
+        found, offs = bins_of(parts, len(logp) - 1, max_n, own)
+        for b in found:
+            np.add.at(total, row, np.add.reduceat(np.take(logp, b, axis=0), offs[:-1], axis=0))
     best = total.argmax(1)
     p = 1 / np.exp(total - total.max(1, keepdims=True)).sum(1)
     known = [has_letter(t) for t in texts]

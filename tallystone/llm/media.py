@@ -4,14 +4,18 @@
 of 576, as 8-bit mono samples in a WAV file held in a binary column.
 ``wav_features`` opens the stored file with the wave module, cuts it in frames,
 takes a windowed Fourier transform of each (the last is filled up with
-silence, so that every sample lies in a frame), keeps the strongest bins of each
-frame as peaks, and pairs each peak with those of the next frames.  A pair is
-kept as (frame << 32 | bin << 20 | later bin << 8 | frames between): an array
-coded by time.  Frames are transformed in slabs, so that memory stays bounded
-for very long files.
-
-Defined cases: null or empty text is 576 bytes of 255; a file of one frame has
-no pairs; equal texts give equal files and features.
+silence, so that every sample lies in a frame), keeps the strongest local maxima
+of each frame's spectrum as peaks, and pairs each peak with those of the next
+frames.  A pair is kept as (frame << 32 | bin << 20 | later bin << 8 | frames
+between): an array coded by time.  Power is rounded to whole numbers.  Frames are
+transformed in slabs, so that memory stays bounded for very long files.
+
+Defined cases: null or empty text is 576 bytes of 255; of equally strong peaks
+the lower bin goes first, and of a flat top the first bin is the maximum; a frame
+with fewer maxima has fewer peaks (silence has none), and a file of one frame
+has no pairs; equal texts give equal files and features, so repeated rows do; a
+very long text is one file; an empty table gives no row; a new column whose name
+is taken gets ``_`` in front.
 """
 
 from __future__ import annotations
@@ -62,19 +66,22 @@ def pairs(samples: bytes) -> np.ndarray:
     """Fingerprint pairs of 8-bit samples, as 64-bit codes in order of time."""
     x = np.frombuffer(samples, np.uint8)
     frames = 1 + max(0, len(x) - FRAME) // HOP
-    peaks = np.empty((frames, PEAKS), np.int64)
+    peaks = np.empty((frames, PEAKS), np.int64)  # by strength; -1: none
     for at in range(0, frames, SLAB):
         n = min(SLAB, frames - at)
         part = x[at * HOP : (at + n - 1) * HOP + FRAME].astype(np.float32) - 128
         cut = np.lib.stride_tricks.sliding_window_view(part, FRAME)[::HOP] * _WINDOW
-        power = np.abs(np.fft.rfft(cut, axis=1)[:, 1:])
-        power[:, 1:-1][(power[:, 1:-1] < power[:, :-2]) | (power[:, 1:-1] < power[:, 2:])] = 0
-        top = np.argpartition(-power, PEAKS - 1, axis=1)[:, :PEAKS]
-        peaks[at : at + n] = np.sort(top, axis=1)
+        power = np.zeros((n, FRAME // 2 + 2), np.int32)  # no power on both sides of the bins from 1
+        power[:, 1:-1] = np.rint(np.abs(np.fft.rfft(cut, axis=1)[:, 1:]))
+        top = (power[:, 1:-1] > power[:, :-2]) & (power[:, 1:-1] >= power[:, 2:])
+        key = np.where(top, power[:, 1:-1].astype(np.int64) << 8 | (255 - np.arange(FRAME // 2)), -1)  # bin 1 is number 0
+        best = -np.partition(-key, PEAKS - 1, axis=1)[:, :PEAKS]
+        peaks[at : at + n] = np.where(best >= 0, 255 - (best & 255), -1)
     out = []
     for gap in range(1, min(REACH, frames - 1) + 1):
-        code = np.arange(frames - gap)[:, None, None] << 32 | peaks[:-gap, :, None] << 20 | peaks[gap:, None, :] << 8 | gap
-        out.append(code.ravel())
+        a, b = peaks[:-gap, :, None], peaks[gap:, None, :]
+        code = np.arange(frames - gap)[:, None, None] << 32 | a << 20 | b << 8 | gap
+        out.append(code[(a >= 0) & (b >= 0)])
     return np.sort(np.concatenate(out)) if out else np.zeros(0, np.int64)
 
 

@@ -5,7 +5,7 @@ from hashlib import sha256
 
 import numpy as np
 
-from tallystone.llm.media import PEAKS, REACH, decode, encode, filled, padded, pairs, query, to_wav, wav_features
+from tallystone.llm.media import FRAME, HOP, PEAKS, REACH, SLAB, decode, encode, filled, padded, pairs, query, to_wav, wav_features
 
 
 def test_payload_round_trip(spark):
@@ -42,6 +42,28 @@ def test_peaks_of_a_tone():
     assert (np.diff(got >> 32) >= 0).all()
 
 
+def brute(samples):
+    peaks = []
+    for at in range(0, max(1, len(samples) - FRAME + 1), HOP):
+        x = (np.frombuffer(samples[at : at + FRAME], np.uint8).astype(np.float32) - 128) * np.hanning(FRAME).astype(np.float32)
+        power = [0, *(round(float(p)) for p in np.abs(np.fft.rfft(x[None])[0, 1:])), 0]
+        tops = [(-power[i], i - 1) for i in range(1, len(power) - 1) if power[i - 1] < power[i] >= power[i + 1]]
+        peaks.append([b for _, b in sorted(tops)[:PEAKS]])
+    return sorted(i << 32 | a << 20 | b << 8 | g for i in range(len(peaks)) for g in range(1, REACH + 1) if i + g < len(peaks) for a in peaks[i] for b in peaks[i + g])
+
+
+def test_fingerprint_against_brute_force():
+    r = np.random.default_rng(5)
+    words = b"the of and to in that was his he it with is for as had you not be her".split()
+    for n in (1, 40, 4000, (SLAB + 3) * HOP):
+        text = b" ".join(words[i] for i in r.integers(0, len(words), n // 4 + 1))[:n]
+        x = filled(padded(text))
+        assert pairs(x).tolist() == brute(x)
+    assert pairs(b"\x80" * 1152).tolist() == brute(b"\x80" * 1152) == []  # silence has no peak
+    ramp = bytes(range(256)) * 8
+    assert pairs(ramp).tolist() == brute(ramp)
+
+
 def test_one_frame_has_no_pair():
     assert len(pairs(b"\x00" * 256)) == 0
     assert padded(b"") == b"\xff" * 576 and len(padded(b"a" * 1152)) == 1152
