@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import time
+from collections.abc import Callable
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -48,7 +49,7 @@ class Session:
         self.catalog, self._frames, self._cubes = Catalog(), {}, {}
         self._rows: dict[str, list[tuple]] = {}
         self._bulk: dict[str, list[DataFrame]] = {}
-        self._base, self._folders = 0, {}
+        self._base, self._folders, self._streams = 0, {}, {}
         self.refresh()
 
     # -- catalog
@@ -60,7 +61,7 @@ class Session:
         back = self.config.snapshot_difference_ms
         found = self.store.newest(int(time.time() * 1000) - back if back else None)
         registered = [t for k, t in self.catalog.tables.items() if k in self._frames]
-        self._base, self._folders, self.catalog = found["version"], found["folders"], Catalog.loads(found["catalog"])
+        self._base, self._folders, self.catalog, self._streams = found["version"], found["folders"], Catalog.loads(found["catalog"]), found.get("streams", {})
         for t in registered:
             self.catalog.tables.setdefault(t.name.lower(), t)
 
@@ -180,7 +181,7 @@ class Session:
         kept = Catalog()
         kept.tables = {k: t for k, t in self.catalog.tables.items() if k not in self._frames}
         kept.cubes = {k: c for k, c in self.catalog.cubes.items() if k not in self._cubes}
-        self._base = self.store.publish(self._base, kept, self._folders)
+        self._base = self.store.publish(self._base, kept, self._folders, self._streams)
 
     def _create_table(self, s: ddl.CreateTable) -> None:
         self._owned()
@@ -284,45 +285,67 @@ class Session:
     def rollback(self) -> None:
         self._rows, self._bulk = {}, {}
 
-    def commit(self) -> None:
-        """Writes what is buffered and publishes facts and cubes together; on an error nothing is published and the buffer is empty."""
+    def done(self, stream: str) -> int:
+        """Number of the last batch of a stream that is published; -1: none."""
+        return self._streams.get(stream, -1)
+
+    def commit(self, stream: str | None = None, batch: int = -1) -> None:
+        """Writes what is buffered and publishes facts and cubes together, and with them the number of a stream's batch.
+
+        On an error nothing is published, what was written is deleted, and the buffer is empty.
+        """
         rows, bulk = self._rows, self._bulk
         self.rollback()
-        if not rows and not bulk:
+        if not rows and not bulk and stream is None:
             return
-        folders = {k: list(v) for k, v in self._folders.items()}
-        for low in sorted({*rows, *bulk}):
-            t = self.catalog.tables[low]
-            frames = list(bulk.get(low, []))
-            if rows.get(low):
-                plain = self.spark.createDataFrame(rows[low], ", ".join(f"`{c.name}` {c.type}" for c in t.columns))
-                frames.append(plain)
-            new = frames[0]
-            for f in frames[1:]:
-                new = new.unionByName(f)
-            entry = self._write_checked(t, new)
-            stored = self.store.read(t, [entry])
-            folders.setdefault(low, []).append(entry)
-            if self.config.disable_cube_aggregation:
-                continue
-            for cube in self.catalog.cubes_of(t.name):
-                key = cube.name.lower()
-                folders.setdefault(key, []).append(self.store.write(cubes.build(stored, cube), cube.name))
-                if len(folders[key]) > self.config.cube_parts:
-                    parts = self.store.read_parts(self._cube_schema(cube), folders[key])
-                    folders[key] = [self.store.write(cubes.merge(parts, cube), cube.name)]
-        before, self._folders = self._folders, folders
+        folders, made = {k: list(v) for k, v in self._folders.items()}, []
+
+        def write(df: DataFrame, name: str, part: str | None = None) -> dict:
+            made.append(self.store.write(df, name, part))
+            return made[-1]
+
+        before = self._folders, self._streams
         try:
+            for low in sorted({*rows, *bulk}):
+                t = self.catalog.tables[low]
+                frames = list(bulk.get(low, []))
+                if rows.get(low):
+                    frames.append(self.spark.createDataFrame(rows[low], ", ".join(f"`{c.name}` {c.type}" for c in t.columns)))
+                new = frames[0]
+                for f in frames[1:]:
+                    new = new.unionByName(f)
+                entry = self._write_checked(t, new, write)
+                stored = self.store.read(t, [entry])
+                folders.setdefault(low, []).append(entry)
+                if self.config.disable_cube_aggregation:
+                    continue
+                for cube in self.catalog.cubes_of(t.name):
+                    key = cube.name.lower()
+                    folders.setdefault(key, []).append(write(cubes.build(stored, cube), cube.name))
+                    if len(folders[key]) > self.config.cube_parts:
+                        parts = self.store.read_parts(self._cube_schema(cube), folders[key])
+                        folders[key] = [write(cubes.merge(parts, cube), cube.name)]
+            self._folders, self._streams = folders, self._streams | ({stream: batch} if stream else {})
             self._publish()
-        except EngineError:
-            self._folders = before
+        except Exception:
+            self._folders, self._streams = before
+            self.store.delete(made)
             raise
 
-    def _write_checked(self, t: Table, new: DataFrame) -> dict:
+    def near(self, t: Table, df: DataFrame) -> DataFrame:
+        """Keys of the stored rows that lie in the days of ``df``: the only ones, where the row timestamp is in the key,
+        that its keys can equal.  The reader opens no other day's files."""
+        only = None
+        if t.row_timestamp and t.row_timestamp.lower() in {k.lower() for k in t.key}:
+            days = [r[0] for r in df.select(F.to_date(t.row_timestamp)).distinct().collect()]  # the days of one batch
+            only = F.col(PART).isin(days) if days else F.lit(False)
+        return self.store.read(t, self._folders.get(t.name.lower(), []), only).select(*t.key)
+
+    def _write_checked(self, t: Table, new: DataFrame, write: Callable[..., dict]) -> dict:
         """Writes ``new`` clustered by the hash columns and the row timestamp's day and sorted by key, then checks keys
         and nulls on what was written.
 
-        Older rows are compared within the ranges of the new keys only, so that the reader skips the rest.
+        Older rows are compared within the days and the ranges of the new keys only, so that the reader skips the rest.
         """
         stamp, by = t.row_timestamp, list(t.hash_columns)
         if stamp:
@@ -331,7 +354,7 @@ class Session:
         if by:
             new = new.repartition(max(t.buckets, int(self.spark.conf.get("spark.sql.shuffle.partitions"))), *by)
         order = [F.col(PART), *key_order(t)] if stamp else key_order(t)
-        entry = self.store.write(new.sortWithinPartitions(*order), t.name, PART if stamp else None)
+        entry = write(new.sortWithinPartitions(*order), t.name, PART if stamp else None)
         stored = self.store.read(t, [entry])
         needed = [c.name for c in t.columns if not c.nullable]
         nulls = [F.count(F.when(F.col(f"`{c}`").isNull(), 1)).alias(f"nulls_{i}") for i, c in enumerate(needed)]
@@ -343,7 +366,7 @@ class Session:
         twice = stored.groupBy(*t.key).count().filter("count > 1").select(*t.key).limit(1)
         old = self._folders.get(t.name.lower(), [])
         if old and seen["rows"]:
-            near = self.store.read(t, old).select(*t.key)
+            near = self.near(t, stored)
             for i, k in enumerate(t.key):
                 near = near.filter(F.col(k).between(_bound(seen[f"low_{i}"], t.column(k).type), _bound(seen[f"high_{i}"], t.column(k).type)))
             twice = twice.union(stored.select(*t.key).join(near, t.key, "left_semi").limit(1))

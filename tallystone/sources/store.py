@@ -14,10 +14,12 @@ import time
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..catalog import Catalog, Column, Table
+from ..catalog import Catalog, Table
+from ..catalog import Column as TableColumn
 from ..errors import EngineError
 
 
@@ -49,20 +51,31 @@ class Store:
             found = self.load(v)
             if before_ms is None or found["at_ms"] <= before_ms:
                 return found
-        return {"version": 0, "at_ms": 0, "catalog": Catalog().dumps(), "folders": {}}
+        return {"version": 0, "at_ms": 0, "catalog": Catalog().dumps(), "folders": {}, "streams": {}}
 
-    def publish(self, base: int, catalog: Catalog, folders: dict[str, list[dict]]) -> int:
-        """Makes version ``base`` + 1; an error if another session made it first."""
+    def publish(self, base: int, catalog: Catalog, folders: dict[str, list[dict]], streams: dict[str, int]) -> int:
+        """Makes version ``base`` + 1; an error if another session made it first.
+
+        The rename fails if the version exists; the file system must do that in one step (HDFS does).
+        """
         version = base + 1
-        body = json.dumps({"version": version, "at_ms": int(time.time() * 1000), "catalog": catalog.dumps(), "folders": folders})
+        body = json.dumps({"version": version, "at_ms": int(time.time() * 1000), "catalog": catalog.dumps(), "folders": folders, "streams": streams})
         staged = self._path(f"{self.root}/versions/.{uuid.uuid4().hex}")
         out = self.fs.create(staged, False)
         out.write(bytearray(body.encode()))
         out.close()
         target = self._path(f"{self.root}/versions/{version:012d}.json")
-        if self.fs.exists(target) or not self.fs.rename(staged, target):
+        jvm = self.spark._jvm
+        never = getattr(jvm.org.apache.hadoop.fs, "Options$Rename").NONE
+        how = self.spark.sparkContext._gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 1)
+        how[0] = never
+        try:
+            jvm.org.apache.hadoop.fs.FileContext.getFileContext(staged.toUri(), self.spark._jsc.hadoopConfiguration()).rename(staged, target, how)
+        except Py4JJavaError as e:
             self.fs.delete(staged, False)
-            raise EngineError("another session has committed meanwhile; nothing was published")
+            if not self.fs.exists(target):
+                raise
+            raise EngineError("another session has committed meanwhile; nothing was published") from e
         return version
 
     # -- data
@@ -73,18 +86,28 @@ class Store:
         (df.write.partitionBy(partition_by) if partition_by else df.write).parquet(path)
         return {"path": path, "columns": [c for c in df.columns if c != partition_by]}
 
-    def read(self, table: Table, folders: list[dict]) -> DataFrame:
-        """The table's rows; a column added after a folder was written has its default there."""
+    def delete(self, folders: list[dict]) -> None:
+        """Deletes folders that no version names."""
+        for f in folders:
+            self.fs.delete(self._path(f["path"]), True)
+
+    def read(self, table: Table, folders: list[dict], only: Column | None = None) -> DataFrame:
+        """The table's rows; a column added after a folder was written has its default there.
+
+        only: a condition on the folders' partition column.
+        """
         if not folders:
             return self.spark.createDataFrame([], table.schema())
         by_columns: dict[tuple, list[str]] = {}
         for f in folders:
             by_columns.setdefault(tuple(c.lower() for c in f["columns"]), []).append(f["path"])
-        return reduce(DataFrame.unionByName, [self._one(table, set(cols), paths) for cols, paths in by_columns.items()])
+        return reduce(DataFrame.unionByName, [self._one(table, set(cols), paths, only) for cols, paths in by_columns.items()])
 
-    def _one(self, table: Table, have: set[str], paths: list[str]) -> DataFrame:
+    def _one(self, table: Table, have: set[str], paths: list[str], only: Column | None) -> DataFrame:
         stored = [c for c in table.columns if c.name.lower() in have]
         df = self._reader(", ".join(f"`{c.name}` {c.type}" for c in stored), paths).parquet(*paths)
+        if only is not None:
+            df = df.filter(only)
         return df.select(*(F.col(f"`{c.name}`") if c.name.lower() in have else default(c).alias(c.name) for c in table.columns))
 
     def read_parts(self, schema: str, folders: list[dict]) -> DataFrame:
@@ -98,7 +121,7 @@ class Store:
         return self.spark.read.schema(schema).option("basePath", paths[0].rpartition("/")[0])
 
 
-def default(c: Column):
+def default(c: TableColumn):
     value = c.default
     if isinstance(value, str) and c.type == "binary":
         value = value.encode()

@@ -14,16 +14,18 @@ from ..session import Session
 def maintain(stream: DataFrame, session: Session, table: str, checkpoint: str) -> DataStreamWriter:
     """A writer that commits each micro-batch to a stored fact and its cubes.
 
-    A batch that is run again after a failure carries keys that are stored
-    already; they are left out, so it changes nothing.
+    A batch's number is published with its rows: a batch that is run again after a failure is known by it and changes
+    nothing.  Rows whose key is stored already, by this stream or another, are left out; only the stored days that the
+    batch touches are looked at.
     """
 
-    def commit(batch: DataFrame, _: int) -> None:
-        key = session.catalog.table(table).key
+    def commit(batch: DataFrame, number: int) -> None:
         session.refresh()
-        new = batch.dropDuplicates(key).join(session.table(table).select(*key), key, "left_anti")
-        session.append(table, new)
-        session.commit()
+        if number <= session.done(checkpoint):
+            return
+        meta = session.catalog.table(table)
+        session.append(table, batch.dropDuplicates(meta.key).join(session.near(meta, batch), meta.key, "left_anti"))
+        session.commit(checkpoint, number)
 
     return stream.writeStream.foreachBatch(commit).option("checkpointLocation", checkpoint)
 

@@ -287,3 +287,72 @@ def test_scan_statistics_and_cancel(spark):
     with cancellable(spark) as cancel:
         cancel()
         assert callable(cancel)
+
+
+def test_failed_commits_leave_no_folder(s, tmp_path):
+    s.sql(FACT)
+    s.sql(VIEW)
+    row = "('a', TIMESTAMP '2024-01-01 10:00:00', 1, 'k', 2)"
+    s.sql(f"INSERT INTO f VALUES {row}")
+    s.commit()
+    held = sorted(p.name for p in (tmp_path / "data").rglob("_part=*"))
+    s.sql(f"INSERT INTO f VALUES {row}")
+    with pytest.raises(DuplicateKey):
+        s.commit()
+    assert sorted(p.name for p in (tmp_path / "data").rglob("_part=*")) == held
+    assert s.table("f").count() == 1
+
+
+def test_two_sessions_publish_one_version(s, spark, tmp_path):
+    s.sql(FACT)
+    other = Session(spark, f"file://{tmp_path}", EngineConfig(enable_inserts=True))
+    for i, x in enumerate((s, other)):
+        x.sql(f"INSERT INTO f VALUES ('a', TIMESTAMP '2024-01-01 10:00:00', {i}, 'k', 2)")
+    s.commit()
+    with pytest.raises(EngineError, match="another session"):
+        other.commit()
+    other.refresh()
+    assert other.table("f").count() == 1 and len(list((tmp_path / "versions").glob("*.json"))) == 2
+
+
+def test_the_key_check_reads_the_days_of_the_batch(s):
+    s.sql(FACT)
+    for day in (1, 2, 3):
+        s.sql(f"INSERT INTO f VALUES ('a', TIMESTAMP '2024-01-0{day} 10:00:00', 1, 'k', 2)")
+        s.commit()
+    t = s.catalog.table("f")
+    near = s.near(t, s.table("f").filter("at < TIMESTAMP_NTZ '2024-01-02 00:00:00'"))
+    assert near.count() == 1
+    assert "PartitionFilters: [_day" in near._jdf.queryExecution().explainString(s.spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")) or "isnotnull(_day" in str(near._jdf.queryExecution().toString())
+
+
+def test_a_batch_number_is_published_once(s, spark, tmp_path):
+    from tallystone.streaming import maintain
+
+    s.sql(FACT)
+    made = []
+    stream = type("Stream", (), {"writeStream": type("Writer", (), {"foreachBatch": lambda self, f: (made.append(f), self)[1], "option": lambda self, k, v: self})()})
+    maintain(stream, s, "f", "here")
+    rows = spark.createDataFrame([("a", datetime(2024, 1, 1), 1, "k", Decimal(2))], s.catalog.table("f").schema())
+    made[0](rows, 0)
+    version = s.store.versions()[-1]
+    made[0](rows, 0)  # run again: nothing is written
+    assert s.store.versions()[-1] == version and s.done("here") == 0 and s.done("there") == -1
+    made[0](rows, 1)
+    assert s.table("f").count() == 1 and s.done("here") == 1
+
+
+def test_averages_of_decimals_have_the_fact_s_rounding(spark):
+    import random
+
+    r = random.Random(2)
+    rows = [(r.choice("abcdefghij"), datetime(2024, 1, 1, r.randrange(24), 5), Decimal(r.randint(-(10**9), 10**9)).scaleb(-6)) for _ in range(700)]
+    df = spark.createDataFrame(rows, "k string, at timestamp_ntz, v decimal(22,6)")
+    answers = []
+    for off in (False, True):
+        one = Session(spark, config=EngineConfig(disable_materialized_views=off))
+        one.register(Table("f", [Column("k", "string"), Column("at", "timestamp_ntz", row_timestamp=True), Column("v", "decimal(22,6)")], ["k"]), df)
+        one.register_cube(Cube("c", "f", "at", "HOUR", ["k"], [Measure("SUM", "v"), Measure("COUNT", "v"), Measure("COUNT", None)]))
+        got = one.query("SELECT k, AVG(v) AS m, SUM(v) AS t, COUNT(*) AS n FROM f GROUP BY k")
+        answers.append((got.dtypes, sorted(tuple(x) for x in got.collect())))
+    assert answers[0] == answers[1]
