@@ -49,6 +49,8 @@ CHUNK = 8_000_000
 BUCKETS = 4
 #: Buckets of pre-tokens for each shuffle partition, so that partitions are even.
 WORD_BUCKETS = 8
+#: Partitions of pre-tokens for each shuffle partition: a pre-token has some twenty edges, which are sorted in memory.
+SPREAD = 2
 
 
 class Joins:
@@ -315,7 +317,7 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, chunk: i
     own = _own_session(spark)
     chunks, table = own.table(name), own.createDataFrame(of, "id int, piece string, score double")
     parts = chunks.select("chunk", F.explode("parts").alias("part")).filter("chunk IS NOT NULL AND part.bucket IS NOT NULL AND part.base IS NOT NULL")
-    parts = parts.select("chunk", "part.bucket", "part.base", "part.words").repartition(n, "bucket")
+    parts = parts.select("chunk", "part.bucket", "part.base", "part.words").repartition(SPREAD * n, "bucket")
     # a row for each chunk that holds a word: no word has more rows than there are chunks
     places = parts.select("chunk", "bucket", "base", F.posexplode(F.split("words", " ")).alias("at", "word")).select("chunk", "bucket", (F.col("base") + F.col("at")).alias("number"), "word")
     words = places.groupBy("bucket", "word").agg(F.min("chunk").alias("chunk1"), F.min("number").alias("number1"))
@@ -324,7 +326,8 @@ def encode(docs: DataFrame, text_col: str = "text", model: str = MODEL, chunk: i
     # of the parts serves both sides)
     at = (paths["bucket1"] == places["bucket"]) & (paths["of"] == places["word"]) & (paths["chunk1"] <= places["chunk"]) & (paths["number1"] <= places["number"])
     found = places.hint("merge").join(paths, at).select(places["chunk"], places["number"], "ids")
-    found = found.mapInArrow(tidy(_ship()), "chunk long, found binary").groupBy("chunk").agg(F.collect_list("found").alias("found"))
+    found = found.mapInArrow(tidy(_ship()), "chunk long, found binary").repartition(BUCKETS * n, "chunk")  # as the chunks' table lies
+    found = found.groupBy("chunk").agg(F.collect_list("found").alias("found"))
     run = _encode(arrow_rest, to_arrow_schema(schema))
     if decoded_col:
         schema = T.StructType([*schema.fields, T.StructField(free_names_in(schema, decoded_col), T.StringType())])
