@@ -32,6 +32,34 @@ def nulls_high(column: str, descending: bool = False) -> Column:
     return F.col(column).desc_nulls_first() if descending else F.col(column).asc_nulls_last()
 
 
+def pinned(condition: str, key: list[str]) -> set[str]:
+    """Key columns that a condition holds to one value: an equality with a literal pins a column, AND pins what either
+    side does, OR what both sides do."""
+    from ..plans.tokens import closing, split, tokenise
+
+    def of(t) -> set[str]:
+        while t and t[0].text == "(" and closing(t, 0) == len(t) - 1:
+            t = t[1:-1]
+        parts = split(t, "OR")
+        if len(parts) > 1:
+            return set.intersection(*map(of, parts))
+        if any(x.upper == "BETWEEN" for x in t):
+            return set()
+        parts = split(t, "AND")
+        if len(parts) > 1:
+            return set.union(*map(of, parts))
+        sides = split(t, "=")
+        if len(sides) != 2 or not all(sides):
+            return set()
+        for a, b in (sides, reversed(sides)):
+            if len(a) == 1 and a[0].name.lower() in names and (b[-1].kind in ("number", "string")) and len(b) <= 2:
+                return {a[0].name.lower()}
+        return set()
+
+    names = {k.lower() for k in key}
+    return of(tokenise(condition))
+
+
 def scan(df: DataFrame, table: Table, predicates: list[list[Column]] | Column | None = None, columns: list[str] | None = None, limit: int | None = None, offset: int | None = None, ordered: bool = False) -> DataFrame:
     """Rows of ``df`` that meet any of the conjunctions in ``predicates``; in key order if ``ordered`` or paged by offset."""
     if isinstance(predicates, Column):
@@ -80,9 +108,8 @@ def cancellable(spark: SparkSession) -> Iterator[callable]:
 
 
 def timed_count(df: DataFrame) -> dict:
-    """Scan statistics: rows, partitions, seconds to the first row, seconds in all."""
+    """Scan statistics of one run: rows, partitions that hold some, rows of the largest, and seconds."""
     begun = time.perf_counter()
-    df.take(1)
-    first = time.perf_counter() - begun
-    rows = df.count()
-    return {"rows": rows, "partitions": df.rdd.getNumPartitions(), "first_row_s": first, "total_s": time.perf_counter() - begun}
+    parts = df.groupBy(F.spark_partition_id().alias("part")).count()
+    partitions, largest, rows = parts.agg(F.count("*"), F.max("count"), F.sum("count")).first()
+    return {"rows": rows or 0, "partitions": partitions, "largest_partition": largest or 0, "total_s": time.perf_counter() - begun}

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .catalog import Catalog, Cube, Table
 from .errors import DuplicateKey, EngineError, UnsupportedOperation
+from .operators.joins import LIMIT_BYTES, estimated_bytes
 from .operators.scan import Paging, key_order
 from .operators.scan import scan as scan_table
 from .plans import cubes, ddl
@@ -156,7 +157,7 @@ class Session:
                 view = f"routed_{abs(hash(text)) % 10**9}_{time.monotonic_ns()}"
                 self.aggregate(q).createOrReplaceTempView(view)
                 return self.spark.sql(finish(f"`{view}`"))
-        dialect = Dialect(self.catalog)
+        dialect = Dialect(self.catalog, lambda name: estimated_bytes(self.table(name)) <= LIMIT_BYTES)
         rewritten = dialect.query(text)
         for name in {*self.catalog.tables, *self.catalog.cubes}:
             if re.search(rf"\b{re.escape(name)}\b", rewritten, re.IGNORECASE):

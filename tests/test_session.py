@@ -283,7 +283,8 @@ def test_scan_statistics_and_cancel(spark):
     from tallystone.operators import cancellable, timed_count
 
     out = timed_count(spark.range(100))
-    assert out["rows"] == 100 and out["total_s"] >= out["first_row_s"] >= 0
+    assert out["rows"] == 100 and out["partitions"] >= 1 and 100 >= out["largest_partition"] >= 25 and out["total_s"] > 0
+    assert timed_count(spark.range(0))["rows"] == 0
     with cancellable(spark) as cancel:
         cancel()
         assert callable(cancel)
@@ -356,3 +357,43 @@ def test_averages_of_decimals_have_the_fact_s_rounding(spark):
         got = one.query("SELECT k, AVG(v) AS m, SUM(v) AS t, COUNT(*) AS n FROM f GROUP BY k")
         answers.append((got.dtypes, sorted(tuple(x) for x in got.collect())))
     assert answers[0] == answers[1]
+
+
+def test_the_nested_join_hint_reaches_the_join(spark, monkeypatch):
+    from tallystone import session as module
+
+    s = Session(spark)
+    for name, n in (("small", 10), ("large", 1000)):
+        s.register(Table(name, [Column("k", "bigint"), Column(f"v_{name}", "bigint")], ["k"]), spark.range(n).select(F.col("id").alias("k"), F.col("id").alias(f"v_{name}")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = lambda q: s.query(q)._jdf.queryExecution().executedPlan().toString()
+        hint = "SELECT /*+ USE_ANY_NESTED_JOIN */ a.k"
+        inner = plan(f"{hint} FROM small a JOIN large b ON a.k = b.k AND a.k < b.v_large + 1")
+        assert "BroadcastHashJoin" in inner and "BuildLeft" in inner
+        left = plan(f"{hint} FROM small AS a LEFT JOIN large b ON a.k = b.k")
+        assert "BroadcastHashJoin" in left and "BuildRight" in left
+        assert "BroadcastNestedLoopJoin" in plan(f"{hint} FROM small a JOIN large b ON a.k > b.k")
+        assert "SortMergeJoin" in plan("SELECT a.k FROM small a JOIN large b ON a.k = b.k")
+        assert "SortMergeJoin" in plan(f"{hint} FROM small a RIGHT JOIN large b ON a.k = b.k")
+        assert "SortMergeJoin" in plan(f"{hint} FROM small a JOIN large b ON a.k = b.k AND (a.k = 1 OR b.k = 2)")
+        monkeypatch.setattr(module, "LIMIT_BYTES", 10)
+        assert "SortMergeJoin" in plan(f"{hint} FROM small a JOIN large b ON a.k = b.k")  # too large to be sent whole
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_pinned_keys():
+    from tallystone.operators.scan import pinned
+
+    key = ["a", "b", "c"]
+    for condition, want in [("a = 1", "a"), ("a = 'x' AND b = -2", "ab"), ("1 = a AND (b = 2 OR c = 3)", "a"), ("(a = 1 AND b = 2) OR (a = 3 AND c = 1)", "a"), ("a > 1", ""), ("a = b", ""), ("d = 1", ""), ("a BETWEEN 1 AND 2", "")]:
+        assert pinned(condition, key) == set(want), condition
+
+
+def test_bound_values_are_literals(spark):
+    s = Session(spark)
+    row = s.query("SELECT ? AS a, ? AS b, ? AS c, ? AS d, ? AS e, ? AS f", [1, "it's a \\ 'q' ?", None, datetime(2024, 1, 2, 3), Decimal("1.50"), 2.5]).first()
+    assert tuple(row) == (1, "it's a \\ 'q' ?", None, datetime(2024, 1, 2, 3), Decimal("1.50"), 2.5)
+    with pytest.raises(EngineError):
+        s.query("SELECT ?, ?", [1])
