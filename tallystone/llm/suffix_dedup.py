@@ -5,45 +5,47 @@ anywhere else in the corpus, in the same document or another.
 
 1. Equal texts become one text with a count; all of a text of at least
    ``length`` bytes that occurs twice goes, and one copy stays in the search.
-2. Each string of ``length`` bytes (a window) belongs to the leftmost smallest
-   hash of its ``gram``-byte substrings: equal windows belong to equal anchors
-   at equal offsets.  Anchors whose hash occurs once in the corpus own no
-   repeated window, so only texts around the others (contexts) go on: this
-   loses nothing.
+2. Each string of ``length`` bytes (a window) belongs to the smallest hash of its
+   ``gram``-byte substrings (its anchor): equal windows belong to equal anchors.
+   Windows side by side with one anchor are a context; an anchor with one context
+   that holds it once owns no repeated window, so only the contexts of the others
+   go on: this loses nothing.
 3. Contexts are dealt by anchor hash, equal ones once with a count, and the
    suffixes of the contexts of a group of anchors are sorted with a difference
    cover modulo 3: suffixes at places 1 and 2 modulo 3 are sorted by triples,
    the triples' names are sorted recursively until they stand for ``length``
    bytes, and the suffixes at places 0 are merged in.  Neighbours in this order
    are compared on their first ``length`` bytes: equal neighbours are repeats.
-   The suffixes of an anchor with more than ``crowd`` distinct contexts are not
-   sorted in one task: its windows are grouped by hash in Spark, exactly.
-4. A context's repeated windows cover one run of bytes (its windows start
-   within ``length - gram`` bytes of each other); runs are merged by text.
+   The suffixes of an anchor with more than ``crowd`` bytes of distinct contexts
+   are not sorted in one task: its windows are grouped by hash in Spark, exactly.
+4. Runs of bytes under a context's repeated windows are merged by text.
 
 Defined cases: null text is empty; texts under ``length`` bytes lose nothing;
-a repeated row is another place where its strings start; an empty table gives
-an empty result.  128-bit hashes stand for texts and contexts, and for windows
-in crowds.
+a repeated row is another place where its strings start; very long texts are
+taken whole, those of one repeated letter included; an empty table gives an
+empty result; other columns are carried along, and a new column whose name is
+taken gets ``_`` in front.  128-bit hashes stand for texts and contexts, and for
+windows in crowds.
 """
 
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, blocks, free_names, mix, shared_dir, sliding, written
+from .common import U64, blocks, bucketed, free_names, mix, sliding, tidy, written
 
-LENGTH, GRAM, CROWD, CHUNK = 200, 64, 50_000, 1_500_000
+LENGTH, GRAM, CROWD, CHUNK = 200, 64, 8_000_000, 1_500_000
+#: Windows of a context at most, where the same smallest substring stands in it more than once.
+STRETCH = 2048
 
 
-def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(hash, first window, last window) of the anchors of one text of at least ``length`` bytes."""
+def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, first window, last window, whether it stands there more than once) of the anchors of one text of at least ``length`` bytes."""
     h = (data.astype(U64) + U64(1)) * U64(0xD6E8FEB86659FD93)
     h ^= h >> U64(32)
     h *= U64(0xD6E8FEB86659FD93)
@@ -65,25 +67,27 @@ def anchors(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.nd
     # the leftmost place of the minimum moves only forward: a new one begins where the value changes, or where the place has left the window
     first = np.concatenate([[0], np.flatnonzero(low[1:] != low[:-1]) + 1])
     last = np.concatenate([first[1:] - 1, [len(low) - 1]])
-    starts, ends = [], []
+    starts, ends, many = [], [], []
     edge = np.zeros(n - 1, U64)
     least = sliding(np.maximum, np.concatenate([edge, low, edge]), n)
     if np.count_nonzero(g == least) == len(first):  # each run has one place
-        return low[first], first, last
+        return low[first], first, last, np.zeros(len(first), bool)
     for a, b in zip(first.tolist(), last.tolist(), strict=True):
-        places = np.flatnonzero(g[a : b + n] == low[a]) + a
-        at = a
-        while at <= b:
-            place = int(places[np.searchsorted(places, at)])
-            starts.append(at)
-            at = min(place, b) + 1
-            ends.append(at - 1)
-    starts_, ends_ = np.array(starts, np.int64), np.array(ends, np.int64)
-    return low[starts_], starts_, ends_
+        if b - a < n and np.count_nonzero(g[a : b + n] == low[a]) == 1:
+            starts.append(a)
+            ends.append(b)
+            many.append(False)
+            continue
+        # the substring repeats nearby: its windows stay together, so that a text of one letter has no context a place
+        starts += range(a, b + 1, STRETCH)
+        ends += [min(x + STRETCH - 1, b) for x in range(a, b + 1, STRETCH)]
+        many += [True] * (len(starts) - len(many))
+    starts_ = np.array(starts, np.int64)
+    return low[starts_], starts_, np.array(ends, np.int64), np.array(many, bool)
 
 
 def _anchors(length: int, gram: int):
-    schema = pa.schema([("fp", pa.int64()), ("t1", pa.int64()), ("t2", pa.int64()), ("run", pa.int64())])
+    schema = pa.schema([("fp", pa.int64()), ("t1", pa.int64()), ("t2", pa.int64()), ("run", pa.int64()), ("times", pa.int64())])
 
     def run(batches):
         for batch in batches:
@@ -91,8 +95,8 @@ def _anchors(length: int, gram: int):
                 t1, t2 = (rows.column(c).to_numpy() for c in ("t1", "t2"))
                 out = []
                 for i in range(rows.num_rows):
-                    h, lo, hi = anchors(data[offs[i] : offs[i + 1]], length, gram)
-                    out.append((h.view(np.int64), np.full(len(h), t1[i]), np.full(len(h), t2[i]), lo << 31 | hi))
+                    h, lo, hi, many = anchors(data[offs[i] : offs[i + 1]], length, gram)
+                    out.append((h.view(np.int64), np.full(len(h), t1[i]), np.full(len(h), t2[i]), lo << 31 | hi, 1 + many.astype(np.int64)))
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out, strict=True)], schema=schema)
 
@@ -180,8 +184,8 @@ def suffix_order(x: np.ndarray, letters: int, length: int) -> np.ndarray:
     return out
 
 
-def repeated(contexts: list[bytes], length: int) -> list[tuple[int, int] | None]:
-    """For each context, first and last of its windows that another place in ``contexts`` holds too."""
+def repeated(contexts: list[bytes], length: int) -> list[list[tuple[int, int]]]:
+    """For each context, the runs of its bytes under windows that another place in ``contexts`` holds too."""
     size = np.fromiter(map(len, contexts), np.int64, len(contexts))
     text = np.frombuffer(b"".join(contexts), np.uint8)
     first = np.cumsum(size) - size
@@ -199,8 +203,15 @@ def repeated(contexts: list[bytes], length: int) -> list[tuple[int, int] | None]
     twice[order[same]] = True
     twice[order[same + 1]] = True
     hits = np.flatnonzero(twice)
-    lo, hi = np.searchsorted(hits, first), np.searchsorted(hits, first + size)
-    return [(int(hits[a] - f), int(hits[b - 1] - f)) if b > a else None for a, b, f in zip(lo.tolist(), hi.tolist(), first.tolist(), strict=True)]
+    owner = np.searchsorted(first, hits, "right") - 1
+    # a run ends where the next window begins past the end of this one, or in another context
+    ends = np.flatnonzero(np.concatenate([(hits[1:] - hits[:-1] > length) | (owner[1:] != owner[:-1]), [True]])) if len(hits) else hits
+    out: list[list[tuple[int, int]]] = [[] for _ in contexts]
+    begin = 0
+    for e, c in zip(ends.tolist(), owner[ends].tolist(), strict=True):
+        out[c].append((int(hits[begin] - first[c]), int(hits[e] - first[c]) + length))
+        begin = e + 1
+    return out
 
 
 def _sorted(length: int, chunk: int):
@@ -215,8 +226,8 @@ def _sorted(length: int, chunk: int):
         for (_, c, ctx, n), hit in zip(rows, found, strict=True):
             if n > 1:
                 out.append((c, 0, len(ctx)))
-            elif hit:
-                out.append((c, hit[0], hit[1] + length))
+            else:
+                out += [(c, a, b) for a, b in hit]
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
@@ -292,17 +303,15 @@ def find_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH,
     marked = docs.withColumns({k1: half(1), k2: half(16)})
     texts = marked.filter(F.octet_length(text_col) >= length).select(F.col(k1).alias("t1"), F.col(k2).alias("t2"), body.alias("text"))
     texts = texts.groupBy("t1", "t2").agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    table = f"suffix_dedup_{uuid.uuid4().hex}"
-    texts.repartition(n, "t1", "t2").write.bucketBy(n, "t1", "t2").format("parquet").option("path", f"{shared_dir(spark)}/{table}").saveAsTable(table)
-    texts = spark.table(table)
-    found = texts.select("t1", "t2", "text").mapInArrow(_anchors(length, gram), "fp long, t1 long, t2 long, run long")
+    texts = spark.table(bucketed(texts.repartition(n, "t1", "t2"), "suffix_dedup", n, "t1", "t2"))
+    found = texts.select("t1", "t2", "text").mapInArrow(tidy(_anchors(length, gram)), "fp long, t1 long, t2 long, run long, times long")
     found = written(found, "anchors")
-    shared = written(found.groupBy("fp").agg(F.count("*").alias("n")).filter("n > 1").select("fp"), "shared")  # a table: Spark can then split a hot anchor's side of the join
+    shared = written(found.groupBy("fp").agg(F.sum("times").alias("n")).filter("n > 1").select("fp"), "shared")  # a table: Spark can then split a hot anchor's side of the join
     mine = found.join(shared, "fp").groupBy("t1", "t2").agg(F.collect_list(F.struct("fp", "run")).alias("at"))
     near = texts.select("t1", "t2", "text").join(mine, ["t1", "t2"]).mapInArrow(_contexts(length), "fp long, ctx binary, c binary, t1 long, t2 long, lo long")
     near = written(near, "contexts")
     once = near.groupBy("fp", "c").agg(F.first("ctx").alias("ctx"), F.count("*").alias("n"))
-    crowded = near.select("fp", "c").distinct().groupBy("fp").agg(F.count("*").alias("m")).filter(F.col("m") > crowd)
+    crowded = near.select("fp", "c", F.octet_length("ctx").alias("k")).distinct().groupBy("fp").agg(F.sum("k").alias("m")).filter(F.col("m") > crowd)
     if crowded.isEmpty():
         few, runs = once, None
     else:
@@ -310,8 +319,9 @@ def find_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH,
         few = once.join(crowded, "fp", "left_anti")
         win = written(once.join(crowded, "fp").select("fp", "c", "ctx", "n").mapInArrow(_windows(length), "w binary, c binary, at long, n long"), "windows")
         twice = win.groupBy("w").agg(F.sum("n").alias("s")).filter("s > 1").select("w")
-        runs = win.join(twice, "w").groupBy("c").agg(F.min("at").alias("a"), (F.max("at") + length).alias("b"))
-    sorted_ = few.select("fp", "c", "ctx", "n").repartition(n, "fp").sortWithinPartitions("fp", "c").mapInArrow(_sorted(length, chunk), "c binary, a long, b long")
+        # windows that begin within ``length`` bytes of each other cover one run
+        runs = win.join(twice, "w").groupBy("c", F.floor(F.col("at") / length)).agg(F.min("at").alias("a"), (F.max("at") + length).alias("b")).select("c", "a", "b")
+    sorted_ = few.select("fp", "c", "ctx", "n").repartition(n, "fp").sortWithinPartitions("fp", "c").mapInArrow(tidy(_sorted(length, chunk)), "c binary, a long, b long")
     runs = written(sorted_ if runs is None else sorted_.union(runs), "runs")
     lost = near.select("c", "t1", "t2", "lo").join(runs, "c").groupBy("t1", "t2").agg(F.collect_list(F.struct((F.col("lo") + F.col("a")).alias("a"), (F.col("lo") + F.col("b")).alias("b"))).alias("runs"))
     changed = texts.join(lost, ["t1", "t2"], "left").filter((F.col("copies") > 1) | F.col("runs").isNotNull()).mapInArrow(_cut(), "t1 long, t2 long, spans array<struct<a:long,b:long>>, kept binary")

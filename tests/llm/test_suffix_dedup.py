@@ -31,7 +31,7 @@ def test_anchors_cover_all_windows_alike():
     r = random.Random(5)
     for text in [bytes(r.choices(b"abcd", k=900)), b"a" * 700, b"ab" * 400, b"xyz" * 100 + bytes(r.choices(b"abcd", k=300))]:
         data = np.frombuffer(text, np.uint8)
-        h, lo, hi = anchors(data, 50, 16)
+        h, lo, hi, _ = anchors(data, 50, 16)
         assert lo[0] == 0 and hi[-1] == len(text) - 50 and (lo[1:] == hi[:-1] + 1).all()
         owner = {}
         for a, b, x in zip(lo.tolist(), hi.tolist(), h.tolist(), strict=True):
@@ -80,12 +80,23 @@ def run(spark, texts, **args):
     return [([(x["a"], x["b"]) for x in r["removed"]], bytes(r["kept"])) for r in rows]
 
 
-@pytest.mark.parametrize("args", [{}, {"chunk": 1}, {"crowd": 2}, {"crowd": 0}])
+@pytest.mark.parametrize("args", [{}, {"chunk": 1}, {"crowd": 400}, {"crowd": 0}])
 def test_against_brute_force(spark, args):
     texts = corpus()
     assert run(spark, texts, length=50, gram=16, **args) == brute(texts, 50)
 
 
+def test_texts_of_a_repeated_letter_have_few_contexts(spark):
+    for text in (b"a" * 100_000, b"ab" * 50_000, bytes(range(97, 107)) * 10_000):
+        _, lo, hi, many = anchors(np.frombuffer(text, np.uint8), 200, 64)
+        assert len(lo) <= 100 and many.all() and (hi - lo < 2048).all()
+    r = random.Random(6)
+    text = lambda n: "".join(r.choices("abcdefgh ", k=n))
+    texts = ["a" * 5000, text(400) + "ab" * 2500 + text(300), "xyz" * 900 + text(3000) + "xyz" * 900, text(100) + "a" * 199 + "b", "q" * 70 + text(40) + "q" * 70 + text(900)]
+    assert run(spark, texts) == brute(texts, 200)
+    assert run(spark, texts, crowd=0) == brute(texts, 200)
+
+
 def test_production_length(spark):
     r = random.Random(3)
     text = lambda n: "".join(r.choices("abcdefgh ", k=n))
@@ -104,4 +115,4 @@ def test_empty_and_clashing_names(spark):
 
 
 def test_whole_contexts_of_one_group():
-    assert repeated([b"abcdefgh", b"xbcdefgy", b"zzzzzzzz"], 5) == [(1, 2), (1, 2), (0, 3)]
+    assert repeated([b"abcdefgh", b"xbcdefgy", b"zzzzzzzz"], 5) == [[(1, 7)], [(1, 7)], [(0, 8)]]
