@@ -39,6 +39,7 @@ for words.
 from __future__ import annotations
 
 from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -57,6 +58,8 @@ BANDS, EACH = 16, 16
 CLASSES = BANDS * EACH
 #: Windows of a trainer and of one of its steps; tasks that add parameters up.
 SHARE, BATCH, SUMMERS = 100_000, 256, 8
+#: Windows whose arrays are worked on at a time.
+FEW = 64
 #: Parts of the one pass over all windows; parameters are averaged after each.
 PARTS = 2
 EDGE = U64(0)  # hash of the end, counted as a word
@@ -152,17 +155,32 @@ class Learner:
         self.p, self.d = views(self.x), views(self.g)
         self.back = np.arange(STRIDE, 2 * STRIDE)[:, None] - np.arange(2 * STRIDE)[None, :]
 
-    def _head(self, h: np.ndarray, out: str, y: np.ndarray) -> np.ndarray:
-        """Gradient of ``h`` (with its column of ones) of the mean loss of predicting ``y``; that of the weights is stored."""
+    def _head(self, h: np.ndarray, out: str, y: np.ndarray, weight: np.float32) -> np.ndarray:
+        """Gradient of ``h`` (with its column of ones) of the weighted loss of predicting ``y``; that of the weights is added up."""
         o = h @ self.p[out]
         exp_rows(o)
-        o *= (F32(1 / len(y)) / (o @ np.ones(o.shape[1], F32)))[:, None]
-        o.ravel()[np.arange(0, o.size, o.shape[1]) + y] -= F32(1 / len(y))
-        self.d[out][:] = h.T @ o
+        o *= (weight / (o @ np.ones(o.shape[1], F32)))[:, None]
+        o.ravel()[np.arange(0, o.size, o.shape[1]) + y] -= weight
+        self.d[out] += h.T @ o
         return o @ self.p[out][:-1].T
 
     def learn(self, w: np.ndarray) -> None:
-        """A step on (n, 2 * stride + 1) ids (-1: none): the second half is predicted, from all before it in the window."""
+        """A step on (n, 2 * stride + 1) ids (-1: none): the second half is predicted, from all before it in the window.
+
+        The gradient is added up over a few windows at a time, whose arrays stay in a core's cache.
+        """
+        live = np.count_nonzero(w[:, STRIDE + 1 :] >= 0)
+        if not live:
+            return
+        self.g[:] = 0
+        for a in range(0, len(w), FEW):
+            self._add(w[a : a + FEW], F32(1 / live))
+        self.step += 1
+        self.m += F32(0.1) * (self.g - self.m)
+        self.s += F32(0.01) * (self.g**2 - self.s)
+        self.x -= F32(self.rate / (1 - 0.9**self.step)) * self.m / (np.sqrt(self.s / F32(1 - 0.99**self.step)) + F32(1e-8))
+
+    def _add(self, w: np.ndarray, weight: np.float32) -> None:
         p, g = self.p, self.d
         y = w[:, STRIDE + 1 :].ravel()
         live = np.flatnonzero(y >= 0)
@@ -173,7 +191,7 @@ class Learner:
         e = np.take(p["slot"], slot, axis=0)
         qkv = e @ p["qkv"]
         q, k, v = qkv[:, STRIDE:, :DIM], qkv[:, :, DIM : 2 * DIM], qkv[:, :, 2 * DIM :]
-        a = q @ (k * F32(DIM**-0.5)).transpose(0, 2, 1)
+        a = (q * F32(DIM**-0.5)) @ k.transpose(0, 2, 1)
         a += gap_bias(p["near"])
         if not seen.all():
             a += np.where(seen, F32(0), F32(-1e9))[:, None, :]
@@ -186,18 +204,18 @@ class Learner:
         t = np.maximum(z, 0)
         h2 = h + t @ p["w2"]
         band = self.band_of[y]
-        d2 = self._head(with_one(h2), "out", band)
+        d2 = self._head(with_one(h2), "out", band, weight)
         z3 = h2 @ p["w3"] + np.take(p["band"], band, axis=0)
         t3 = np.maximum(z3, 0)
-        d3 = self._head(with_one(t3), "each", self.each_of[y])
+        d3 = self._head(with_one(t3), "each", self.each_of[y], weight)
         d3 *= z3 > 0
-        g["w3"][:] = h2.T @ d3
-        g["band"][:] = (band == np.arange(BANDS)[:, None]).astype(F32) @ d3
+        g["w3"] += h2.T @ d3
+        g["band"] += (band == np.arange(BANDS)[:, None]).astype(F32) @ d3
         d2 += d3 @ p["w3"].T
-        g["w2"][:] = t.T @ d2
+        g["w2"] += t.T @ d2
         dz = d2 @ p["w2"].T
         dz *= z > 0
-        g["w1"][:] = h.T @ dz
+        g["w1"] += h.T @ dz
         d2 += dz @ p["w1"].T
         dh = np.zeros((len(w) * STRIDE, DIM), F32)
         dh[live] = d2
@@ -206,23 +224,18 @@ class Learner:
         da = dh @ v.transpose(0, 2, 1)
         dqkv[:, :, 2 * DIM :] = a.transpose(0, 2, 1) @ dh
         flat_da = da.reshape(-1, 2 * STRIDE)
-        flat_da -= (np.einsum("ij,ij->i", flat_da, flat_a))[:, None]
+        flat_da -= np.einsum("ij,ij->i", flat_da, flat_a)[:, None]
         da *= a
         past = self.back >= 0
-        g["near"][:] = np.bincount(self.back[past], da.sum(0)[past], 2 * STRIDE)
+        g["near"] += np.bincount(self.back[past], da.sum(0)[past], 2 * STRIDE)
         da *= F32(DIM**-0.5)
         dqkv[:, STRIDE:, :DIM] = da @ k
         dqkv[:, :, DIM : 2 * DIM] = da.transpose(0, 2, 1) @ q
-        g["qkv"][:] = e.reshape(-1, DIM).T @ dqkv.reshape(-1, 3 * DIM)
+        g["qkv"] += e.reshape(-1, DIM).T @ dqkv.reshape(-1, 3 * DIM)
         de = dqkv @ p["qkv"].T
         de[:, STRIDE:] += dh
-        slot, de = slot.ravel(), np.ascontiguousarray(de.reshape(-1, DIM).T, np.float64)
-        for i in range(DIM):
-            g["slot"][:, i] = np.bincount(slot, de[i], SLOTS)
-        self.step += 1
-        self.m += F32(0.1) * (self.g - self.m)
-        self.s += F32(0.01) * (self.g**2 - self.s)
-        self.x -= F32(self.rate / (1 - 0.9**self.step)) * self.m / (np.sqrt(self.s / F32(1 - 0.99**self.step)) + F32(1e-8))
+        place = (slot.ravel()[:, None] * DIM + np.arange(DIM)).ravel()
+        g["slot"] += np.bincount(place, de.ravel(), SLOTS * DIM).reshape(SLOTS, DIM)
 
 
 def train(windows: np.ndarray, counts: np.ndarray, p: dict[str, np.ndarray], batch: int = 64, rate: float = 0.01, passes: int = 20) -> dict[str, np.ndarray]:
@@ -252,15 +265,15 @@ def windows_of(ids: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 
 class Scorer:
-    """Scores documents of ids; keys, values and queries are tables by id."""
+    """Scores documents of ids; keys, values and queries are small tables by slot, which stay in a core's cache."""
 
     def __init__(self, p: dict[str, np.ndarray], counts: np.ndarray):
         self.p, (of, self.within) = p, classes_of(counts)
-        self.band_of, self.each_of = of // EACH, of % EACH
-        e = p["slot"][shared(counts, SLOTS)]
+        self.band_of, self.each_of = (of // EACH).astype(np.int32), (of % EACH).astype(np.int32)
+        self.slot_of, e = shared(counts, SLOTS).astype(np.int32), p["slot"]
         q, k, v = np.split(e @ p["qkv"], 3, axis=1)
         self.e, self.q, self.k = e, q * F32(DIM**-0.5), np.ascontiguousarray(k)
-        self.v = np.concatenate([v, np.ones((len(of), 1), F32)], axis=1)  # the last column sums the weights
+        self.v = np.concatenate([v, np.ones((SLOTS, 1), F32)], axis=1)  # the last column sums the weights
         self.bias = np.ascontiguousarray(gap_bias(p["near"]).T)
         #: Above this no weight of attention can lie; above MOST the largest of each is taken off first.
         self.sharp = float(np.abs(self.q).max() * np.abs(self.k).max() * DIM + np.abs(p["near"]).max())
@@ -272,7 +285,7 @@ class Scorer:
         top = exp_rows(o)
         return hit - top - np.log((o @ np.ones(o.shape[1], F32)).astype(np.float64))
 
-    def log10(self, ids: np.ndarray, offs: np.ndarray, batch: int = 128) -> np.ndarray:
+    def log10(self, ids: np.ndarray, offs: np.ndarray, batch: int = 64) -> np.ndarray:
         """log10 probability of each document's ids (offs: offsets); the first is predicted from BEGIN alone."""
         size = np.diff(offs)
         rows = -(-size // STRIDE)
@@ -285,7 +298,7 @@ class Scorer:
         begin = np.empty(len(ids), np.int32)
         begin[1:] = ids[:-1]
         begin[offs[:-1][size > 0]] = BEGIN
-        x.ravel()[cell] = begin
+        x.ravel()[cell] = np.take(self.slot_of, begin)
         opening = np.zeros(n + 1, bool)
         opening[first_row[rows > 0] + 1] = True
         total = np.zeros(n)
@@ -349,13 +362,13 @@ def spread(values: np.ndarray, offs: np.ndarray, which: np.ndarray) -> tuple[np.
     return values[np.repeat(first - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))], k
 
 
-def _pack(model: str, chunk: int):
-    """(id, text, train) -> rows of PACKED: 'chunk' (documents), 'word' (hash, count in training, number in the chunk), 'id' (likewise)."""
+def _pack(model, chunk: int):
+    """model: broadcast bytes of the vocabulary.  (id, text, train) -> rows of PACKED: 'chunk' (documents), 'word' (hash, count in training, number in the chunk), 'id' (likewise)."""
 
     def run(batches):
         import sentencepiece
 
-        sp = sentencepiece.SentencePieceProcessor(model_file=model)
+        sp = sentencepiece.SentencePieceProcessor(model_proto=model.value)
         table, part, made = spaces_table(), TaskContext.get().partitionId(), 0
         seqs, sizes, ids, nulls, trains, number, words = [], [], [], [], [], {}, []
         held = 0
@@ -533,7 +546,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """A row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), (~held_out(id_col, folds)).alias("train"))
-    packed = written(source.mapInArrow(tidy(_pack(model, chunk)), "kind string, chunk long, h long, n long, at int, body binary"), "packed")
+    packed = written(source.mapInArrow(tidy(_pack(spark.sparkContext.broadcast(Path(model).read_bytes()), chunk)), "kind string, chunk long, h long, n long, at int, body binary"), "packed")
     words = packed.filter("kind = 'word'")
     total = written(words.filter("n > 0").groupBy("h").agg(F.sum("n").alias("c")), "counts")
     n, v = total.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()

@@ -14,7 +14,10 @@ document in the same narrow pass over the documents (their rows never shuffle).
 
 Defined cases: null or wordless texts have no words and no hits; wordless items
 are no window; equal item ids are one item and a null item id is written as
-``null``; an empty benchmark hits nothing.
+``null``; an empty benchmark hits nothing; of equal fingerprints in a window all
+are kept; very long texts are taken whole; repeated rows are told each; an empty
+table gives no row; other columns are carried along, and a new column whose name
+is taken gets ``_`` in front.
 """
 
 from __future__ import annotations

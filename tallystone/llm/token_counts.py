@@ -13,7 +13,9 @@ the fewer tokens.  The piece table gives merge ranks, not probabilities; a
 piece of rank r has the score -ln(r + 2) (see ``pieces``).
 
 Defined cases: null, empty and blank texts have no word and no token; there is
-no limit on the length of a word.
+no limit on the length of a word or text; repeated rows are counted each; an
+empty table gives no row; other columns are carried along, and a new column whose
+name is taken gets ``_`` in front.  64-bit hashes stand for words within a block.
 """
 
 from __future__ import annotations

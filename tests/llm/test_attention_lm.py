@@ -2,6 +2,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -191,7 +192,7 @@ def test_training_takes_every_window_of_every_training_document(spark):
     sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
     rows = [(i, t, i != 70) for i, t in ROWS if i is not None] + [(71, "few long texts " * 20_000, True)]
     want = sum(-(-(sum(map(len, sp.encode(tokens(t)))) + 1) // STRIDE) for _, t, train in rows if train)
-    packed = spark.createDataFrame(rows, "id long, text string, train boolean").coalesce(2).mapInArrow(_pack(MODEL, CHUNK), "kind string, chunk long, h long, n long, at int, body binary")
+    packed = spark.createDataFrame(rows, "id long, text string, train boolean").coalesce(2).mapInArrow(_pack(spark.sparkContext.broadcast(Path(MODEL).read_bytes()), CHUNK), "kind string, chunk long, h long, n long, at int, body binary")
     model = spark.sparkContext.broadcast((np.ones(VOCAB, np.int64), flat(start())))
     for share in (50, 10**9):
         got = packed.filter("kind = 'chunk'").select("body").mapInArrow(_trainer(model, share, 64), "task int, n long, p binary").collect()
@@ -201,7 +202,7 @@ def test_training_takes_every_window_of_every_training_document(spark):
 def learned(spark, monkeypatch, n_docs, share):
     """Windows learned from in all, and steps of each learner that had any."""
     rows = [(i, f"words of text {i} " * 40, True) for i in range(n_docs)]
-    packed = spark.createDataFrame(rows, "id long, text string, train boolean").coalesce(1).mapInArrow(_pack(MODEL, CHUNK), "kind string, chunk long, h long, n long, at int, body binary")
+    packed = spark.createDataFrame(rows, "id long, text string, train boolean").coalesce(1).mapInArrow(_pack(spark.sparkContext.broadcast(Path(MODEL).read_bytes()), CHUNK), "kind string, chunk long, h long, n long, at int, body binary")
     body = [r["body"] for r in packed.filter("kind = 'chunk'").collect()]
     monkeypatch.setattr(attention_lm, "TaskContext", type("T", (), {"get": staticmethod(lambda: type("C", (), {"partitionId": lambda _: 0})())}))
     made = []
