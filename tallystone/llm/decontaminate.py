@@ -8,9 +8,11 @@ hold the 7-gram are compared word by word with the benchmark's windows, so the
 result is exact.  Items of fewer than 13 words are one window and are matched
 by the hash of all their words, then compared the same way.
 
-The benchmark side is broadcast in parts of at most ``part_bytes`` bytes of
-item text; a larger benchmark means more parts, each matched against every
-document in the same narrow pass over the documents (their rows never shuffle).
+A benchmark of at most ``part_bytes`` bytes of item text is broadcast, and each
+document is matched in one narrow pass (its row never shuffles).  A larger one
+stays a table: of its fingerprints, only which of 2^24 places they fall on is
+broadcast, documents keep the windows whose fingerprint falls on such a place,
+and those are joined with the benchmark's windows by their words.
 
 Defined cases: null or wordless texts have no words and no hits; wordless items
 are no window; equal item ids are one item and a null item id is written as
@@ -26,12 +28,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
-from .common import U64, Words, blocks, free_names, grams, letters_table, sliding
+from .common import U64, Words, blocks, free_names, grams, letters_table, sliding, written
 
 WINDOW, GRAM = 13, 7
 SPAN = WINDOW - GRAM + 1
 LAST = U64(0xFFFFFFFFFFFFFFFF)
+#: Bits of a fingerprint that do not tell its place.
+PLACE_SHIFT = 40
 
 
 def kept_grams(h: np.ndarray, per_row: np.ndarray) -> np.ndarray:
@@ -98,47 +104,111 @@ class Benchmark:
         return found
 
 
-def _match(part, text: str, spans: str, items: str, n_words: str, schema: pa.Schema, add: bool):
+def _match(part, text: str, schema: pa.Schema):
+    """Adds n_words, places of hit words, and item ids."""
+
     def run(batches):
         table, mine = letters_table(), Benchmark(part.value)
         for batch in batches:
             for rows, data, offs in blocks(batch, text):
                 w = Words(data, offs, table)
                 found = mine.hits(w, w.hashes())
-                n = rows.num_rows
-                cols = {f.name: rows.column(i) for i, f in enumerate(rows.schema)}
-                if add:
-                    hit, ids = cols[spans].to_pylist(), cols[items].to_pylist()
-                else:
-                    hit, ids = [[] for _ in range(n)], [[] for _ in range(n)]
+                hit, ids = [[] for _ in range(rows.num_rows)], [[] for _ in range(rows.num_rows)]
                 for r, (places, names) in found.items():
-                    hit[r] = sorted({*hit[r], *(p - int(w.per_row[r]) for p in places)})
-                    ids[r] = sorted({*ids[r], *names})
-                cols |= {n_words: pa.array(np.diff(w.per_row)), spans: pa.array(hit, pa.list_(pa.int32())), items: pa.array(ids, pa.list_(pa.string()))}
-                yield pa.RecordBatch.from_arrays([cols[f.name].cast(f.type) for f in schema], schema=schema)
+                    hit[r] = sorted(p - int(w.per_row[r]) for p in places)
+                    ids[r] = sorted(names)
+                new = [np.diff(w.per_row), hit, ids]
+                yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(rows.columns, schema, strict=False)), *(pa.array(x, f.type) for x, f in zip(new, list(schema)[-3:], strict=True))], schema=schema)
+
+    return run
+
+
+def _fingerprints(h: np.ndarray, size: int) -> np.ndarray:
+    """The fingerprint of the window of ``size`` words at each place: its smallest 7-gram, or the hash of a short item."""
+    return sliding(np.minimum, grams(h, GRAM), SPAN) if size == WINDOW else grams(h, size)
+
+
+def _item_windows():
+    """(id, t) -> the windows of items: fingerprint, number of words, words with NUL between, id."""
+    schema = pa.schema([("fp", pa.int64()), ("size", pa.int32()), ("words", pa.binary()), ("item", pa.string())])
+
+    def run(batches):
+        table = letters_table()
+        for batch in batches:
+            for rows, data, offs in blocks(batch, "t"):
+                w, out = Words(data, offs, table), []
+                h = w.hashes()
+                for id_, a, b in zip(rows.column(0).to_pylist(), w.per_row[:-1].tolist(), w.per_row[1:].tolist(), strict=True):
+                    size = min(b - a, WINDOW)
+                    if size:
+                        words = [w.word(i) for i in range(a, b)]
+                        out += [(int(fp), size, b"\0".join(words[i : i + size]), id_) for i, fp in enumerate(_fingerprints(h[a:b], size).view(np.int64).tolist())]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
     return run
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", share: int = 20, part_bytes: int = 2_000_000) -> DataFrame:
+def _candidates(filter_, text: str, schema: pa.Schema):
+    """Adds n_words and the windows (at, words) whose fingerprint falls on a place of the benchmark's."""
+
+    def run(batches):
+        table, (places, sizes) = letters_table(), filter_.value
+        for batch in batches:
+            for rows, data, offs in blocks(batch, text):
+                w = Words(data, offs, table)
+                h, found = w.hashes(), [[] for _ in range(rows.num_rows)]
+                for size in sizes:
+                    at = np.flatnonzero(places[_fingerprints(h, size) >> U64(PLACE_SHIFT)])
+                    row = np.searchsorted(w.per_row, at, "right") - 1
+                    fits = at + size <= w.per_row[row + 1]
+                    for s, r in zip(at[fits].tolist(), row[fits].tolist(), strict=True):
+                        found[r].append({"at": s - int(w.per_row[r]), "words": b"\0".join(w.word(i) for i in range(s, s + size))})
+                new = [np.diff(w.per_row), found]
+                yield pa.RecordBatch.from_arrays([*(c.cast(f.type) for c, f in zip(rows.columns, schema, strict=False)), *(pa.array(x, f.type) for x, f in zip(new, list(schema)[-2:], strict=True))], schema=schema)
+
+    return run
+
+
+def _joined(docs: DataFrame, bench: DataFrame, text_col: str, names: tuple[str, str, str]) -> DataFrame:
+    """``docs`` with the columns ``names``: number of words, places of hit words, and item ids, by joins."""
+    spark, (n_words, hit, items) = docs.sparkSession, names
+    windows = written(bench.mapInArrow(_item_windows(), "fp long, size int, words binary, item string"), "windows")
+    places = np.zeros(1 << (64 - PLACE_SHIFT), bool)
+    places[windows.select(F.shiftrightunsigned("fp", PLACE_SHIFT).cast("int").alias("p")).distinct().toPandas()["p"].to_numpy(np.int64)] = True  # 2^24 at most
+    sizes = sorted(r[0] for r in windows.select("size").distinct().collect())  # 13 at most
+    k1, k2, found = free_names(docs.select("*", *(F.lit(0).alias(n) for n in names)), "dc_k1", "dc_k2", "dc_found")
+    digest = F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    half = lambda at: F.conv(F.substring(digest, at, 15), 16, 10).cast("long")
+    marked = docs.withColumns({k1: half(1), k2: half(16)})
+    schema = T.StructType([*marked.schema.fields, T.StructField(n_words, T.LongType()), T.StructField(found, T.ArrayType(T.StructType([T.StructField("at", T.IntegerType()), T.StructField("words", T.BinaryType())])))])
+    marked = written(marked.mapInArrow(_candidates(spark.sparkContext.broadcast((places, sizes)), text_col, to_arrow_schema(schema)), schema), "candidates")
+    # by text: copies have the same hits
+    asked = marked.filter(F.size(found) > 0).select(F.col(k1).alias("t1"), F.col(k2).alias("t2"), F.explode(found).alias("c")).select("t1", "t2", "c.at", "c.words").distinct()
+    met = asked.join(windows.select("words", "size", "item").distinct(), "words")
+    spans = F.transform("spans", lambda x: F.sequence(x["at"], x["at"] + x["size"] - 1))
+    hits = met.groupBy("t1", "t2").agg(F.collect_set(F.struct("at", "size")).alias("spans"), F.sort_array(F.collect_set("item")).alias("ids"))
+    hits = hits.select("t1", "t2", F.sort_array(F.array_distinct(F.flatten(spans))).alias("hits"), "ids")
+    out = marked.join(hits, (marked[k1] == hits["t1"]) & (marked[k2] == hits["t2"]), "left")
+    none = lambda c, kind: F.coalesce(F.col(c), F.array().cast(f"array<{kind}>"))
+    return out.select(*(marked[c] for c in docs.columns), marked[n_words], none("hits", "int").alias(hit), none("ids", "string").alias(items))
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", share: int = 20, part_bytes: int = 8_000_000) -> DataFrame:
     """``docs`` with n_words, hit_words (places of hit words), items (ids as strings, sorted) and contaminated.
 
     contaminated: some word is hit, and hit words are at least one in ``share``.
     """
-    from pyspark.sql import types as T
-    from pyspark.sql.pandas.types import to_arrow_schema
-
     spark = docs.sparkSession
     n_words, hit, items, bad = free_names(docs, "n_words", "hit_words", "items", "contaminated")
     bench = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("null")).alias("id"), F.col(item_text_col).alias("t")).filter("t is not null")
-    size = bench.agg(F.sum(F.octet_length("t"))).first()[0] or 0
-    parts = -(-size // part_bytes) or 1
-    bench = bench.withColumn("part", F.pmod(F.xxhash64("id", "t"), F.lit(parts)))
-    out = docs
-    schema = T.StructType([*docs.schema.fields, T.StructField(n_words, T.LongType()), T.StructField(hit, T.ArrayType(T.IntegerType())), T.StructField(items, T.ArrayType(T.StringType()))])
-    for p in range(parts):
-        rows = [(r["id"], r["t"]) for r in bench.filter(F.col("part") == p).select("id", "t").collect()]  # at most about part_bytes
-        out = out.mapInArrow(_match(spark.sparkContext.broadcast(rows), text_col, hit, items, n_words, to_arrow_schema(schema), p > 0), schema)
+    size = bench.agg(F.sum(F.octet_length("t") + F.octet_length("id"))).first()[0] or 0
+    if size <= part_bytes:
+        schema = T.StructType([*docs.schema.fields, T.StructField(n_words, T.LongType()), T.StructField(hit, T.ArrayType(T.IntegerType())), T.StructField(items, T.ArrayType(T.StringType()))])
+        part = spark.sparkContext.broadcast([(r["id"], r["t"]) for r in bench.collect()])  # part_bytes at most
+        out = docs.mapInArrow(_match(part, text_col, to_arrow_schema(schema)), schema)
+    else:
+        out = _joined(docs, bench, text_col, (n_words, hit, items))
     return out.withColumn(bad, (F.size(hit) > 0) & (F.size(hit) * share >= F.col(n_words)))
 
 

@@ -64,15 +64,21 @@ def test_against_brute_force(spark):
     assert sum(g[-1] for g in got) > 10
 
 
-def test_benchmark_in_parts(spark):
+def test_large_benchmark_by_joins(spark):
     docs, items = cases()
     assert srt(run(spark, docs, items, part_bytes=300)) == srt(brute(docs, items))
+    assert run(spark, [], items, part_bytes=0) == []
+    assert run(spark, [(1, "a b")], [], part_bytes=-1) == [(1, 2, [], [], False)]
+    d = spark.createDataFrame([(1, "a b", "k", None)], "doc_id long, text string, items string, dc_k1 int")
+    out = decontaminate(d, spark.createDataFrame([(1, "a b")], "item_id long, text string"), part_bytes=0).first()
+    assert out["items"] == "k" and out["dc_k1"] is None and out["_items"] == ["1"] and out["contaminated"]
 
 
 def test_long_and_repeated_words(spark):
     items = [(1, "a " * 30), (2, " ".join(f"q{i}" for i in range(40)))]
     docs = [(1, "a " * 50_000), (2, "b " * 20_000 + " ".join(f"q{i}" for i in range(10, 30)) + " b" * 20_000), (3, "q" * 500_000)]
     assert srt(run(spark, docs, items)) == srt(brute(docs, items))
+    assert srt(run(spark, docs, items, part_bytes=0)) == srt(brute(docs, items))
 
 
 def test_empty_sides_and_names(spark):
