@@ -10,7 +10,7 @@ anywhere else in the corpus, in the same document or another.
    Windows side by side with one anchor are a context; an anchor with one context
    that holds it once owns no repeated window, so only the contexts of the others
    go on: this loses nothing.
-3. Contexts are dealt by anchor hash, equal ones once with a count, and the
+3. Contexts are dealt by anchor hash, equal ones at most twice, and the
    suffixes of the contexts of a group of anchors are sorted with a difference
    cover modulo 3: suffixes at places 1 and 2 modulo 3 are sorted by triples,
    the triples' names are sorted recursively until they stand for ``length``
@@ -221,13 +221,9 @@ def _sorted(length: int, chunk: int):
     def work(rows):
         if not rows:
             return
-        found = repeated([r[2] for r in rows], length)
-        out = []
-        for (_, c, ctx, n), hit in zip(rows, found, strict=True):
-            if n > 1:
-                out.append((c, 0, len(ctx)))
-            else:
-                out += [(c, a, b) for a, b in hit]
+        # a context that occurs more than once is sorted twice: its own windows are then each other's neighbours
+        found = repeated([r[2] for r in rows] + [r[2] for r in rows if r[3] > 1], length)
+        out = [(c, a, b) for (_, c, _, _), hit in zip(rows, found, strict=False) for a, b in hit]
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
@@ -239,7 +235,7 @@ def _sorted(length: int, chunk: int):
                     yield from work(rows)
                     rows, size = [], 0
                 rows.append(row)
-                size += len(row[2])
+                size += len(row[2]) * (1 + (row[3] > 1))
         yield from work(rows)
 
     return run

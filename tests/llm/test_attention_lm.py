@@ -59,6 +59,13 @@ def test_empty_table_and_no_training(spark):
     assert r["held_out"] and r["train_tokens"] == 0 and r["n_known"] == 0 and r["base_score"] == pytest.approx(0)
 
 
+def test_other_columns_do_not_clash(spark):
+    df = spark.createDataFrame([(1, "a b", 7, "x", None)], "key long, h string, n_tokens int, score string, base_score double")
+    out = score_texts(df, "key", "h")
+    assert out.columns == ["key", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    assert out.first()["n_tokens"] == 3
+
+
 def softmax_log(o, y):
     return o[y] - o.max() - np.log(np.exp(o - o.max()).sum())
 
