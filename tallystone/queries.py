@@ -76,6 +76,8 @@ sql("filter_is_not_null", "customer orders", "SELECT c_custkey, o_orderkey FROM
 sql("filter_equals_null", "events", "SELECT event_id FROM events WHERE user_id = NULL")
 sql("filter_boolean", "orders", "SELECT o_orderkey FROM (SELECT o_orderkey, o_totalprice > 30000 AS big FROM orders) t WHERE NOT big")
 sql("filter_case", "orders", "SELECT o_orderkey, CASE WHEN o_totalprice > 100000 THEN 'high' WHEN o_totalprice > 10000 THEN 'mid' ELSE 'low' END AS band, coalesce(nullif(o_orderstatus, 'O'), 'open') AS status FROM orders")
+sql("filter_cast_in", "events", "SELECT event_id FROM events WHERE CAST(user_id AS VARCHAR) IN ('3', '5') AND CAST(event_id AS VARCHAR) LIKE '%7'")
+sql("filter_decimal_long", "events", "SELECT event_id FROM events WHERE CAST(value AS DECIMAL(22, 6)) >= 60 AND CAST(value AS DECIMAL(22, 6)) < 4000000000")
 sql("const_project", "events", "SELECT event_type, event_id, 4 AS four FROM events")
 sql("concat_project", "customer", "SELECT c_custkey, c_name || '-' || c_mktsegment AS label FROM customer")
 sql("cast_project", "events", "SELECT event_id, CAST(user_id AS INT) AS user_int, CAST(event_id AS VARCHAR) AS event_text FROM events")
@@ -188,6 +190,7 @@ sql("sum_group", "events", f"SELECT event_type, CAST(sum({_MONEY}) AS DOUBLE) AS
 sql("min_max_group", "events", "SELECT user_id, min(value) AS low, max(value) AS high, min(ts) AS first_ts FROM events GROUP BY user_id")
 sql("avg_stddev", "orders", "SELECT o_orderstatus, CAST(CAST(avg(CAST(o_totalprice AS DECIMAL(18, 2))) AS DECIMAL(18, 4)) AS DOUBLE) AS mean, CAST(CAST(stddev_samp(o_totalprice) AS DECIMAL(18, 3)) AS DOUBLE) AS sd FROM orders GROUP BY o_orderstatus", "SELECT o_orderstatus, CAST(CAST(round(sum(CAST(o_totalprice AS DECIMAL(18, 2))) / count(*), 4) AS DECIMAL(18, 4)) AS DOUBLE) AS mean, CAST(CAST(stddev_samp(o_totalprice) AS DECIMAL(18, 3)) AS DOUBLE) AS sd FROM orders GROUP BY o_orderstatus")
 sql("count_distinct", "events", "SELECT event_type, count(DISTINCT user_id) AS users FROM events GROUP BY event_type")
+sql("approx_distinct", "events", "SELECT event_type, abs(approx_count_distinct(user_id) - count(DISTINCT user_id)) <= 0.2 * count(DISTINCT user_id) AS near FROM events GROUP BY event_type", "SELECT DISTINCT event_type, true AS near FROM events")
 sql("having", "events", "SELECT user_id, count(*) AS n FROM events GROUP BY user_id HAVING count(*) > 70")
 sql("group_expr", "events", "SELECT 6 - extract(DAY FROM ts) AS d, count(*) AS n FROM events GROUP BY 6 - extract(DAY FROM ts)", "SELECT (6 - extract(DAY FROM ts))::INT AS d, count(*) AS n FROM events GROUP BY 1")
 sql("sum_of_nothing", "events", "SELECT sum(event_id) AS s, $SUM0(event_id) AS s0, count(*) AS n FROM events WHERE user_id < 0", "SELECT sum(event_id)::BIGINT AS s, coalesce(sum(event_id), 0)::BIGINT AS s0, count(*) AS n FROM events WHERE user_id < 0")
@@ -452,6 +455,11 @@ def _(spark, folder):
     return old.sql("SELECT event_type, count(*) AS n FROM clicks GROUP BY event_type")
 
 
+@query("catalog_listing", "SELECT * FROM (VALUES ('customer', 'DIMENSION', 1000), ('events', 'FACT', 1000000000000), ('by_hour', 'CUBE', 1000000000), ('by_day', 'CUBE', 1000000000), ('by_day_type', 'CUBE', 1000000000), ('by_month', 'CUBE', 1000000000)) t(name, kind, estimate)")
+def _(spark, folder):
+    return spark.createDataFrame(cubes(spark, folder).tables(), "name string, kind string, estimate long")
+
+
 @query("explain_route", "SELECT 'Route: union' AS route")
 def _(spark, folder):
     text = cubes(spark, folder).explain("SELECT event_type, COUNT(*) AS n FROM events WHERE ts < TIMESTAMP '2024-01-10 12:30:00' GROUP BY event_type")
