@@ -16,10 +16,11 @@ document.
 
 Training: every stride-aligned window of every training document is learned
 from as it is scored, by its second half, so each training id is learned once a
-pass.  Trainers run on the executors and read the chunks where they lie: each
+pass.  Some windows that follow each other are learned from together and share
+the work on the ids that they have in common.  Trainers run on the executors and read the chunks where they lie: each
 makes the windows of some documents at a time, starts anew after its share, and
 their parameters are averaged.  At every size of the corpus there is one pass,
-in two parts (every second window of a document each): the second part's
+in two parts (every second of those rows of windows each): the second part's
 trainers begin from the average of the first's.  Counts of words and of ids cover all training
 documents.
 
@@ -59,12 +60,14 @@ CLASSES = BANDS * EACH
 #: Windows of a trainer and of one of its steps; tasks that add parameters up.
 SHARE, BATCH, SUMMERS = 100_000, 256, 8
 #: Windows whose arrays are worked on at a time.
-FEW = 64
+FEW = 96
+#: Windows that follow each other and are learned from in one step, as they share the work on their ids.
+ROW = 16
 #: Parts of the one pass over all windows; parameters are averaged after each.
 PARTS = 2
 EDGE = U64(0)  # hash of the end, counted as a word
 F32 = np.float32
-MOST = 60.0  # logits that could be larger have their row's maximum taken off before exp
+LEAST = F32(1e-25)  # sums of exps below this, or above its inverse, are made again with the largest logit taken off
 
 
 # ------------------------------------------------------------------ the model
@@ -126,116 +129,202 @@ def gap_bias(near: np.ndarray) -> np.ndarray:
     return np.where(back >= 0, near[np.clip(back, 0, len(near) - 1)], F32(-1e9)).astype(F32)
 
 
-def with_one(x: np.ndarray) -> np.ndarray:
-    """``x`` and a column of ones, which meets a bias."""
-    out = np.empty((len(x), x.shape[1] + 1), F32)
-    out[:, :-1] = x
-    out[:, -1] = 1
-    return out
+def pairs(z: np.ndarray, first: int, n: int) -> np.ndarray:
+    """(rows - 1, 2 * stride, n): columns ``first`` to ``first + n`` of each row of (rows, stride, width) and the next, without a copy."""
+    row, cell, _ = z.strides
+    return np.ndarray((len(z) - 1, 2 * STRIDE, n), F32, z, first * 4, (row, cell, 4))
+
+
+def fine(total: np.ndarray) -> bool:
+    """Whether no sum of exps has left the range that F32 holds well."""
+    return LEAST < float(total.min(initial=1)) and float(total.max(initial=1)) < 1 / LEAST
 
 
-def exp_rows(o: np.ndarray) -> np.ndarray:
-    """exp of each row, in place; of rows that could overflow, over the exp of their maximum, which is returned (0: none)."""
-    if float(o.max(initial=0)) <= MOST and float(o.min(initial=0)) >= -MOST:
+def exp_columns(w: np.ndarray, h: np.ndarray, at: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """exp of each column of ``w`` @ ``h``, their sums, and the logits at the flat places ``at``; if sums leave the range, over the columns' maxima."""
+    ones = np.ones(len(w), F32)
+    o = w @ h
+    hit = None if at is None else np.take(o.ravel(), at)
+    with np.errstate(over="ignore", invalid="ignore"):
         np.exp(o, out=o)
-        return F32(0)
-    top = o.max(1)
-    o -= top[:, None]
-    np.exp(o, out=o)
-    return top
+        total = ones @ o
+    if not fine(total):
+        o = w @ h
+        o -= o.max(0)
+        hit = None if at is None else np.take(o.ravel(), at)
+        np.exp(o, out=o)
+        total = ones @ o
+    return o, total, hit
+
+
+def attend(q: np.ndarray, k: np.ndarray, v: np.ndarray, bias: np.ndarray, gate: np.ndarray, live: np.ndarray, opening: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of attention (window, query, key) before they are divided by their sum, and by columns of queries what they make of ``v``.
+
+    The last column of ``v`` is 1, or 0 for keys that are not there; ``gate``: exp of ``bias``; ``live``: queries whose sum counts;
+    ``opening``: windows whose first half is not there.
+    """
+
+    def mean():
+        return np.ascontiguousarray((a @ v).reshape(-1, DIM + 1).T)
+
+    a = q @ k.transpose(0, 2, 1)
+    with np.errstate(over="ignore", invalid="ignore"):
+        np.exp(a, out=a)
+        a *= gate
+        if opening is not None:
+            a[opening, :, :STRIDE] = 0
+        m = mean()
+        if fine(m[DIM][live]):
+            return a, m
+    a = q @ k.transpose(0, 2, 1)
+    a += bias
+    a += np.where(v[:, None, :, DIM] > 0, F32(0), F32(-1e9))
+    if opening is not None:
+        a[opening, :, :STRIDE] = -1e9
+    a -= a.max(2, keepdims=True)
+    np.exp(a, out=a)
+    return a, mean()
 
 
 class Learner:
-    """Adam on the parameters ``x``, one flat array (``p``: its parts by name); ids by ``slot_of`` and ``of``."""
+    """Adam on the parameters ``x``, one flat array (``p``: its parts by name); ids by ``slot_of`` and ``of``.
+
+    Columns of ids make the arrays behind the attention, so that sums over classes run along the ids.
+    """
 
     def __init__(self, slot_of: np.ndarray, of: np.ndarray, p: dict[str, np.ndarray], rate: float = 0.02):
-        self.slot_of, self.band_of, self.each_of = slot_of, of // EACH, of % EACH
+        # the last of each, found at -1, is for no id
+        self.slot_of = np.append(slot_of, SLOTS).astype(np.int32)
+        self.band_of, self.each_of = (np.append(k, -1).astype(np.int8) for k in (of // EACH, of % EACH))
         self.rate, self.step, self.x = rate, 0, flat(p).astype(F32)
-        self.g, self.m, self.s = (np.zeros_like(self.x) for _ in range(3))
+        self.g, self.m, self.s, self.spare, self.more = (np.zeros_like(self.x) for _ in range(5))
         self.p, self.d = views(self.x), views(self.g)
         self.back = np.arange(STRIDE, 2 * STRIDE)[:, None] - np.arange(2 * STRIDE)[None, :]
-
-    def _head(self, h: np.ndarray, out: str, y: np.ndarray, weight: np.float32) -> np.ndarray:
-        """Gradient of ``h`` (with its column of ones) of the weighted loss of predicting ``y``; that of the weights is added up."""
-        o = h @ self.p[out]
-        exp_rows(o)
-        o *= (weight / (o @ np.ones(o.shape[1], F32)))[:, None]
-        o.ravel()[np.arange(0, o.size, o.shape[1]) + y] -= weight
-        self.d[out] += h.T @ o
-        return o @ self.p[out][:-1].T
+        self.slot = np.ones((SLOTS + 1, DIM + 1), F32)  # with a column of ones, which sums the weights of attention
+        self.slot[SLOTS] = 0
+        self.qkv = np.zeros((DIM + 1, 3 * DIM + 1), F32)
+        self.qkv[DIM, 3 * DIM] = 1
+        self.by_place = np.zeros(STRIDE * 2 * STRIDE, F32)  # (query, key)
+        self.place = np.arange((SLOTS + 1) * DIM).reshape(-1, DIM)
 
     def learn(self, w: np.ndarray) -> None:
         """A step on (n, 2 * stride + 1) ids (-1: none): the second half is predicted, from all before it in the window.
 
-        The gradient is added up over a few windows at a time, whose arrays stay in a core's cache.
+        A window whose first half is the second of the one before it shares its row with that.  The gradient is added
+        up over a few rows at a time, whose arrays stay in a core's cache.
         """
         live = np.count_nonzero(w[:, STRIDE + 1 :] >= 0)
         if not live:
             return
-        self.g[:] = 0
-        for a in range(0, len(w), FEW):
-            self._add(w[a : a + FEW], F32(1 / live))
+        alone = np.ones(len(w), bool)
+        alone[1:] = (w[1:, :STRIDE] != w[:-1, STRIDE:-1]).any(1)
+        at = np.arange(len(w)) + np.cumsum(alone)
+        x, y = np.full((at[-1] + 1, STRIDE), -1, np.int32), np.full((at[-1] + 1, STRIDE), -1, np.int32)
+        x[at[alone] - 1], x[at], y[at] = w[alone, :STRIDE], w[:, STRIDE:-1], w[:, STRIDE + 1 :]
+        x = np.take(self.slot_of, x, mode="wrap")
+        p, g = self.p, self.d
+        self.g[:], self.by_place[:] = 0, 0
+        self.slot[:SLOTS, :DIM] = p["slot"]
+        self.qkv[:DIM, : 3 * DIM] = p["qkv"]
+        self.qkv[:DIM, :DIM] *= F32(DIM**-0.5)
+        self.bias = gap_bias(p["near"])
+        self.gate = np.exp(self.bias)
+        self.back_q, self.back_kv = (np.ascontiguousarray(k.T) for k in (self.qkv[:DIM, :DIM], self.qkv[:DIM, DIM:-1]))
+        self.wide = np.concatenate([p["band"], p["w3"]])
+        de = np.zeros((len(x), STRIDE, DIM), F32)
+        for a in range(1, len(x), FEW):
+            self._add(x[a - 1 : a + FEW], y[a : a + FEW], de[a - 1 : a + FEW])
+        past = np.flatnonzero(self.back >= 0)
+        g["near"] += np.bincount(self.back.ravel()[past], self.by_place[past], 2 * STRIDE)
+        g["slot"] += np.bincount(np.take(self.place, x.ravel(), axis=0).ravel(), de.ravel(), self.place.size)[: SLOTS * DIM].reshape(SLOTS, DIM)
+        g["qkv"][:, :DIM] *= F32(DIM**-0.5)
+        self.g *= F32(1 / live)
+        self._step()
+
+    def _step(self) -> None:
         self.step += 1
-        self.m += F32(0.1) * (self.g - self.m)
-        self.s += F32(0.01) * (self.g**2 - self.s)
-        self.x -= F32(self.rate / (1 - 0.9**self.step)) * self.m / (np.sqrt(self.s / F32(1 - 0.99**self.step)) + F32(1e-8))
-
-    def _add(self, w: np.ndarray, weight: np.float32) -> None:
+        u, v = self.spare, self.more
+        np.subtract(self.g, self.m, out=u)
+        u *= F32(0.1)
+        self.m += u
+        np.multiply(self.g, self.g, out=u)
+        u -= self.s
+        u *= F32(0.01)
+        self.s += u
+        np.multiply(self.s, F32(1 / (1 - 0.99**self.step)), out=u)
+        np.sqrt(u, out=u)
+        u += F32(1e-8)
+        np.divide(self.m, u, out=v)
+        v *= F32(self.rate / (1 - 0.9**self.step))
+        self.x -= v
+
+    def _head(self, h: np.ndarray, out: str, hot: np.ndarray, live: np.ndarray) -> np.ndarray:
+        """Gradient of ``h`` (with its row of ones) of the loss of predicting ``hot`` (1 for each column's class); that of the weights is added up."""
+        o, total, _ = exp_columns(self.p[out].T, h)
+        o *= live / total
+        o -= hot
+        self.d[out] += h @ o.T
+        return self.p[out][:-1] @ o
+
+    def _add(self, x: np.ndarray, y: np.ndarray, de: np.ndarray) -> None:
+        """x: (rows + 1, stride) slots, y: (rows, stride) ids that follow those of all rows but the first; ``de``: gets the gradient by place."""
         p, g = self.p, self.d
-        y = w[:, STRIDE + 1 :].ravel()
-        live = np.flatnonzero(y >= 0)
-        if not len(live):
+        y = y.ravel()
+        live = (y >= 0).astype(F32)
+        if not live.any():
             return
-        y = y[live]
-        seen, slot = w[:, :-1] >= 0, np.take(self.slot_of, w[:, :-1], mode="wrap")  # (-1 takes some id's place and is masked)
-        e = np.take(p["slot"], slot, axis=0)
-        qkv = e @ p["qkv"]
-        q, k, v = qkv[:, STRIDE:, :DIM], qkv[:, :, DIM : 2 * DIM], qkv[:, :, 2 * DIM :]
-        a = (q * F32(DIM**-0.5)) @ k.transpose(0, 2, 1)
-        a += gap_bias(p["near"])
-        if not seen.all():
-            a += np.where(seen, F32(0), F32(-1e9))[:, None, :]
-        flat_a = a.reshape(-1, 2 * STRIDE)
-        flat_a -= flat_a.max(1)[:, None]
-        np.exp(a, out=a)
-        flat_a /= (flat_a @ np.ones(2 * STRIDE, F32))[:, None]
-        h = (e[:, STRIDE:] + a @ v).reshape(-1, DIM)[live]
-        z = h @ p["w1"]
-        t = np.maximum(z, 0)
-        h2 = h + t @ p["w2"]
-        band = self.band_of[y]
-        d2 = self._head(with_one(h2), "out", band, weight)
-        z3 = h2 @ p["w3"] + np.take(p["band"], band, axis=0)
-        t3 = np.maximum(z3, 0)
-        d3 = self._head(with_one(t3), "each", self.each_of[y], weight)
+        n, rows = len(y), len(x) - 1
+        e = np.take(self.slot, x.ravel(), axis=0)
+        z = (e @ self.qkv).reshape(rows + 1, STRIDE, -1)
+        q, k, v = z[1:, :, :DIM], pairs(z, DIM, DIM), pairs(z, 2 * DIM, DIM + 1)
+        a, mean = attend(q, k, v, self.bias, self.gate, x[1:].ravel() != SLOTS)
+        over = F32(1) / np.maximum(mean[DIM], LEAST)  # (0 where there is no id)
+        mean = mean[:DIM]
+        mean *= over
+        h = mean + e[STRIDE:, :DIM].T
+        z1 = p["w1"].T @ h
+        t = np.maximum(z1, 0)
+        b = np.empty((BANDS + HIDDEN + 1, n), F32)  # the band, the state, ones
+        kinds = np.arange(max(BANDS, EACH), dtype=np.int8)[:, None]
+        b[:BANDS] = np.take(self.band_of, y, mode="wrap") == kinds[:BANDS]
+        np.matmul(p["w2"].T, t, out=b[BANDS:-1])
+        b[BANDS:-1] += h
+        b[-1] = 1
+        d2 = self._head(b[BANDS:], "out", b[:BANDS], live)
+        z3 = self.wide.T @ b[:-1]
+        t3 = np.ones((HIDDEN + 1, n), F32)
+        np.maximum(z3, 0, out=t3[:-1])
+        d3 = self._head(t3, "each", (np.take(self.each_of, y, mode="wrap") == kinds[:EACH]).astype(F32), live)
         d3 *= z3 > 0
-        g["w3"] += h2.T @ d3
-        g["band"] += (band == np.arange(BANDS)[:, None]).astype(F32) @ d3
-        d2 += d3 @ p["w3"].T
-        g["w2"] += t.T @ d2
-        dz = d2 @ p["w2"].T
-        dz *= z > 0
-        g["w1"] += h.T @ dz
-        d2 += dz @ p["w1"].T
-        dh = np.zeros((len(w) * STRIDE, DIM), F32)
-        dh[live] = d2
-        dh = dh.reshape(-1, STRIDE, DIM)
-        dqkv = np.zeros_like(qkv)
-        da = dh @ v.transpose(0, 2, 1)
-        dqkv[:, :, 2 * DIM :] = a.transpose(0, 2, 1) @ dh
-        flat_da = da.reshape(-1, 2 * STRIDE)
-        flat_da -= np.einsum("ij,ij->i", flat_da, flat_a)[:, None]
+        wide = b[:-1] @ d3.T
+        g["band"] += wide[:BANDS]
+        g["w3"] += wide[BANDS:]
+        d2 += p["w3"] @ d3
+        g["w2"] += t @ d2.T
+        dz = p["w2"] @ d2
+        dz *= z1 > 0
+        g["w1"] += h @ dz.T
+        d2 += p["w1"] @ dz
+        dm = np.empty((n, DIM + 1), F32)
+        d = d2 * over
+        dm[:, :DIM] = d.T
+        d *= mean
+        np.negative(np.ones(DIM, F32) @ d, out=dm[:, DIM])
+        dm = dm.reshape(rows, STRIDE, DIM + 1)
+        da = dm @ v.transpose(0, 2, 1)
         da *= a
-        past = self.back >= 0
-        g["near"] += np.bincount(self.back[past], da.sum(0)[past], 2 * STRIDE)
-        da *= F32(DIM**-0.5)
-        dqkv[:, STRIDE:, :DIM] = da @ k
-        dqkv[:, :, DIM : 2 * DIM] = da.transpose(0, 2, 1) @ q
-        g["qkv"] += e.reshape(-1, DIM).T @ dqkv.reshape(-1, 3 * DIM)
-        de = dqkv @ p["qkv"].T
-        de[:, STRIDE:] += dh
-        place = (slot.ravel()[:, None] * DIM + np.arange(DIM)).ravel()
-        g["slot"] += np.bincount(place, de.ravel(), SLOTS * DIM).reshape(SLOTS, DIM)
+        self.by_place += np.ones(rows, F32) @ da.reshape(rows, -1)
+        kv = np.empty((rows, 2 * STRIDE, 2 * DIM), F32)
+        np.matmul(da.transpose(0, 2, 1), q, out=kv[:, :, :DIM])
+        np.matmul(a.transpose(0, 2, 1), dm[:, :, :DIM], out=kv[:, :, DIM:])
+        both = np.empty((rows + 1, STRIDE, 2 * DIM), F32)  # a row's keys and values meet its own queries and the next row's
+        both[0], both[-1] = kv[0, :STRIDE], kv[-1, STRIDE:]
+        np.add(kv[:-1, STRIDE:], kv[1:, :STRIDE], out=both[1:-1])
+        dq, both = (da @ k).reshape(n, DIM), both.reshape(-1, 2 * DIM)
+        g["qkv"][:, :DIM] += e[STRIDE:, :DIM].T @ dq
+        g["qkv"][:, DIM:] += e[:, :DIM].T @ both
+        de += (both @ self.back_kv).reshape(rows + 1, STRIDE, DIM)
+        de[1:].reshape(n, DIM)[:] += dq @ self.back_q + d2.T
 
 
 def train(windows: np.ndarray, counts: np.ndarray, p: dict[str, np.ndarray], batch: int = 64, rate: float = 0.01, passes: int = 20) -> dict[str, np.ndarray]:
@@ -248,52 +337,50 @@ def train(windows: np.ndarray, counts: np.ndarray, p: dict[str, np.ndarray], bat
     return learner.p
 
 
-def windows_of(ids: np.ndarray, offs: np.ndarray) -> np.ndarray:
-    """(n, 2 * stride + 1): every stride-aligned window of documents of ids (offs: offsets; each has an id); -1: none.
+def windows_of(ids: np.ndarray, offs: np.ndarray, which: np.ndarray | None = None) -> np.ndarray:
+    """(n, 2 * stride + 1): every stride-aligned window (or ``which``, by number) of documents of ids (offs: offsets; each has an id); -1: none.
 
     The ids at stride * k + 1 and on, BEGIN first, are the second half of a document's window k; each is there once.
     """
     size = np.diff(offs)
     rows = -(-size // STRIDE)
-    first = np.repeat(np.cumsum(rows) - rows, rows)
-    doc = np.repeat(np.arange(len(size)), rows)
-    at = ((np.arange(len(doc)) - first) * STRIDE - STRIDE - 1)[:, None] + np.arange(2 * STRIDE + 1)  # place in the document; -1 is BEGIN
-    inside = (at >= 0) & (at < size[doc][:, None])
-    out = np.where(inside, ids[np.where(inside, at + offs[:-1][doc][:, None], 0)], -1)
-    out[at == -1] = BEGIN
-    return out
+    start = np.cumsum(rows + 2) - rows - 2  # rows of ids: none, BEGIN and the document's, at least one more
+    laid = np.full((int((rows + 2).sum()) + 1) * STRIDE, -1, np.int32)
+    laid[np.repeat(start * STRIDE + STRIDE + 1 - offs[:-1], size) + np.arange(len(ids))] = ids
+    laid[start * STRIDE + STRIDE] = BEGIN
+    at = np.arange(int(rows.sum())) + np.repeat(2 * np.arange(len(rows)), rows)
+    windows = np.ndarray((max(0, len(laid) // STRIDE - 2), 2 * STRIDE + 1), np.int32, laid, 0, (4 * STRIDE, 4))
+    return windows[at if which is None else at[which]]
 
 
 class Scorer:
-    """Scores documents of ids; keys, values and queries are small tables by slot, which stay in a core's cache."""
+    """Scores documents of ids; queries, keys, values and embeddings are one small table by slot, which stays in a core's cache."""
 
     def __init__(self, p: dict[str, np.ndarray], counts: np.ndarray):
         self.p, (of, self.within) = p, classes_of(counts)
-        self.band_of, self.each_of = (of // EACH).astype(np.int32), (of % EACH).astype(np.int32)
+        # the last of each, found at -1, is for no id
+        self.band_of, self.each_of = (np.append(k, 0).astype(np.int32) for k in (of // EACH, of % EACH))
+        self.within = np.append(self.within, 0)
         self.slot_of, e = shared(counts, SLOTS).astype(np.int32), p["slot"]
         q, k, v = np.split(e @ p["qkv"], 3, axis=1)
-        self.e, self.q, self.k = e, q * F32(DIM**-0.5), np.ascontiguousarray(k)
-        self.v = np.concatenate([v, np.ones((SLOTS, 1), F32)], axis=1)  # the last column sums the weights
-        self.bias = np.ascontiguousarray(gap_bias(p["near"]).T)
-        #: Above this no weight of attention can lie; above MOST the largest of each is taken off first.
-        self.sharp = float(np.abs(self.q).max() * np.abs(self.k).max() * DIM + np.abs(p["near"]).max())
+        self.table = np.concatenate([q * F32(DIM**-0.5), k, v, np.ones((SLOTS, 1), F32), e], axis=1)  # the ones sum the weights
+        self.bias = gap_bias(p["near"])
+        self.gate = np.exp(self.bias)
 
     @staticmethod
-    def _head(h: np.ndarray, out: np.ndarray, y: np.ndarray) -> np.ndarray:
-        o = h @ out
-        hit = np.take(o.ravel(), np.arange(0, o.size, o.shape[1]) + y).astype(np.float64)
-        top = exp_rows(o)
-        return hit - top - np.log((o @ np.ones(o.shape[1], F32)).astype(np.float64))
+    def _head(h: np.ndarray, out: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Logit of each column's class over the largest taken off, if any, and the sum of the exps that belong to it."""
+        _, total, hit = exp_columns(out.T, h, y * h.shape[1] + np.arange(h.shape[1], dtype=y.dtype))
+        return hit.astype(np.float64), total.astype(np.float64)
 
-    def log10(self, ids: np.ndarray, offs: np.ndarray, batch: int = 64) -> np.ndarray:
+    def log10(self, ids: np.ndarray, offs: np.ndarray, batch: int = FEW) -> np.ndarray:
         """log10 probability of each document's ids (offs: offsets); the first is predicted from BEGIN alone."""
         size = np.diff(offs)
         rows = -(-size // STRIDE)
         first_row = np.cumsum(rows) - rows
         n = int(rows.sum())
         x, y = np.zeros((n + 1, STRIDE), np.int32), np.full((n + 1, STRIDE), -1, np.int32)  # row 0 is no document's
-        doc = np.repeat(np.arange(len(size)), size)
-        cell = (first_row[doc] + 1) * STRIDE + np.arange(len(ids)) - offs[doc]
+        cell = np.repeat((first_row + 1) * STRIDE - offs[:-1], size) + np.arange(len(ids))
         y.ravel()[cell] = ids
         begin = np.empty(len(ids), np.int32)
         begin[1:] = ids[:-1]
@@ -303,31 +390,34 @@ class Scorer:
         opening[first_row[rows > 0] + 1] = True
         total = np.zeros(n)
         p = self.p
+        wide = np.concatenate([p["band"], p["w3"]])
+        kinds = np.arange(BANDS, dtype=np.int32)[:, None]
         for a in range(1, n + 1, batch):
             b = min(n + 1, a + batch)
             target = y[a:b].ravel()
-            live = np.flatnonzero(target >= 0)
-            target = target[live]
             # a window is two rows of ids that follow each other in memory: windows overlap without copies
-            kk, vv = (np.take(z, x[a - 1 : b], axis=0) for z in (self.k, self.v))
-            kk, vv = (np.lib.stride_tricks.as_strided(z, (b - a, 2 * STRIDE, z.shape[2]), z.strides) for z in (kk, vv))
-            w = kk @ np.ascontiguousarray(np.take(self.q, x[a:b], axis=0).transpose(0, 2, 1))  # (window, key, query)
-            w += self.bias
-            w[opening[a:b], :STRIDE] = -1e9
-            if self.sharp > MOST:
-                w -= w.max(1, keepdims=True)
-            np.exp(w, out=w)
-            w = w.transpose(0, 2, 1) @ vv
-            h = (w[:, :, :DIM] / w[:, :, DIM:] + np.take(self.e, x[a:b], axis=0)).reshape(-1, DIM)[live]
-            t = h @ p["w1"]
-            np.maximum(t, 0, out=t)
-            h += t @ p["w2"]
-            band = np.take(self.band_of, target)
-            score = np.zeros((b - a) * STRIDE)
-            t = h @ p["w3"] + np.take(p["band"], band, axis=0)
+            z = np.take(self.table, x[a - 1 : b], axis=0)
+            _, mean = attend(z[1:, :, :DIM], pairs(z, DIM, DIM), pairs(z, 2 * DIM, DIM + 1), self.bias, self.gate, target >= 0, np.flatnonzero(opening[a:b]))
+            h = mean[:DIM]
+            h /= np.maximum(mean[DIM], LEAST)
+            h += z[1:, :, 3 * DIM + 1 :].reshape(-1, DIM).T
+            t = p["w1"].T @ h
             np.maximum(t, 0, out=t)
-            score[live] = self._head(with_one(h), p["out"], band) + self._head(with_one(t), p["each"], np.take(self.each_of, target)) + np.take(self.within, target)
-            total[a - 1 : b - 1] = score.reshape(-1, STRIDE).sum(1)
+            state = np.empty((BANDS + HIDDEN + 1, len(target)), F32)  # the band, the state, ones
+            band = np.take(self.band_of, target, mode="wrap")
+            state[:BANDS] = band == kinds
+            np.matmul(p["w2"].T, t, out=state[BANDS:-1])
+            state[BANDS:-1] += h
+            state[-1] = 1
+            t = np.ones((HIDDEN + 1, len(target)), F32)
+            np.maximum(wide.T @ state[:-1], 0, out=t[:-1])
+            (hit, s), (hit2, s2) = self._head(state[BANDS:], p["out"], band), self._head(t, p["each"], np.take(self.each_of, target, mode="wrap"))
+            s *= s2
+            hit += hit2
+            hit -= np.log(s)
+            hit += np.take(self.within, target, mode="wrap")
+            hit *= target >= 0
+            total[a - 1 : b - 1] = hit.reshape(-1, STRIDE).sum(1)
         out = np.zeros(len(size))
         full = rows > 0
         if full.any():
@@ -370,17 +460,26 @@ def _pack(model, chunk: int):
 
         sp = sentencepiece.SentencePieceProcessor(model_proto=model.value)
         table, part, made = spaces_table(), TaskContext.get().partitionId(), 0
-        seqs, sizes, ids, nulls, trains, number, words = [], [], [], [], [], {}, []
-        held = 0
+        seqs, sizes, ids, nulls, trains, hashes, words = [], [], [], [], [], [], []
+        held = known = 0
 
         def flush():
-            seq, per_doc = np.concatenate(seqs), np.concatenate(sizes)
+            per_doc = np.concatenate(sizes)
             train = np.concatenate(trains)
-            distinct = np.fromiter(number, U64, len(number))
+            distinct, where, number = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+            seq = number[np.concatenate(seqs)]
+            first = np.cumsum([0, *(len(h) for h in hashes)])
+            texts = []
+            for (low, start, end), a, b in zip(words, first[:-1], first[1:], strict=True):
+                new = np.sort(where[(where >= a) & (where < b)]) - a
+                texts += [low[i:j] for i, j in zip(start[new].tolist(), end[new].tolist(), strict=True)]
+            order = np.empty(len(where), np.int64)
+            order[np.argsort(where, kind="stable")] = np.arange(len(where))  # a word's number: as they first occur
+            seq, distinct = order[seq], distinct[np.argsort(where, kind="stable")]
             count = np.bincount(seq, np.repeat(train, per_doc), len(distinct)).astype(np.int64)
             lengths, subs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)]
-            for a in range(0, len(words), 20_000):
-                pieces = sp.encode([x.replace(b"\xff", b"\0").decode() for x in words[a : a + 20_000]], num_threads=1)
+            for a in range(0, len(texts), 20_000):
+                pieces = sp.encode(texts[a : a + 20_000], num_threads=1)
                 lengths.append(np.fromiter(map(len, pieces), np.int64, len(pieces)))
                 subs.append(np.fromiter(chain.from_iterable(pieces), np.uint16, int(lengths[-1].sum())))
             length, sub = np.concatenate(lengths), np.concatenate(subs)
@@ -403,14 +502,10 @@ def _pack(model, chunk: int):
                 h = w.hashes()
                 h[h == EDGE] = U64(1)
                 u, where, which = np.unique(h, return_index=True, return_inverse=True)
-                mine, raw = np.empty(len(u), np.uint32), w.low.tobytes()
-                for k, (x, a, b) in enumerate(zip(u.tolist(), w.start[where].tolist(), w.end[where].tolist(), strict=True)):
-                    n = number.get(x)
-                    if n is None:
-                        n = number[x] = len(words)
-                        words.append(raw[a:b])
-                    mine[k] = n
-                seqs.append(mine[which])
+                hashes.append(u)
+                seqs.append(known + which)
+                known += len(u)
+                words.append((w.low.tobytes().replace(b"\xff", b"\0"), w.start[where], w.end[where]))
                 sizes.append(np.diff(w.per_row))
                 id_ = some.column(some.schema.get_field_index("id"))
                 ids.append(np.asarray(id_.fill_null(0)).astype(np.int64))
@@ -420,7 +515,7 @@ def _pack(model, chunk: int):
                 if held >= chunk:
                     yield from flush()
                     made += 1
-                    seqs, sizes, ids, nulls, trains, number, words, held = [], [], [], [], [], {}, [], 0
+                    seqs, sizes, ids, nulls, trains, hashes, words, held, known = [], [], [], [], [], [], [], 0, 0
         if sizes:
             yield from flush()
 
@@ -435,17 +530,20 @@ def _read(body: bytes):
 def _runs(per_doc: np.ndarray, seq: np.ndarray, length: np.ndarray, sub: np.ndarray):
     """(from, to, words by number, ids with the ends, their offsets) of runs of documents of some 300,000 words."""
     edge = np.concatenate([[0], np.cumsum(per_doc)])
-    offs = np.concatenate([[0], np.cumsum(length.astype(np.int64))])
+    first = np.concatenate([[0], np.cumsum(length.astype(np.int64))])
+    # the end is one more word, of one piece
+    first, sub = np.append(first, len(sub) + 1), np.append(sub, np.uint16(END)).astype(np.int32)
     at = 0
     while at < len(per_doc):
         to = max(at + 1, int(np.searchsorted(edge, edge[at] + 300_000, "right")) - 1)
         mine = seq[edge[at] : edge[to]]
-        got, k = spread(sub, offs, mine)
-        owner = np.repeat(np.repeat(np.arange(to - at), per_doc[at:to]), k)
-        stops = np.cumsum(np.bincount(owner, minlength=to - at) + 1)
-        full = np.full(int(stops[-1]), END, np.int32)
-        full[np.arange(len(got)) + owner] = got
-        yield at, to, mine, full, np.concatenate([[0], stops])
+        stops = np.cumsum(per_doc[at:to] + 1)
+        words = np.full(int(stops[-1]), len(length), np.int64)
+        is_word = np.ones(len(words), bool)
+        is_word[stops - 1] = False
+        words[is_word] = mine
+        full, k = spread(sub, first, words)
+        yield at, to, mine, full, np.concatenate([[0], np.cumsum(k)[stops - 1]])
         at = to
 
 
@@ -455,7 +553,7 @@ SUMS = pa.schema([("task", pa.int32()), ("n", pa.int64()), ("p", pa.binary())])
 def _trainer(model, share: int, batch: int, part: int = 0, parts: int = 1):
     """(body) -> a row of SUMS: windows learned from, and the trainers' parameters times their windows, summed.
 
-    Part ``part`` of ``parts`` of the windows, dealt by turns within each run of documents.
+    Part ``part`` of ``parts`` of the windows, dealt by turns within each run of documents: rows of ``ROW`` windows that follow each other.
 
     A trainer takes runs of documents until it has had ``share`` windows; the next begins from the start again.
     """
@@ -471,11 +569,12 @@ def _trainer(model, share: int, batch: int, part: int = 0, parts: int = 1):
                 for at, to, _, ids, offs in _runs(per_doc, seq, length, sub):
                     size = np.diff(offs)
                     mine = train[at:to]
-                    w = windows_of(ids[np.repeat(mine, size)], np.concatenate([[0], np.cumsum(size[mine])]))
-                    w = w[part::parts]
-                    order = r.permutation(len(w))
+                    n_windows = int((-(-size[mine] // STRIDE)).sum())
+                    row = r.permutation(np.arange(part, -(-n_windows // ROW), parts))
+                    which = (row[:, None] * ROW + np.arange(ROW)).ravel()
+                    w = windows_of(ids[np.repeat(mine, size)], np.concatenate([[0], np.cumsum(size[mine])]), which[which < n_windows])
                     for a in range(0, len(w), batch):
-                        learner.learn(some_of := w[order[a : a + batch]])
+                        learner.learn(some_of := w[a : a + batch])
                         n += len(some_of)
                         if n >= share:
                             total, done, learner, n = total + n * learner.x.astype(np.float64), done + n, Learner(slots, of, p), 0

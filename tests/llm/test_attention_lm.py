@@ -253,3 +253,26 @@ def test_held_out_with_trainers_that_have_their_full_share(spark):
     assert counts.sum() > 2 * SHARE * STRIDE
     unigram = float(asked @ np.log10(counts / counts.sum()))
     assert got["sum(score)"] > 0.9 * unigram
+
+
+def test_windows_that_follow_each_other_share_their_ids(monkeypatch):
+    """The work on 64 such windows is that of 65 rows of ids, not of 128, and the gradient is that of the windows in any order."""
+    r = np.random.default_rng(5)
+    counts, ids = r.integers(0, 50, VOCAB), r.integers(0, VOCAB, 70 * STRIDE)
+    w = windows_of(ids, np.array([0, len(ids)]))[2:66]
+    rows, add = [], Learner._add
+
+    def counted(self, x, *more):
+        rows.append(len(x) - 1)
+        add(self, x, *more)
+
+    monkeypatch.setattr(Learner, "_add", counted)
+    g = []
+    for some in (w, w[r.permutation(64)]):
+        learner = Learner(shared(counts, SLOTS), classes_of(counts)[0], noisy(0.3))
+        learner.learn(some)
+        g.append(learner.g)
+        if some is w:
+            assert sum(rows) == 64
+    assert np.abs(g[0]).max() > 0.01
+    assert g[0] == pytest.approx(g[1], abs=1e-5)
