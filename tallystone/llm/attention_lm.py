@@ -26,8 +26,10 @@ documents.
 
 The base score needs the count of every word of every document.  Documents are
 packed in chunks; a chunk's distinct words go out once with their counts in the
-chunk, are summed by word, and come back to the chunk; the words' order in
-documents stays in the chunk.  No key has more than one row a chunk.
+chunk, in one row for each range of hashes, are summed by word within the range,
+and come back to the chunk in one row each; the words' order in documents stays
+in the chunk.  There are twice as many ranges as partitions of the input, 64 at
+least, so a range's words stay as many however large the input is.
 
 Defined cases: null and empty texts are one end; a row with a null id counts
 as id ""; without training documents all counts are 0 and the model is the
@@ -57,6 +59,8 @@ CHUNK, STRIDE, DIM, HIDDEN, SLOTS, VOCAB, BEGIN, END = 14_000_000, 16, 16, 16, 2
 #: A class is one of ``EACH`` in one of ``BANDS``.
 BANDS, EACH = 16, 16
 CLASSES = BANDS * EACH
+#: Ranges of hashes at least.
+RANGES = 64
 #: Windows of a trainer and of one of its steps; tasks that add parameters up.
 SHARE, BATCH, SUMMERS = 100_000, 256, 8
 #: Windows whose arrays are worked on at a time.
@@ -157,33 +161,37 @@ def exp_columns(w: np.ndarray, h: np.ndarray, at: np.ndarray | None = None) -> t
     return o, total, hit
 
 
-def attend(q: np.ndarray, k: np.ndarray, v: np.ndarray, bias: np.ndarray, gate: np.ndarray, live: np.ndarray, opening: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Weights of attention (window, query, key) before they are divided by their sum, and by columns of queries what they make of ``v``.
+def by_window(x: np.ndarray, first: int, n: int) -> np.ndarray:
+    """(rows, n, stride): rows ``first`` to ``first + n`` of ``x`` (rows, columns of queries), for each window's queries, without a copy."""
+    row, cell = x.strides
+    return np.ndarray((x.shape[1] // STRIDE, n, STRIDE), F32, x, first * row, (STRIDE * cell, row, cell))
 
-    The last column of ``v`` is 1, or 0 for keys that are not there; ``gate``: exp of ``bias``; ``live``: queries whose sum counts;
-    ``opening``: windows whose first half is not there.
-    """
 
-    def mean():
-        return np.ascontiguousarray((a @ v).reshape(-1, DIM + 1).T)
+def attend(k: np.ndarray, q: np.ndarray, v: np.ndarray, bias: np.ndarray, gate: np.ndarray, live: np.ndarray, opening: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Weights of attention (window, key, query) before they are divided by their sum, and by columns of queries what they make of ``v``.
 
-    a = q @ k.transpose(0, 2, 1)
+    The last column of ``v`` is 1, or 0 for keys that are not there; ``bias``: (key, query); ``gate``: exp of it; ``live``:
+    queries whose sum counts; ``opening``: windows whose first half is not there.
+    """
+    mean = np.empty((DIM + 1, len(k) * STRIDE), F32)
+    a = k @ q
     with np.errstate(over="ignore", invalid="ignore"):
         np.exp(a, out=a)
         a *= gate
         if opening is not None:
-            a[opening, :, :STRIDE] = 0
-        m = mean()
-        if fine(m[DIM][live]):
-            return a, m
-    a = q @ k.transpose(0, 2, 1)
+            a[opening, :STRIDE] = 0
+        np.matmul(v.transpose(0, 2, 1), a, out=by_window(mean, 0, DIM + 1))
+        if fine(mean[DIM][live]):
+            return a, mean
+    a = k @ q
     a += bias
-    a += np.where(v[:, None, :, DIM] > 0, F32(0), F32(-1e9))
+    a += np.where(v[:, :, DIM:] > 0, F32(0), F32(-1e9))
     if opening is not None:
-        a[opening, :, :STRIDE] = -1e9
-    a -= a.max(2, keepdims=True)
+        a[opening, :STRIDE] = -1e9
+    a -= a.max(1, keepdims=True)
     np.exp(a, out=a)
-    return a, mean()
+    np.matmul(v.transpose(0, 2, 1), a, out=by_window(mean, 0, DIM + 1))
+    return a, mean
 
 
 class Learner:
@@ -199,12 +207,13 @@ class Learner:
         self.rate, self.step, self.x = rate, 0, flat(p).astype(F32)
         self.g, self.m, self.s, self.spare, self.more = (np.zeros_like(self.x) for _ in range(5))
         self.p, self.d = views(self.x), views(self.g)
-        self.back = np.arange(STRIDE, 2 * STRIDE)[:, None] - np.arange(2 * STRIDE)[None, :]
+        self.back = np.arange(STRIDE, 2 * STRIDE)[None, :] - np.arange(2 * STRIDE)[:, None]  # (key, query)
         self.slot = np.ones((SLOTS + 1, DIM + 1), F32)  # with a column of ones, which sums the weights of attention
         self.slot[SLOTS] = 0
         self.qkv = np.zeros((DIM + 1, 3 * DIM + 1), F32)
         self.qkv[DIM, 3 * DIM] = 1
-        self.by_place = np.zeros(STRIDE * 2 * STRIDE, F32)  # (query, key)
+        self.by_place = np.zeros(STRIDE * 2 * STRIDE, F32)  # (key, query)
+        self.own = np.eye(2 * DIM, DIM + 1, dtype=F32)  # what makes columns of embeddings, then of queries
         self.place = np.arange((SLOTS + 1) * DIM).reshape(-1, DIM)
 
     def learn(self, w: np.ndarray) -> None:
@@ -227,16 +236,19 @@ class Learner:
         self.slot[:SLOTS, :DIM] = p["slot"]
         self.qkv[:DIM, : 3 * DIM] = p["qkv"]
         self.qkv[:DIM, :DIM] *= F32(DIM**-0.5)
-        self.bias = gap_bias(p["near"])
+        self.own[DIM:, :DIM], self.own[DIM:, DIM] = self.qkv[:DIM, :DIM].T, 0
+        self.bias = np.ascontiguousarray(gap_bias(p["near"]).T)
         self.gate = np.exp(self.bias)
-        self.back_q, self.back_kv = (np.ascontiguousarray(k.T) for k in (self.qkv[:DIM, :DIM], self.qkv[:DIM, DIM:-1]))
+        self.back_kv = np.ascontiguousarray(self.qkv[:DIM, DIM:-1].T)
         self.wide = np.concatenate([p["band"], p["w3"]])
         de = np.zeros((len(x), STRIDE, DIM), F32)
         for a in range(1, len(x), FEW):
             self._add(x[a - 1 : a + FEW], y[a : a + FEW], de[a - 1 : a + FEW])
         past = np.flatnonzero(self.back >= 0)
         g["near"] += np.bincount(self.back.ravel()[past], self.by_place[past], 2 * STRIDE)
-        g["slot"] += np.bincount(np.take(self.place, x.ravel(), axis=0).ravel(), de.ravel(), self.place.size)[: SLOTS * DIM].reshape(SLOTS, DIM)
+        by_slot = np.zeros(self.place.size, F32)
+        np.add.at(by_slot, np.take(self.place, x.ravel(), axis=0).ravel(), de.ravel())
+        g["slot"] += by_slot.reshape(-1, DIM)[:SLOTS]
         g["qkv"][:, :DIM] *= F32(DIM**-0.5)
         self.g *= F32(1 / live)
         self._step()
@@ -267,7 +279,7 @@ class Learner:
         return self.p[out][:-1] @ o
 
     def _add(self, x: np.ndarray, y: np.ndarray, de: np.ndarray) -> None:
-        """x: (rows + 1, stride) slots, y: (rows, stride) ids that follow those of all rows but the first; ``de``: gets the gradient by place."""
+        """x: (rows + 1, stride) slots, y: (rows, stride) ids that follow those of all rows but the first; the gradient by place is added to ``de``."""
         p, g = self.p, self.d
         y = y.ravel()
         live = (y >= 0).astype(F32)
@@ -276,12 +288,13 @@ class Learner:
         n, rows = len(y), len(x) - 1
         e = np.take(self.slot, x.ravel(), axis=0)
         z = (e @ self.qkv).reshape(rows + 1, STRIDE, -1)
+        own = self.own @ e[STRIDE:].T
         q, k, v = z[1:, :, :DIM], pairs(z, DIM, DIM), pairs(z, 2 * DIM, DIM + 1)
-        a, mean = attend(q, k, v, self.bias, self.gate, x[1:].ravel() != SLOTS)
+        a, mean = attend(k, by_window(own, DIM, DIM), v, self.bias, self.gate, x[1:].ravel() != SLOTS)
         over = F32(1) / np.maximum(mean[DIM], LEAST)  # (0 where there is no id)
         mean = mean[:DIM]
         mean *= over
-        h = mean + e[STRIDE:, :DIM].T
+        h = mean + own[:DIM]
         z1 = p["w1"].T @ h
         t = np.maximum(z1, 0)
         b = np.empty((BANDS + HIDDEN + 1, n), F32)  # the band, the state, ones
@@ -305,26 +318,26 @@ class Learner:
         dz *= z1 > 0
         g["w1"] += h @ dz.T
         d2 += p["w1"] @ dz
-        dm = np.empty((n, DIM + 1), F32)
-        d = d2 * over
-        dm[:, :DIM] = d.T
-        d *= mean
-        np.negative(np.ones(DIM, F32) @ d, out=dm[:, DIM])
-        dm = dm.reshape(rows, STRIDE, DIM + 1)
-        da = dm @ v.transpose(0, 2, 1)
+        dm = np.empty((DIM + 1, n), F32)
+        np.multiply(d2, over, out=dm[:DIM])
+        np.negative(np.ones(DIM, F32) @ (dm[:DIM] * mean), out=dm[DIM])
+        da = v @ by_window(dm, 0, DIM + 1)
         da *= a
         self.by_place += np.ones(rows, F32) @ da.reshape(rows, -1)
         kv = np.empty((rows, 2 * STRIDE, 2 * DIM), F32)
-        np.matmul(da.transpose(0, 2, 1), q, out=kv[:, :, :DIM])
-        np.matmul(a.transpose(0, 2, 1), dm[:, :, :DIM], out=kv[:, :, DIM:])
+        np.matmul(da, q, out=kv[:, :, :DIM])
+        np.matmul(a, np.ascontiguousarray(dm[:DIM].T).reshape(rows, STRIDE, DIM), out=kv[:, :, DIM:])
         both = np.empty((rows + 1, STRIDE, 2 * DIM), F32)  # a row's keys and values meet its own queries and the next row's
         both[0], both[-1] = kv[0, :STRIDE], kv[-1, STRIDE:]
         np.add(kv[:-1, STRIDE:], kv[1:, :STRIDE], out=both[1:-1])
-        dq, both = (da @ k).reshape(n, DIM), both.reshape(-1, 2 * DIM)
-        g["qkv"][:, :DIM] += e[STRIDE:, :DIM].T @ dq
+        both = both.reshape(-1, 2 * DIM)
+        dq = np.empty((DIM, n), F32)
+        np.matmul(k.transpose(0, 2, 1), da, out=by_window(dq, 0, DIM))
+        g["qkv"][:, :DIM] += (dq @ e[STRIDE:, :DIM]).T
         g["qkv"][:, DIM:] += e[:, :DIM].T @ both
-        de += (both @ self.back_kv).reshape(rows + 1, STRIDE, DIM)
-        de[1:].reshape(n, DIM)[:] += dq @ self.back_q + d2.T
+        de += (both @ self.back_kv).reshape(de.shape)
+        d2 += self.qkv[:DIM, :DIM] @ dq
+        de[1:].reshape(n, DIM)[:] += d2.T
 
 
 def train(windows: np.ndarray, counts: np.ndarray, p: dict[str, np.ndarray], batch: int = 64, rate: float = 0.01, passes: int = 20) -> dict[str, np.ndarray]:
@@ -354,7 +367,7 @@ def windows_of(ids: np.ndarray, offs: np.ndarray, which: np.ndarray | None = Non
 
 
 class Scorer:
-    """Scores documents of ids; queries, keys, values and embeddings are one small table by slot, which stays in a core's cache."""
+    """Scores documents of ids; keys and values are a small table by slot, which stays in a core's cache."""
 
     def __init__(self, p: dict[str, np.ndarray], counts: np.ndarray):
         self.p, (of, self.within) = p, classes_of(counts)
@@ -362,9 +375,10 @@ class Scorer:
         self.band_of, self.each_of = (np.append(k, 0).astype(np.int32) for k in (of // EACH, of % EACH))
         self.within = np.append(self.within, 0)
         self.slot_of, e = shared(counts, SLOTS).astype(np.int32), p["slot"]
-        q, k, v = np.split(e @ p["qkv"], 3, axis=1)
-        self.table = np.concatenate([q * F32(DIM**-0.5), k, v, np.ones((SLOTS, 1), F32), e], axis=1)  # the ones sum the weights
-        self.bias = gap_bias(p["near"])
+        _, k, v = np.split(e @ p["qkv"], 3, axis=1)
+        self.table = np.concatenate([k, v, np.ones((SLOTS, 1), F32)], axis=1)  # the ones sum the weights
+        self.slot, self.own = e, np.concatenate([np.eye(DIM, dtype=F32), p["qkv"][:, :DIM].T * F32(DIM**-0.5)])
+        self.bias = np.ascontiguousarray(gap_bias(p["near"]).T)
         self.gate = np.exp(self.bias)
 
     @staticmethod
@@ -397,10 +411,11 @@ class Scorer:
             target = y[a:b].ravel()
             # a window is two rows of ids that follow each other in memory: windows overlap without copies
             z = np.take(self.table, x[a - 1 : b], axis=0)
-            _, mean = attend(z[1:, :, :DIM], pairs(z, DIM, DIM), pairs(z, 2 * DIM, DIM + 1), self.bias, self.gate, target >= 0, np.flatnonzero(opening[a:b]))
+            own = self.own @ np.take(self.slot, x[a:b].ravel(), axis=0).T
+            _, mean = attend(pairs(z, 0, DIM), by_window(own, DIM, DIM), pairs(z, DIM, DIM + 1), self.bias, self.gate, target >= 0, np.flatnonzero(opening[a:b]))
             h = mean[:DIM]
             h /= np.maximum(mean[DIM], LEAST)
-            h += z[1:, :, 3 * DIM + 1 :].reshape(-1, DIM).T
+            h += own[:DIM]
             t = p["w1"].T @ h
             np.maximum(t, 0, out=t)
             state = np.empty((BANDS + HIDDEN + 1, len(target)), F32)  # the band, the state, ones
@@ -452,8 +467,12 @@ def spread(values: np.ndarray, offs: np.ndarray, which: np.ndarray) -> tuple[np.
     return values[np.repeat(first - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))], k
 
 
-def _pack(model, chunk: int):
-    """model: broadcast bytes of the vocabulary.  (id, text, train) -> rows of PACKED: 'chunk' (documents), 'word' (hash, count in training, number in the chunk), 'id' (likewise)."""
+def _pack(model, chunk: int, ranges: int = RANGES):
+    """model: broadcast bytes of the vocabulary; ranges: a power of two.  (id, text, train) -> rows of PACKED.
+
+    'chunk': documents; 'word': h, a range of hashes, n, how many of its words the chunk has, and their hashes in order
+    with their counts in training; 'id': h, an id of the vocabulary, and n, its count in training.
+    """
 
     def run(batches):
         import sentencepiece
@@ -464,37 +483,46 @@ def _pack(model, chunk: int):
         held = known = 0
 
         def flush():
-            per_doc = np.concatenate(sizes)
-            train = np.concatenate(trains)
+            per_doc, train = np.concatenate(sizes), np.concatenate(trains)
             distinct, where, number = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-            seq = number[np.concatenate(seqs)]
-            first = np.cumsum([0, *(len(h) for h in hashes)])
-            texts = []
-            for (low, start, end), a, b in zip(words, first[:-1], first[1:], strict=True):
-                new = np.sort(where[(where >= a) & (where < b)]) - a
-                texts += [low[i:j] for i, j in zip(start[new].tolist(), end[new].tolist(), strict=True)]
-            order = np.empty(len(where), np.int64)
-            order[np.argsort(where, kind="stable")] = np.arange(len(where))  # a word's number: as they first occur
-            seq, distinct = order[seq], distinct[np.argsort(where, kind="stable")]
-            count = np.bincount(seq, np.repeat(train, per_doc), len(distinct)).astype(np.int64)
-            lengths, subs = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)]
-            for a in range(0, len(texts), 20_000):
-                pieces = sp.encode(texts[a : a + 20_000], num_threads=1)
-                lengths.append(np.fromiter(map(len, pieces), np.int64, len(pieces)))
-                subs.append(np.fromiter(chain.from_iterable(pieces), np.uint16, int(lengths[-1].sum())))
+            order = np.empty(len(where), np.uint32)  # a word's number: as they first occur
+            order[np.argsort(where, kind="stable")] = np.arange(len(where))
+            number = order[number]
+            lengths, subs, a = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)], 0
+            for h in hashes:
+                low, start, end = words.pop(0)
+                new = np.sort(where[(where >= a) & (where < a + len(h))]) - a
+                a += len(h)
+                for some in np.split(new, range(20_000, len(new), 20_000)):
+                    pieces = sp.encode([low[i:j] for i, j in zip(start[some].tolist(), end[some].tolist(), strict=True)], num_threads=1)
+                    lengths.append(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+                    subs.append(np.fromiter(chain.from_iterable(pieces), np.uint16, int(lengths[-1].sum())))
+            hashes.clear()
+            count = np.zeros(len(distinct), np.int64)
+            for i, (x, k, learned) in enumerate(zip(seqs, sizes, trains, strict=True)):
+                seqs[i] = x = number[x]
+                count += np.bincount(x[np.repeat(learned, k)], minlength=len(distinct))
+            seq = np.concatenate(seqs)
+            seqs.clear()
             length, sub = np.concatenate(lengths), np.concatenate(subs)
-            body = _arrays(np.concatenate(ids), np.concatenate(nulls), per_doc, seq.astype(np.uint32), length.astype(np.uint32), sub, train)
+            body = _arrays(np.concatenate(ids), np.concatenate(nulls), per_doc, seq, length.astype(np.uint32), sub, train, order)
             yield rows("chunk", [0], [0], [body])
-            for a in range(0, len(distinct), 50_000):
-                yield rows("word", distinct[a : a + 50_000].view(np.int64), count[a : a + 50_000], at=a)
-            many = np.bincount(sub, np.repeat(count, length), VOCAB).astype(np.int64)
+            edge = np.searchsorted(distinct >> U64(64 - ranges.bit_length() + 1), np.arange(ranges + 1))
+            had = np.flatnonzero(np.diff(edge))
+            by_hash = count[order]
+            yield rows("word", had, np.diff(edge)[had], [_arrays(distinct[edge[i] : edge[i + 1]], by_hash[edge[i] : edge[i + 1]]) for i in had.tolist()])
+            many, edge = np.zeros(VOCAB), np.concatenate([[0], np.cumsum(length)])
+            for a in range(0, len(length), 100_000):
+                b = min(len(length), a + 100_000)
+                many += np.bincount(sub[edge[a] : edge[b]], np.repeat(count[a:b], length[a:b]), VOCAB)
+            many = many.astype(np.int64)
             many[END] += int(train.sum())
             at = np.flatnonzero(many)
             yield rows("id", at, many[at])
 
-        def rows(kind, h, n, body=None, at=0):
+        def rows(kind, h, n, body=None):
             k = len(h)
-            return pa.RecordBatch.from_arrays([pa.array([kind] * k), pa.array(np.full(k, part << 32 | made)), pa.array(np.asarray(h, np.int64)), pa.array(np.asarray(n, np.int64)), pa.array(np.arange(at, at + k, dtype=np.int32)), pa.array(body if body is not None else [None] * k, pa.binary())], schema=PACKED)
+            return pa.RecordBatch.from_arrays([pa.array([kind] * k), pa.array(np.full(k, part << 32 | made)), pa.array(np.asarray(h, np.int64)), pa.array(np.asarray(n, np.int64)), pa.array(np.arange(k, dtype=np.int32)), pa.array(body if body is not None else [None] * k, pa.binary())], schema=PACKED)
 
         for batch in batches:
             for some, data, offs in blocks(batch, "text", 1_000_000):
@@ -503,9 +531,9 @@ def _pack(model, chunk: int):
                 h[h == EDGE] = U64(1)
                 u, where, which = np.unique(h, return_index=True, return_inverse=True)
                 hashes.append(u)
-                seqs.append(known + which)
+                seqs.append((known + which).astype(np.uint32))
                 known += len(u)
-                words.append((w.low.tobytes().replace(b"\xff", b"\0"), w.start[where], w.end[where]))
+                words.append((w.low.tobytes().replace(b"\xff", b"\0"), w.start[where].astype(np.uint32), w.end[where].astype(np.uint32)))
                 sizes.append(np.diff(w.per_row))
                 id_ = some.column(some.schema.get_field_index("id"))
                 ids.append(np.asarray(id_.fill_null(0)).astype(np.int64))
@@ -523,8 +551,8 @@ def _pack(model, chunk: int):
 
 
 def _read(body: bytes):
-    """Arrays of a chunk: ids, nulls, words of each document, words by number, pieces of each number, pieces, train."""
-    return _from_arrays(body, np.int64, np.bool_, np.int64, np.uint32, np.uint32, np.uint16, np.bool_)
+    """Arrays of a chunk: ids, nulls, words of each document, words by number, pieces of each number, pieces, train, numbers by hash."""
+    return _from_arrays(body, np.int64, np.bool_, np.int64, np.uint32, np.uint32, np.uint16, np.bool_, np.uint32)
 
 
 def _runs(per_doc: np.ndarray, seq: np.ndarray, length: np.ndarray, sub: np.ndarray):
@@ -565,7 +593,7 @@ def _trainer(model, share: int, batch: int, part: int = 0, parts: int = 1):
         total, done, learner, n = np.zeros(len(x)), 0, Learner(slots, of, p), 0
         for some in batches:
             for body in some.column(0):
-                _, _, per_doc, seq, length, sub, train = _read(body.as_py())
+                _, _, per_doc, seq, length, sub, train, _ = _read(body.as_py())
                 for at, to, _, ids, offs in _runs(per_doc, seq, length, sub):
                     size = np.diff(offs)
                     mine = train[at:to]
@@ -612,11 +640,38 @@ def fit(packed: DataFrame, share: int = SHARE, batch: int = BATCH, parts: int =
     return counts, p
 
 
+COUNTED = pa.schema([("chunk", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("v", pa.int64()), ("body", pa.binary())])
+
+
+def _count(batches):
+    """(chunk, h, body) by h -> rows of COUNTED: for each chunk the counts of its words in all chunks; with one of a range's rows their sum and how many are not 0."""
+
+    def counted():
+        parts = [_from_arrays(x, U64, np.int64) for x in bodies]
+        _, which = np.unique(np.concatenate([h for h, _ in parts]), return_inverse=True)
+        c = np.bincount(which, np.concatenate([n for _, n in parts])).astype(np.int64)
+        each = np.split(c[which], np.cumsum([len(h) for h, _ in parts])[:-1])
+        first = np.arange(len(parts)) == 0
+        return pa.RecordBatch.from_arrays([pa.array(chunks, pa.int64()), pa.array([now] * len(parts), pa.int64()), pa.array(first * c.sum()), pa.array(first * np.count_nonzero(c)), pa.array([_arrays(x) for x in each], pa.binary())], schema=COUNTED)
+
+    now, chunks, bodies = None, [], []
+    for batch in batches:
+        for chunk, h, body in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            if h != now and bodies:
+                yield counted()
+                chunks, bodies = [], []
+            now = h
+            chunks.append(chunk)
+            bodies.append(body)
+    if bodies:
+        yield counted()
+
+
 SCORED = pa.schema([("id", pa.int64()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
 
 def _score(model, total: int, distinct: int, ends: int):
-    """(chunk, body, counts: array of (at, c): a word's number in the chunk, its count in training) -> SCORED."""
+    """(chunk, body, counts: array of (h, body): a range of hashes, the counts in training of the chunk's words there) -> SCORED."""
 
     def run(batches):
         keep_heap()
@@ -625,11 +680,14 @@ def _score(model, total: int, distinct: int, ends: int):
         norm = np.log10(total + 0.1 * (distinct + 1))
         for batch in batches:
             for r in range(batch.num_rows):
-                ids, nulls, per_doc, seq, length, sub, _ = _read(batch.column("body")[r].as_py())
+                ids, nulls, per_doc, seq, length, sub, _, order = _read(batch.column("body")[r].as_py())
                 c = np.zeros(len(length))
-                if batch.column("counts")[r].is_valid:
-                    got = batch.column("counts")[r].values
-                    c[np.asarray(got.field(0))] = np.asarray(got.field(1))
+                got = batch.column("counts")[r].as_py() or []
+                at = 0
+                for x in sorted(got, key=lambda x: x["h"]):
+                    (some,) = _from_arrays(x["body"], np.int64)
+                    c[order[at : at + len(some)]] = some
+                    at += len(some)
                 value, known = np.log10(c + 0.1), (c > 0).astype(np.int64)
                 for at, to, mine, full, offs in _runs(per_doc, seq, length, sub):
                     doc = np.repeat(np.arange(to - at), per_doc[at:to])
@@ -645,12 +703,13 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """A row per document: id, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"), (~held_out(id_col, folds)).alias("train"))
-    packed = written(source.mapInArrow(tidy(_pack(spark.sparkContext.broadcast(Path(model).read_bytes()), chunk)), "kind string, chunk long, h long, n long, at int, body binary"), "packed")
-    words = packed.filter("kind = 'word'")
-    total = written(words.filter("n > 0").groupBy("h").agg(F.sum("n").alias("c")), "counts")
-    n, v = total.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
+    ranges = max(RANGES, 1 << (2 * source.rdd.getNumPartitions() - 1).bit_length())
+    packed = written(source.mapInArrow(tidy(_pack(spark.sparkContext.broadcast(Path(model).read_bytes()), chunk, ranges)), "kind string, chunk long, h long, n long, at int, body binary"), "packed")
+    words = packed.filter("kind = 'word'").select("chunk", "h", "body").repartition(ranges, "h").sortWithinPartitions("h")
+    counted = written(words.mapInArrow(tidy(_count), "chunk long, h long, n long, v long, body binary"), "counts")
+    n, v = counted.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
     ends = source.filter("train").count()
-    back = words.select("chunk", "h", "at").join(total, "h").groupBy("chunk").agg(F.collect_list(F.struct("at", "c")).alias("counts"))
+    back = counted.groupBy("chunk").agg(F.collect_list(F.struct("h", "body")).alias("counts"))
     n, v = n + ends, v + (ends > 0)
     trained = spark.sparkContext.broadcast(fit(packed, share))
     chunks = packed.filter("kind = 'chunk'").select("chunk", "body").join(back, "chunk", "left").select("chunk", "body", "counts")
