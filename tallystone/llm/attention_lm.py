@@ -213,37 +213,40 @@ class Learner:
         self.qkv = np.zeros((DIM + 1, 3 * DIM + 1), F32)
         self.qkv[DIM, 3 * DIM] = 1
         self.by_place = np.zeros(STRIDE * 2 * STRIDE, F32)  # (key, query)
-        self.own = np.eye(2 * DIM, DIM + 1, dtype=F32)  # what makes columns of embeddings, then of queries
         self.place = np.arange((SLOTS + 1) * DIM).reshape(-1, DIM)
 
     def learn(self, w: np.ndarray) -> None:
         """A step on (n, 2 * stride + 1) ids (-1: none): the second half is predicted, from all before it in the window.
 
-        A window whose first half is the second of the one before it shares its row with that.  The gradient is added
+        A window whose first half is the second of the one before it shares its row with that, and one whose first half
+        is not there needs none.  The gradient is added
         up over a few rows at a time, whose arrays stay in a core's cache.
         """
         live = np.count_nonzero(w[:, STRIDE + 1 :] >= 0)
         if not live:
             return
         alone = np.ones(len(w), bool)
-        alone[1:] = (w[1:, :STRIDE] != w[:-1, STRIDE:-1]).any(1)
+        blank = (w[:, :STRIDE] < 0).all(1)
+        alone[1:] = (w[1:, :STRIDE] != w[:-1, STRIDE:-1]).any(1) & ~blank[1:]
         at = np.arange(len(w)) + np.cumsum(alone)
         x, y = np.full((at[-1] + 1, STRIDE), -1, np.int32), np.full((at[-1] + 1, STRIDE), -1, np.int32)
         x[at[alone] - 1], x[at], y[at] = w[alone, :STRIDE], w[:, STRIDE:-1], w[:, STRIDE + 1 :]
+        opening = np.zeros(len(x), bool)
+        opening[at[blank]] = True
         x = np.take(self.slot_of, x, mode="wrap")
         p, g = self.p, self.d
         self.g[:], self.by_place[:] = 0, 0
         self.slot[:SLOTS, :DIM] = p["slot"]
         self.qkv[:DIM, : 3 * DIM] = p["qkv"]
         self.qkv[:DIM, :DIM] *= F32(DIM**-0.5)
-        self.own[DIM:, :DIM], self.own[DIM:, DIM] = self.qkv[:DIM, :DIM].T, 0
         self.bias = np.ascontiguousarray(gap_bias(p["near"]).T)
         self.gate = np.exp(self.bias)
         self.back_kv = np.ascontiguousarray(self.qkv[:DIM, DIM:-1].T)
         self.wide = np.concatenate([p["band"], p["w3"]])
         de = np.zeros((len(x), STRIDE, DIM), F32)
-        for a in range(1, len(x), FEW):
-            self._add(x[a - 1 : a + FEW], y[a : a + FEW], de[a - 1 : a + FEW])
+        few = -(-(len(x) - 1) // -(-(len(x) - 1) // FEW))  # parts of one size
+        for a in range(1, len(x), few):
+            self._add(x[a - 1 : a + few], y[a : a + few], de[a - 1 : a + few], np.flatnonzero(opening[a : a + few]))
         past = np.flatnonzero(self.back >= 0)
         g["near"] += np.bincount(self.back.ravel()[past], self.by_place[past], 2 * STRIDE)
         by_slot = np.zeros(self.place.size, F32)
@@ -278,8 +281,9 @@ class Learner:
         self.d[out] += h @ o.T
         return self.p[out][:-1] @ o
 
-    def _add(self, x: np.ndarray, y: np.ndarray, de: np.ndarray) -> None:
-        """x: (rows + 1, stride) slots, y: (rows, stride) ids that follow those of all rows but the first; the gradient by place is added to ``de``."""
+    def _add(self, x: np.ndarray, y: np.ndarray, de: np.ndarray, opening: np.ndarray) -> None:
+        """x: (rows + 1, stride) slots, y: (rows, stride) ids that follow those of all rows but the first; the gradient by
+        place is added to ``de``; ``opening``: rows that do not see the row before them."""
         p, g = self.p, self.d
         y = y.ravel()
         live = (y >= 0).astype(F32)
@@ -288,9 +292,11 @@ class Learner:
         n, rows = len(y), len(x) - 1
         e = np.take(self.slot, x.ravel(), axis=0)
         z = (e @ self.qkv).reshape(rows + 1, STRIDE, -1)
-        own = self.own @ e[STRIDE:].T
+        own = np.empty((2 * DIM, n), F32)  # columns of embeddings, then of queries
+        own[:DIM] = e[STRIDE:, :DIM].T
+        np.matmul(self.qkv[:DIM, :DIM].T, own[:DIM], out=own[DIM:])
         q, k, v = z[1:, :, :DIM], pairs(z, DIM, DIM), pairs(z, 2 * DIM, DIM + 1)
-        a, mean = attend(k, by_window(own, DIM, DIM), v, self.bias, self.gate, x[1:].ravel() != SLOTS)
+        a, mean = attend(k, by_window(own, DIM, DIM), v, self.bias, self.gate, x[1:].ravel() != SLOTS, opening)
         over = F32(1) / np.maximum(mean[DIM], LEAST)  # (0 where there is no id)
         mean = mean[:DIM]
         mean *= over
@@ -377,7 +383,7 @@ class Scorer:
         self.slot_of, e = shared(counts, SLOTS).astype(np.int32), p["slot"]
         _, k, v = np.split(e @ p["qkv"], 3, axis=1)
         self.table = np.concatenate([k, v, np.ones((SLOTS, 1), F32)], axis=1)  # the ones sum the weights
-        self.slot, self.own = e, np.concatenate([np.eye(DIM, dtype=F32), p["qkv"][:, :DIM].T * F32(DIM**-0.5)])
+        self.slot, self.q = e, p["qkv"][:, :DIM].T * F32(DIM**-0.5)
         self.bias = np.ascontiguousarray(gap_bias(p["near"]).T)
         self.gate = np.exp(self.bias)
 
@@ -411,7 +417,9 @@ class Scorer:
             target = y[a:b].ravel()
             # a window is two rows of ids that follow each other in memory: windows overlap without copies
             z = np.take(self.table, x[a - 1 : b], axis=0)
-            own = self.own @ np.take(self.slot, x[a:b].ravel(), axis=0).T
+            own = np.empty((2 * DIM, len(target)), F32)  # columns of embeddings, then of queries
+            own[:DIM] = np.take(self.slot, x[a:b].ravel(), axis=0).T
+            np.matmul(self.q, own[:DIM], out=own[DIM:])
             _, mean = attend(pairs(z, 0, DIM), by_window(own, DIM, DIM), pairs(z, DIM, DIM + 1), self.bias, self.gate, target >= 0, np.flatnonzero(opening[a:b]))
             h = mean[:DIM]
             h /= np.maximum(mean[DIM], LEAST)
@@ -467,6 +475,17 @@ def spread(values: np.ndarray, offs: np.ndarray, which: np.ndarray) -> tuple[np.
     return values[np.repeat(first - (np.cumsum(k) - k), k) + np.arange(int(k.sum()))], k
 
 
+def grouped(h: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct values in order, a place of each, and for each place the number of its value; the sort need not be stable."""
+    order = np.argsort(h)
+    in_order = h[order]
+    new = np.ones(len(h), bool)
+    new[1:] = in_order[1:] != in_order[:-1]
+    which = np.empty(len(h), np.uint32)
+    which[order] = np.cumsum(new) - 1
+    return in_order[new], order[new], which
+
+
 def _pack(model, chunk: int, ranges: int = RANGES):
     """model: broadcast bytes of the vocabulary; ranges: a power of two.  (id, text, train) -> rows of PACKED.
 
@@ -484,9 +503,9 @@ def _pack(model, chunk: int, ranges: int = RANGES):
 
         def flush():
             per_doc, train = np.concatenate(sizes), np.concatenate(trains)
-            distinct, where, number = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
-            order = np.empty(len(where), np.uint32)  # a word's number: as they first occur
-            order[np.argsort(where, kind="stable")] = np.arange(len(where))
+            distinct, where, number = grouped(np.concatenate(hashes))
+            order = np.empty(len(where), np.uint32)  # a word's number: as the places lie
+            order[np.argsort(where)] = np.arange(len(where))
             number = order[number]
             lengths, subs, a = [np.zeros(0, np.int64)], [np.zeros(0, np.uint16)], 0
             for h in hashes:
@@ -529,9 +548,9 @@ def _pack(model, chunk: int, ranges: int = RANGES):
                 w = Words(data, offs, table)
                 h = w.hashes()
                 h[h == EDGE] = U64(1)
-                u, where, which = np.unique(h, return_index=True, return_inverse=True)
+                u, where, which = grouped(h)
                 hashes.append(u)
-                seqs.append((known + which).astype(np.uint32))
+                seqs.append(which + np.uint32(known))
                 known += len(u)
                 words.append((w.low.tobytes().replace(b"\xff", b"\0"), w.start[where].astype(np.uint32), w.end[where].astype(np.uint32)))
                 sizes.append(np.diff(w.per_row))
@@ -594,13 +613,11 @@ def _trainer(model, share: int, batch: int, part: int = 0, parts: int = 1):
         for some in batches:
             for body in some.column(0):
                 _, _, per_doc, seq, length, sub, train, _ = _read(body.as_py())
-                for at, to, _, ids, offs in _runs(per_doc, seq, length, sub):
-                    size = np.diff(offs)
-                    mine = train[at:to]
-                    n_windows = int((-(-size[mine] // STRIDE)).sum())
+                for _, _, _, ids, offs in _runs(per_doc[train], seq[np.repeat(train, per_doc)], length, sub):
+                    n_windows = int((-(-np.diff(offs) // STRIDE)).sum())
                     row = r.permutation(np.arange(part, -(-n_windows // ROW), parts))
                     which = (row[:, None] * ROW + np.arange(ROW)).ravel()
-                    w = windows_of(ids[np.repeat(mine, size)], np.concatenate([[0], np.cumsum(size[mine])]), which[which < n_windows])
+                    w = windows_of(ids, offs, which[which < n_windows])
                     for a in range(0, len(w), batch):
                         learner.learn(some_of := w[a : a + batch])
                         n += len(some_of)

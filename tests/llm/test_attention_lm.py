@@ -276,3 +276,11 @@ def test_windows_that_follow_each_other_share_their_ids(monkeypatch):
             assert sum(rows) == 64
     assert np.abs(g[0]).max() > 0.01
     assert g[0] == pytest.approx(g[1], abs=1e-5)
+
+
+def test_a_chunk_has_one_row_of_words_a_range_of_hashes(spark):
+    rows = [(i, f"word{i} and word{i + 1} of {i % 10}", True) for i in range(2000)]
+    packed = spark.createDataFrame(rows, "id long, text string, train boolean").coalesce(1).mapInArrow(_pack(spark.sparkContext.broadcast(Path(MODEL).read_bytes()), CHUNK, 8), "kind string, chunk long, h long, n long, at int, body binary")
+    got = packed.filter("kind = 'word'").select("h", "n").collect()
+    assert sorted(r["h"] for r in got) == list(range(8))
+    assert sum(r["n"] for r in got) == len({w for _, text, _ in rows for w in tokens(text)})
