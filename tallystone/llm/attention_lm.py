@@ -149,9 +149,8 @@ def exp_columns(w: np.ndarray, h: np.ndarray, at: np.ndarray | None = None) -> t
     ones = np.ones(len(w), F32)
     o = w @ h
     hit = None if at is None else np.take(o.ravel(), at)
-    with np.errstate(over="ignore", invalid="ignore"):
-        np.exp(o, out=o)
-        total = ones @ o
+    np.exp(o, out=o)
+    total = ones @ o
     if not fine(total):
         o = w @ h
         o -= o.max(0)
@@ -175,14 +174,13 @@ def attend(k: np.ndarray, q: np.ndarray, v: np.ndarray, bias: np.ndarray, gate:
     """
     mean = np.empty((DIM + 1, len(k) * STRIDE), F32)
     a = k @ q
-    with np.errstate(over="ignore", invalid="ignore"):
-        np.exp(a, out=a)
-        a *= gate
-        if opening is not None:
-            a[opening, :STRIDE] = 0
-        np.matmul(v.transpose(0, 2, 1), a, out=by_window(mean, 0, DIM + 1))
-        if fine(mean[DIM][live]):
-            return a, mean
+    np.exp(a, out=a)
+    a *= gate
+    if opening is not None:
+        a[opening, :STRIDE] = 0
+    np.matmul(v.transpose(0, 2, 1), a, out=by_window(mean, 0, DIM + 1))
+    if fine(mean[DIM][live]):
+        return a, mean
     a = k @ q
     a += bias
     a += np.where(v[:, :, DIM:] > 0, F32(0), F32(-1e9))
@@ -208,6 +206,8 @@ class Learner:
         self.g, self.m, self.s, self.spare, self.more = (np.zeros_like(self.x) for _ in range(5))
         self.p, self.d = views(self.x), views(self.g)
         self.back = np.arange(STRIDE, 2 * STRIDE)[None, :] - np.arange(2 * STRIDE)[:, None]  # (key, query)
+        self.kinds = np.arange(max(BANDS, EACH), dtype=np.int8)[:, None]
+        self.past, self.past_at = self.back >= 0, np.flatnonzero(self.back >= 0)
         self.slot = np.ones((SLOTS + 1, DIM + 1), F32)  # with a column of ones, which sums the weights of attention
         self.slot[SLOTS] = 0
         self.qkv = np.zeros((DIM + 1, 3 * DIM + 1), F32)
@@ -239,16 +239,16 @@ class Learner:
         self.slot[:SLOTS, :DIM] = p["slot"]
         self.qkv[:DIM, : 3 * DIM] = p["qkv"]
         self.qkv[:DIM, :DIM] *= F32(DIM**-0.5)
-        self.bias = np.ascontiguousarray(gap_bias(p["near"]).T)
+        self.bias = np.where(self.past, np.take(p["near"], self.back, mode="clip"), F32(-1e9))
         self.gate = np.exp(self.bias)
         self.back_kv = np.ascontiguousarray(self.qkv[:DIM, DIM:-1].T)
         self.wide = np.concatenate([p["band"], p["w3"]])
         de = np.zeros((len(x), STRIDE, DIM), F32)
         few = -(-(len(x) - 1) // -(-(len(x) - 1) // FEW))  # parts of one size
-        for a in range(1, len(x), few):
-            self._add(x[a - 1 : a + few], y[a : a + few], de[a - 1 : a + few], np.flatnonzero(opening[a : a + few]))
-        past = np.flatnonzero(self.back >= 0)
-        g["near"] += np.bincount(self.back.ravel()[past], self.by_place[past], 2 * STRIDE)
+        with np.errstate(over="ignore", invalid="ignore"):  # what overflows is made again
+            for a in range(1, len(x), few):
+                self._add(x[a - 1 : a + few], y[a : a + few], de[a - 1 : a + few], np.flatnonzero(opening[a : a + few]))
+        g["near"] += np.bincount(self.back.ravel()[self.past_at], self.by_place[self.past_at], 2 * STRIDE)
         by_slot = np.zeros(self.place.size, F32)
         np.add.at(by_slot, np.take(self.place, x.ravel(), axis=0).ravel(), de.ravel())
         g["slot"] += by_slot.reshape(-1, DIM)[:SLOTS]
@@ -304,7 +304,7 @@ class Learner:
         z1 = p["w1"].T @ h
         t = np.maximum(z1, 0)
         b = np.empty((BANDS + HIDDEN + 1, n), F32)  # the band, the state, ones
-        kinds = np.arange(max(BANDS, EACH), dtype=np.int8)[:, None]
+        kinds = self.kinds
         b[:BANDS] = np.take(self.band_of, y, mode="wrap") == kinds[:BANDS]
         np.matmul(p["w2"].T, t, out=b[BANDS:-1])
         b[BANDS:-1] += h
@@ -395,6 +395,10 @@ class Scorer:
 
     def log10(self, ids: np.ndarray, offs: np.ndarray, batch: int = FEW) -> np.ndarray:
         """log10 probability of each document's ids (offs: offsets); the first is predicted from BEGIN alone."""
+        with np.errstate(over="ignore", invalid="ignore"):  # what overflows is made again
+            return self._log10(ids, offs, batch)
+
+    def _log10(self, ids: np.ndarray, offs: np.ndarray, batch: int) -> np.ndarray:
         size = np.diff(offs)
         rows = -(-size // STRIDE)
         first_row = np.cumsum(rows) - rows
